@@ -14,6 +14,7 @@ from curveloom.operators.evaluate import evaluate, evaluate_wide, segment_join
 from curveloom.operators.filters import verified_as
 from curveloom.operators.lookup import get_curve
 from curveloom.operators.reshape import pack_curve, split_codes
+from curveloom.functions.literal import literal_frame
 from curveloom.fixed_values import IDENTICAL, PAGE_LABEL_PATTERN
 from curveloom.functions.text import printed_label
 
@@ -257,7 +258,7 @@ UNION ALL SELECT 'n_flagged', 1, (SELECT count(defect_flag) FROM curves)
 UNION ALL SELECT 'max_y', 50, (SELECT CAST(max(y) AS BIGINT) FROM points7)
 UNION ALL SELECT 'n_zones', 3, NULL) t""")
 def stated_vs_measured_check(s: Sample) -> DataFrame:
-    claims = s.spark.createDataFrame([("n_types", 3), ("n_flagged", 1), ("max_y", 50), ("n_zones", 3)], "key string, stated bigint")
+    claims = literal_frame(s.spark, [("n_types", 3), ("n_flagged", 1), ("max_y", 50), ("n_zones", 3)], "key string, stated bigint")
     curves = s.curves().agg(F.count_distinct("damage_type").alias("n_types"), F.count("defect_flag").alias("n_flagged"))
     points = s.points7().agg(F.max("y").cast("bigint").alias("max_y"))
     measures = curves.unpivot([], ["n_types", "n_flagged"], "key", "measured").unionByName(points.unpivot([], ["max_y"], "key", "measured"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from curveloom.functions.literal import literal_frame
 from curveloom.functions.text import make_curve_id
 from curveloom.operators.reshape import melt_attributes, melt_points
 
@@ -118,7 +119,7 @@ class Sample:
 
     def kinds(self) -> DataFrame:
         columns = "peril string, damage_type string, x_name string, x_units string, y_name string, y_units string, interpolation string, notes string"
-        return self.spark.createDataFrame(KINDS, columns)
+        return literal_frame(self.spark, KINDS, columns)
 
     def case_rows(self) -> DataFrame:
         """Set-valued cases in use, with their description."""

@@ -8,6 +8,7 @@ from curveloom.checks.registry import check
 from curveloom.checks.sample import (
     COASTAL_NOTE, DEFECT_NOTE, DEFECT_TYPES, FLAGS, Sample, with_ctes,
 )
+from curveloom.functions.literal import literal_frame
 from curveloom.operators import aggregate as ag, filters as fl
 from curveloom.operators.lookup import curve_points_join, order_points
 from curveloom.operators.reshape import decompose_cases
@@ -86,7 +87,7 @@ def annotate_coastal_check(s: Sample) -> DataFrame:
 @check("display_label", with_ctes("attributes") + """
 SELECT curve_id, key, value, CASE WHEN key = 'type' AND value = 'PROMO' THEN 'Promotional' WHEN key = 'brand' AND value = 'Brand#4' THEN 'Fourth brand' ELSE value END AS label FROM attributes""")
 def display_label_check(s: Sample) -> DataFrame:
-    labels = s.spark.createDataFrame(
+    labels = literal_frame(s.spark,
         [("type", "PROMO", "Promotional"), ("brand", "Brand#4", "Fourth brand"), ("type", "Brand#4", "never")],
         "key string, value string, label string")
     return fl.display_label(s.attributes(), labels).select("curve_id", "key", "value", "label")
@@ -114,7 +115,7 @@ SELECT key, value FROM (VALUES ('occupancy', 'Brand#4'), ('building_type', 'HUGE
 WHERE (key = 'occupancy' AND value IN (SELECT occupancy FROM curves)) OR (key = 'building_type' AND value IN (SELECT building_type FROM curves))
 OR (key = 'version' AND value IN (SELECT version FROM curves))""")
 def default_filters_check(s: Sample) -> DataFrame:
-    defaults = s.spark.createDataFrame(
+    defaults = literal_frame(s.spark,
         [("occupancy", "Brand#4"), ("building_type", "HUGE"), ("version", "F")], "key string, value string")
     return fl.default_filters(fl.domain_values(s.curves(), ["occupancy", "building_type", "version"]), defaults)
 
@@ -204,7 +205,7 @@ def count_matches_check(s: Sample) -> DataFrame:
 
 
 @check("unit_guard", with_ctes("curves", "kinds") + """
-SELECT count(*) AS n_curves, count(DISTINCT c.damage_type) AS n_damage_types, count(DISTINCT coalesce(y_units, 'mixed')) AS n_units, 'heterogeneous' AS status
+SELECT count(*) AS n_curves, count(DISTINCT c.damage_type) AS n_damage_types, count(DISTINCT coalesce(y_units, 'mixed')) AS n_units, min(curve_id) AS first_curve_id, 'heterogeneous' AS status
 FROM curves c LEFT JOIN kinds k ON k.peril = c.peril AND k.damage_type = c.damage_type WHERE occupancy = 'Brand#4'""")
 def unit_guard_check(s: Sample) -> DataFrame:
     return ag.unit_guard(s.curves().where("occupancy = 'Brand#4'"), s.kinds())

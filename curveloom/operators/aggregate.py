@@ -28,23 +28,25 @@ def count_matches(curves: DataFrame) -> DataFrame:
 def unit_guard(curves: DataFrame, kinds: DataFrame | None = None) -> DataFrame:
     """One row saying whether the curves may be averaged: ok, empty or heterogeneous.
 
-    With ``kinds`` the units must agree too.
+    With ``kinds`` the units must agree too.  ``first_curve_id`` is the smallest matched id.
     """
-    typed = curves
-    if kinds is not None:
-        typed = curves.join(kinds.select("peril", "damage_type", "y_units"), ["peril", "damage_type"], "left")
-    # map-side combine on the few types first, so no curve-level distinct is shuffled
-    by = ["damage_type"] + (["y_units"] if kinds is not None else [])
-    few = typed.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    n_units = F.count_distinct(F.coalesce("y_units", F.lit("mixed"))) if kinds is not None else F.lit(None).cast("bigint")
+    # curves are combined per (peril, damage type) first: a handful of rows meets the units
+    few = curves.groupBy("peril", "damage_type").agg(
+        F.count(F.lit(1)).alias("n"), F.min("curve_id").alias("first_id")
+    )
+    if kinds is None:
+        few = few.withColumn("y_units", F.lit("not checked"))
+    else:
+        few = few.join(kinds.select("peril", "damage_type", "y_units"), ["peril", "damage_type"], "left")
     counts = few.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_curves"),
         F.count_distinct("damage_type").alias("n_damage_types"),
-        n_units.alias("n_units"),
+        F.count_distinct(F.coalesce("y_units", F.lit("mixed"))).alias("n_units"),
+        F.min("first_id").alias("first_curve_id"),
     )
     status = (
         F.when(F.col("n_curves") == 0, "empty")
-        .when((F.col("n_damage_types") > 1) | (F.coalesce("n_units", F.lit(1)) > 1), "heterogeneous")
+        .when((F.col("n_damage_types") > 1) | (F.col("n_units") > 1), "heterogeneous")
         .otherwise("ok")
     )
     return counts.withColumn("status", status)

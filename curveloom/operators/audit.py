@@ -31,10 +31,11 @@ def profile_table(df: DataFrame, columns: list[str] | None = None, exact: bool =
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("n_null"),
         F.count("value").alias("n_distinct"),
     )
-    # each task keeps n_sample values per column before the shuffle
-    smallest = Window.partitionBy("column_name").orderBy("value")
+    # Each task keeps n_sample values per column before the shuffle.  Reading n here too makes both
+    # branches ask for the same shuffle of distinct values, which Spark then runs once.
+    smallest = Window.partitionBy("column_name").orderBy(F.col("value").asc_nulls_last())
     sample = (
-        values.where("value IS NOT NULL")
+        values.where("n > 0")
         .withColumn("rank", F.row_number().over(smallest))
         .where(F.col("rank") <= n_sample)
         .groupBy("column_name")

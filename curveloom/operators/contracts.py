@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from curveloom.functions.axis import measure_columns
+from curveloom.functions.literal import literal_frame
 
 BITS = 62  # grid positions held by one long mask
 
@@ -33,7 +34,7 @@ def column_accounting(
             unknown.append(name)
     if unknown:
         raise ValueError(f"columns {unknown} are neither measures, nor mapped, nor ignored with a reason")
-    return df.sparkSession.createDataFrame(rows, "column_name string, role string")
+    return literal_frame(df.sparkSession, rows, "column_name string, role string")
 
 
 def grid_contract(columns: list[str], grid: list[float]) -> dict[str, float]:
@@ -129,4 +130,4 @@ def out_of_range(points: DataFrame, curves: DataFrame, limits: DataFrame) -> Dat
 
 
 def limits_frame(spark: SparkSession, limits: list[tuple[str, float | None, float | None]]) -> DataFrame:
-    return spark.createDataFrame(limits, "damage_type string, low double, high double")
+    return literal_frame(spark, limits, "damage_type string, low double, high double")

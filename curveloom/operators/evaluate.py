@@ -89,8 +89,13 @@ def segments(points: DataFrame) -> DataFrame:
     )
 
 
-def segment_join(exposures: DataFrame, points: DataFrame) -> DataFrame:
-    """Every exposure with its curve's domain and, inside it, the segment that holds x."""
+def segment_join(exposures: DataFrame, points: DataFrame, bucket_width: float | None = None) -> DataFrame:
+    """Every exposure with its curve's domain and, inside it, the segment that holds x.
+
+    Each exposure is tested against the segments of its curve.  For curves with very many points
+    ``bucket_width`` adds a bucket of x to the join key: a segment is repeated in the buckets it
+    crosses and a hot curve is spread over them, with the same result.
+    """
     domain = points.groupBy("curve_id").agg(
         F.min("x").alias("_low"), F.max("x").alias("_high"), F.lit(True).alias("_known")
     )
@@ -98,18 +103,37 @@ def segment_join(exposures: DataFrame, points: DataFrame) -> DataFrame:
     holds = (F.col("curve_id") == F.col("_seg_id")) & (
         (F.col("x") == F.col("_x0")) | ((F.col("x") > F.col("_x0")) & (F.col("x") < F.col("_x1")))
     )
-    return exposures.join(domain, "curve_id", "left").join(seg, holds, "left").drop("_seg_id")
-
-
-def evaluate(exposures: DataFrame, points: DataFrame, grid: list[float] | None = None) -> DataFrame:
+    located = exposures.join(domain, "curve_id", "left")
+    if bucket_width is not None:
+        bucket = lambda x: F.floor(x / F.lit(float(bucket_width)))
+        crossed = F.sequence(bucket(F.col("_x0")), bucket(F.coalesce("_x1", "_x0")))
+        seg = seg.withColumn("_seg_bucket", F.explode(crossed))
+        # outside the domain there is no segment, and x may be too large for a bucket number
+        inside = F.when(F.col("x").between(F.col("_low"), F.col("_high")), F.col("x"))
+        located = located.withColumn("_bucket", bucket(inside))
+        holds = holds & (F.col("_bucket") == F.col("_seg_bucket"))
+    return located.join(seg, holds, "left").drop("_seg_id", "_bucket", "_seg_bucket")
+
+
+def evaluate(
+    exposures: DataFrame,
+    points: DataFrame,
+    grid: list[float] | None = None,
+    bucket_width: float | None = None,
+    broadcast_rows: int | None = None,
+) -> DataFrame:
     """Exposures with ``y`` and ``status``; every exposure keeps exactly one row.
 
     With ``grid`` the library is packed to one row per curve (a curve that breaks the grid stops
     the job).  Without it curves may have any x values and the segment join is used.
+    ``broadcast_rows`` allows a packed library counted to be no larger than that to be broadcast.
     """
     if grid is not None:
-        return evaluate_packed(exposures, pack_curve(points, grid), grid)
-    located = segment_join(exposures, points).withColumn("_exists", F.coalesce("_known", F.lit(False)))
+        packed = pack_curve(points, grid)
+        if broadcast_rows is not None:
+            packed = broadcast_checked(packed, broadcast_rows)
+        return evaluate_packed(exposures, packed, grid)
+    located = segment_join(exposures, points, bucket_width).withColumn("_exists", F.coalesce("_known", F.lit(False)))
     return _finish(located, exposures.columns, F.col("_low"), F.col("_high"))
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from curveloom.fixed_values import CODE_ROW_PATTERN, CODE_TABLE_HEADER, NEXT_TABLE_PATTERN, PAGE_LABEL_PATTERN
+from curveloom.functions.literal import literal_frame
 from curveloom.functions.text import fold_blanks, printed_label
+from curveloom.sources.writers import materialize
 
 
 def find_evidence(pages: DataFrame, claims: list[tuple[str, str, str]]) -> DataFrame:
@@ -15,8 +17,7 @@ def find_evidence(pages: DataFrame, claims: list[tuple[str, str, str]]) -> DataF
     Pages are read once: every claim is a literal pattern tested on the folded text, and only hits
     leave the scan, so no page text is shuffled.
     """
-    spark = pages.sparkSession
-    claim_rows = spark.createDataFrame(claims, "key string, doc string, pattern string")
+    claim_rows = literal_frame(pages.sparkSession, claims, "key string, doc string, pattern string")
     flat = pages.where(F.col("doc").isin(sorted({doc for _, doc, _ in claims}))).select(
         "doc", "page", fold_blanks(F.col("text")).alias("flat"), printed_label(F.col("text"), PAGE_LABEL_PATTERN).alias("label")
     )
@@ -46,50 +47,46 @@ def find_evidence(pages: DataFrame, claims: list[tuple[str, str, str]]) -> DataF
     )
 
 
-def code_rows(pages: DataFrame) -> DataFrame:
-    """Lines of a page that look like ``NN_CODE description``: doc, page, pos, code, description."""
-    lines = pages.select("doc", "page", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    return lines.where(F.col("line").rlike(CODE_ROW_PATTERN)).select(
-        "doc",
-        "page",
-        "pos",
-        F.regexp_extract("line", CODE_ROW_PATTERN, 2).alias("code"),
-        fold_blanks(F.regexp_extract("line", CODE_ROW_PATTERN, 3)).alias("description"),
+def code_rows(pages: DataFrame, header: str = CODE_TABLE_HEADER) -> DataFrame:
+    """One small row per page: doc, page, has_header and ``rows``, the lines ``NN_CODE description``."""
+    parsed = F.transform(
+        F.split("text", "\n"),
+        lambda line, i: F.struct(
+            i.alias("pos"),
+            F.regexp_extract(line, CODE_ROW_PATTERN, 2).alias("code"),
+            fold_blanks(F.regexp_extract(line, CODE_ROW_PATTERN, 3)).alias("description"),
+        ),
     )
+    rows = F.filter(parsed, lambda r: r["code"] != "")
+    return pages.select("doc", "page", F.col("text").contains(header).alias("has_header"), rows.alias("rows"))
 
 
-def extract_code_table(pages: DataFrame, header: str = CODE_TABLE_HEADER, strict: bool = False) -> DataFrame:
-    """(doc, code, description, n_descriptions) of the code table that each document holds.
-
-    The table starts on the first page with the header and ends at the first row of the next table,
-    or at the first page without rows after it has begun.  A code with several descriptions is a
-    conflict: reported by ``n_descriptions``, or an error with ``strict``.
-    """
-    page = F.struct("page", "pos")
-    headers = pages.where(F.col("text").contains(header)).groupBy("doc").agg(F.min("page").alias("start"))
-    rows = code_rows(pages).withColumn("is_next", F.col("description").rlike(NEXT_TABLE_PATTERN))
-    inside = rows.join(headers, "doc").where(F.col("page") >= F.col("start"))
-    ends = inside.groupBy("doc").agg(
-        F.min(F.when(F.col("is_next"), page)).alias("next_table"),
-        F.min(F.when(~F.col("is_next"), F.col("page"))).alias("first_row_page"),
+def code_table(page_rows: DataFrame, strict: bool = False) -> DataFrame:
+    """The code table of each document from its ``code_rows``; see ``extract_code_table``."""
+    is_next = F.col("row.description").rlike(NEXT_TABLE_PATTERN)
+    place = F.struct("page", F.col("row.pos").alias("pos"))
+    starts = page_rows.where("has_header").groupBy("doc").agg(F.min("page").alias("start"))
+    inside = page_rows.join(starts, "doc").where(F.col("page") >= F.col("start")).select("doc", "page", "rows")
+    lines = inside.select("doc", "page", F.explode("rows").alias("row"))
+    ends = lines.groupBy("doc").agg(
+        F.min(F.when(is_next, place)).alias("next_table"),
+        F.min(F.when(~is_next, F.col("page"))).alias("first_page"),
     )
-    # first page after the table began that has no row of it
-    with_rows = inside.select("doc", "page").distinct()
-    blank = (
-        pages.select("doc", "page")
-        .join(with_rows, ["doc", "page"], "left_anti")
-        .join(ends.select("doc", "first_row_page"), "doc")
-        .where(F.col("page") > F.col("first_row_page"))
+    # the first page without rows after the table began
+    blanks = (
+        inside.where(F.size("rows") == 0)
+        .join(ends.select("doc", "first_page"), "doc")
+        .where(F.col("page") > F.col("first_page"))
         .groupBy("doc")
         .agg(F.min("page").alias("blank_page"))
     )
-    bounded = inside.join(ends, "doc").join(blank, "doc", "left")
-    kept = bounded.where(
-        (F.col("next_table").isNull() | (page < F.col("next_table")))
-        & (F.col("blank_page").isNull() | (F.col("page") < F.col("blank_page")))
+    kept = (
+        lines.join(ends.join(blanks, "doc", "left"), "doc")
+        .where(F.col("next_table").isNull() | (place < F.col("next_table")))
+        .where(F.col("blank_page").isNull() | (F.col("page") < F.col("blank_page")))
     )
-    table = kept.groupBy("doc", "code").agg(
-        F.min("description").alias("description"), F.count_distinct("description").alias("n_descriptions")
+    table = kept.groupBy("doc", F.col("row.code").alias("code")).agg(
+        F.min("row.description").alias("description"), F.count_distinct("row.description").alias("n_descriptions")
     )
     if strict:
         message = F.concat(F.lit("code has different descriptions: "), F.col("code"))
@@ -98,3 +95,16 @@ def extract_code_table(pages: DataFrame, header: str = CODE_TABLE_HEADER, strict
             "description", F.when(clash, F.raise_error(message).cast("string")).otherwise(F.col("description"))
         )
     return table
+
+
+def extract_code_table(pages: DataFrame, header: str = CODE_TABLE_HEADER, strict: bool = False) -> DataFrame:
+    """(doc, code, description, n_descriptions) of the code table that each document holds.
+
+    The table starts on the first page with the header and ends at the first row of the next table,
+    or at the first page without rows after it has begun.  A code with several descriptions is a
+    conflict: reported by ``n_descriptions``, or an error with ``strict``.
+
+    Page text is read and matched once; the small rows found are written to the shared folder and
+    everything after works on them.
+    """
+    return code_table(materialize(code_rows(pages, header), "code-rows"), strict)

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from curveloom.fixed_values import COASTAL_ZONES, DEFECT_BUILDING_TYPES, LOSS_CLASSES
+from curveloom.functions.literal import literal_frame
 
 BITS = 62
 
@@ -76,9 +77,8 @@ def zone_filter(curves: DataFrame, applicability: DataFrame, zone: str) -> DataF
 
 def classify(df: DataFrame, class_column: str) -> DataFrame:
     """Add damage_type and y_units of a small integer class; rows of unknown classes are dropped."""
-    classes = df.sparkSession.createDataFrame(LOSS_CLASSES, "_class int, damage_type string, y_units string")
-    # the class list is a literal of nine rows
-    return df.join(F.broadcast(classes), F.col(class_column).cast("int") == F.col("_class")).drop("_class")
+    classes = literal_frame(df.sparkSession, LOSS_CLASSES, "_class int, damage_type string, y_units string")
+    return df.join(classes, F.col(class_column).cast("int") == F.col("_class")).drop("_class")
 
 
 def defect_flag(building_type: Column, note: str, affected: tuple[str, ...] = DEFECT_BUILDING_TYPES) -> Column:

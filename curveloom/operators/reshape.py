@@ -74,7 +74,7 @@ def decode_codes(
     unknown = (
         joined.where("char_type IS NULL")
         .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "code"))).alias("codes"))
+        .agg(F.array_sort(F.collect_set(F.struct("pos", "code"))).alias("codes"))
         .select(key, F.lit(UNMAPPED_KEY).alias("key"), F.array_join("codes.code", ",").alias("value"))
     )
     return known.unionByName(unknown)
@@ -97,8 +97,8 @@ def code_totals(typed: DataFrame, column: str, dictionary: DataFrame, width: int
 
 
 def attributes_map(attributes: DataFrame) -> DataFrame:
-    """(curve_id, map of key to value); a curve has few keys, and a repeated key fails the job."""
-    entries = F.collect_list(F.struct("key", "value"))
+    """(curve_id, map of key to value).  Copies of a row count once; two values of a key fail the job."""
+    entries = F.collect_set(F.struct("key", "value"))
     return attributes.groupBy("curve_id").agg(F.map_from_entries(entries).alias("attributes"))
 
 

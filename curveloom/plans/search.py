@@ -25,15 +25,13 @@ class SearchResult:
         curve keeps its id and has no deviation.  The guard is a scalar subquery, evaluated first.
         """
         guard = require_ok(self.guard) if strict else self.guard
-        status = guard.select("status").scalar()
+        facts = guard.select(F.struct("status", "n_curves", "first_curve_id")).scalar()
         averaged = average_curve(self.points, ["damage_type"])
-        n_curves = guard.select("n_curves").scalar()
-        only = self.curves.agg(F.min("curve_id")).scalar()
-        return averaged.where(status == "ok").select(
-            F.when(n_curves == 1, only).otherwise("DERIVED").alias("curve_id"),
+        return averaged.where(facts["status"] == "ok").select(
+            F.when(facts["n_curves"] == 1, facts["first_curve_id"]).otherwise("DERIVED").alias("curve_id"),
             "damage_type", "x",
             F.col("y_mean").alias("y"),
-            F.when(n_curves > 1, F.col("y_std")).alias("y_std"),
+            F.when(facts["n_curves"] > 1, F.col("y_std")).alias("y_std"),
             "y_min", "y_max", "n_at_x",
         )
 

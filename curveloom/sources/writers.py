@@ -27,6 +27,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back, so later steps do not recompute it."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _fingerprint(df: DataFrame) -> DataFrame:
     """Row count and an order-free hash of all rows."""
     digest = F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))
@@ -51,10 +58,12 @@ def write_clustered(
     files: int | None = None,
     row_group_bytes: int = 8 << 20,
     salt: str | None = None,
+    expected_rows: int | None = None,
 ) -> None:
     """Parquet whose files and row groups hold narrow key ranges, so lookups skip the rest.
 
-    Fails when the written row count differs.  Range bounds come from a sample, and a key with very
+    Fails when the written row count differs from ``expected_rows``, or from a count of ``df`` when
+    that is not given (free for Parquet input, a second run for a computed table).  Range bounds come from a sample, and a key with very
     many rows stays in one range; ``salt`` names a further column that splits such a key.
     """
     bounds = [*keys, salt] if salt and salt not in keys else keys
@@ -66,7 +75,8 @@ def write_clustered(
         .option("parquet.block.size", row_group_bytes)
         .parquet(path)
     )
-    before, after = df.count(), df.sparkSession.read.parquet(path).count()
+    before = df.count() if expected_rows is None else expected_rows
+    after = df.sparkSession.read.parquet(path).count()
     if before != after:
         raise ValueError(f"{path}: rewrite changed the row count ({before} -> {after})")
 
@@ -103,12 +113,16 @@ def jdbc_writer(df: DataFrame, url: str, table: str, batch_rows: int = 5000, **o
 def publish_jdbc(
     tables: dict[str, DataFrame], url: str, batch_rows: int = 5000, connections: int = 8, **options: str
 ) -> None:
-    """Append every declared table to an external database; tables not given are skipped."""
+    """Append every declared table to an external database; tables not given are skipped.
+
+    ``connections`` bounds the load on the database; the shuffle before it keeps the work that
+    computes a table on all executors.
+    """
     if urlparse(url).scheme != "jdbc":
         raise ValueError(f"not a JDBC url: {url}")
     for name, spec in TABLES.items():
         if name in tables:
-            out = conform(tables[name], spec).coalesce(connections)
+            out = conform(tables[name], spec).repartition(connections)
             jdbc_writer(out, url, name, batch_rows, **options).save()
 
 
