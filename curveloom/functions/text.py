@@ -12,8 +12,16 @@ def strip(c: Column) -> Column:
 
 
 def fold_blanks(c: Column) -> Column:
-    """Runs of blanks become one space; outer blanks go."""
-    return F.trim(F.regexp_replace(c, f"[{BLANKS}]+", " "))
+    """Runs of blanks become one space; outer blanks go.
+
+    Text without a character from the upper range needs only the one-byte blanks, which match much
+    faster than the whole list.
+    """
+    one_byte = "".join(b for b in BLANKS if ord(b) < 256)
+    folded = F.when(
+        c.rlike("[\u1680\u2000-\u3000]"), F.regexp_replace(c, f"[{BLANKS}]+", " ")
+    ).otherwise(F.regexp_replace(c, f"[{one_byte}]+", " "))
+    return F.trim(folded)
 
 
 def clean_text(c: Column, null_tokens: tuple[str, ...] = FLOOD_NULL_TOKENS) -> Column:

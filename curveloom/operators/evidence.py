@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from curveloom.fixed_values import CODE_ROW_PATTERN, CODE_TABLE_HEADER, NEXT_TABLE_PATTERN, PAGE_LABEL_PATTERN
 from curveloom.functions.literal import literal_frame
@@ -10,6 +10,17 @@ from curveloom.functions.text import fold_blanks, printed_label
 from curveloom.sources.writers import materialize
 
 
+def sentence_around(flat: Column, pattern: str) -> Column:
+    """The first match with the rest of its sentence: back to the last full stop before it and on to
+    the next one after it, or to the end of the match when none follows."""
+    at = F.regexp_instr(flat, F.lit(pattern))
+    match = F.regexp_extract(flat, pattern, 0)
+    before = F.substr(flat, F.lit(1), at - 1)
+    after = F.substr(flat, at + F.length(match))
+    rest = F.when(after.contains("."), F.concat(F.substring_index(after, ".", 1), F.lit("."))).otherwise("")
+    return F.trim(F.concat(F.substring_index(before, ".", -1), match, rest))
+
+
 def find_evidence(pages: DataFrame, claims: list[tuple[str, str, str]]) -> DataFrame:
     """For each claim (key, doc, regex): the first page of the document that states it, the page's
     printed label and the sentence around the match; ``found`` is false when no page does.
@@ -21,15 +32,13 @@ def find_evidence(pages: DataFrame, claims: list[tuple[str, str, str]]) -> DataF
     flat = pages.where(F.col("doc").isin(sorted({doc for _, doc, _ in claims}))).select(
         "doc", "page", fold_blanks(F.col("text")).alias("flat"), printed_label(F.col("text"), PAGE_LABEL_PATTERN).alias("label")
     )
-    hits = []
-    for key, doc, pattern in claims:
-        sentence = rf"(?is)([^.]*?(?:{pattern})(?:[^.]*\.)?)"
-        hits.append(
-            F.when(
-                (F.col("doc") == doc) & F.col("flat").rlike(f"(?is){pattern}"),
-                F.struct(F.lit(key).alias("key"), F.trim(F.regexp_extract("flat", sentence, 1)).alias("quote")),
-            )
+    hits = [
+        F.when(
+            (F.col("doc") == doc) & F.col("flat").rlike(f"(?is){pattern}"),
+            F.struct(F.lit(key).alias("key"), sentence_around(F.col("flat"), f"(?is){pattern}").alias("quote")),
         )
+        for key, doc, pattern in claims
+    ]
     found = (
         flat.select("page", "label", F.explode(F.array(*hits)).alias("hit"))
         .where("hit IS NOT NULL")

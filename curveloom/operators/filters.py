@@ -39,16 +39,30 @@ def like_filter(curves: DataFrame, column: str, patterns: list[str]) -> DataFram
     return curves.where(reduce(lambda a, b: a | b, [F.col(column).like(p) for p in patterns]))
 
 
-def attribute_filter(curves: DataFrame, attributes: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """Curves that have all (key, value) pairs.
-
-    One pushed-down scan of the attributes: each pair sets a bit, and a curve qualifies when all
-    bits are set.  The buffer is one long per 62 pairs, whatever the number of rows.
+def attribute_filter(
+    curves: DataFrame,
+    attributes: DataFrame,
+    pairs: list[tuple[str, str]],
+    cases: DataFrame | None = None,
+    territory: str | None = None,
+) -> DataFrame:
+    """Curves that have all (key, value) pairs, and whose set-valued case covers the territory.
+
+    One pushed-down scan of the attributes: each condition sets a bit, and a curve qualifies when
+    all bits are set.  The buffer is one long per 62 conditions, whatever the number of rows.
     """
-    if not pairs:
-        return curves
     tests = [(F.col("key") == k) & (F.col("value") == v) for k, v in pairs]
+    if territory is not None:
+        tests.append(F.col("key") == "geographic_case")
+    if not tests:
+        return curves
     scanned = attributes.where(reduce(lambda a, b: a | b, tests))
+    if territory is not None:
+        covering = cases.where(F.col("territory") == territory).select(
+            F.col("case_name").alias("value"), F.lit(True).alias("covers")
+        )
+        scanned = scanned.join(covering.distinct(), "value", "left")
+        tests[-1] = tests[-1] & F.col("covers")
     masks, full = [], []
     for start in range(0, len(tests), BITS):
         chunk = tests[start : start + BITS]

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from curveloom.operators.aggregate import average_curve, require_ok, unit_guard
-from curveloom.operators.filters import attribute_filter, territory_filter, zone_filter
+from curveloom.operators.filters import attribute_filter, zone_filter
+from curveloom.sources.writers import materialize
 
 
 @dataclass(frozen=True)
@@ -21,19 +22,20 @@ class SearchResult:
     def rows(self, strict: bool = False) -> DataFrame:
         """One match as published, several as one average, nothing when the guard refuses.
 
-        The mean of a single curve is that curve, so one aggregate serves both cases; a single
-        curve keeps its id and has no deviation.  The guard is a scalar subquery, evaluated first.
+        Reads the guard's single row first, as averaging must not start before it agrees.
         """
-        guard = require_ok(self.guard) if strict else self.guard
-        facts = guard.select(F.struct("status", "n_curves", "first_curve_id")).scalar()
-        averaged = average_curve(self.points, ["damage_type"])
-        return averaged.where(facts["status"] == "ok").select(
-            F.when(facts["n_curves"] == 1, facts["first_curve_id"]).otherwise("DERIVED").alias("curve_id"),
-            "damage_type", "x",
-            F.col("y_mean").alias("y"),
-            F.when(facts["n_curves"] > 1, F.col("y_std")).alias("y_std"),
-            "y_min", "y_max", "n_at_x",
+        verdict = (require_ok(self.guard) if strict else self.guard).first()
+        if verdict["n_curves"] == 1:
+            return self.points.select(
+                "curve_id", "damage_type", "x", "y", F.lit(None).cast("double").alias("y_std"),
+                F.col("y").alias("y_min"), F.col("y").alias("y_max"),
+                F.when(F.col("y").isNull(), 0).otherwise(1).cast("bigint").alias("n_at_x"),
+            )
+        averaged = average_curve(self.points, ["damage_type"]).select(
+            F.lit("DERIVED").alias("curve_id"), "damage_type", "x", F.col("y_mean").alias("y"),
+            "y_std", "y_min", "y_max", "n_at_x",
         )
+        return averaged if verdict["status"] == "ok" else averaged.limit(0)
 
 
 def match_curves(
@@ -54,10 +56,8 @@ def match_curves(
             kept = kept.where(F.col(column) == value)
     if zone is not None:
         kept = zone_filter(kept, applicability, zone)
-    if territory is not None:
-        kept = territory_filter(kept, attributes, cases, territory)
-    if pairs:
-        kept = attribute_filter(kept, attributes, pairs)
+    if territory is not None or pairs:
+        kept = attribute_filter(kept, attributes, pairs or [], cases, territory)
     return kept
 
 
@@ -68,12 +68,17 @@ def search(
     attributes: DataFrame | None = None,
     cases: DataFrame | None = None,
     applicability: DataFrame | None = None,
+    reuse: bool = True,
     **filters,
 ) -> SearchResult:
     """Match curves and prepare guard and points; see ``match_curves`` for the filters.
 
-    Persist ``result.curves`` when several parts of one result are read.
+    With ``reuse`` the matched curves are written once to the shared folder: guard, points and
+    metadata then share one evaluation of the filters, and Spark knows the size of the match, so a
+    small one is broadcast to the scan of the points instead of shuffling them.
     """
     matched = match_curves(curves, attributes, cases, applicability, **filters)
+    if reuse:
+        matched = materialize(matched, "matched-curves")
     typed = points.join(matched.select("curve_id", "damage_type"), "curve_id")
     return SearchResult(matched, typed, unit_guard(matched, kinds))
