@@ -82,9 +82,11 @@ def dimension_gaps(data_codes: DataFrame, listed: DataFrame, column: str, strict
     """
     present = data_codes.where(F.col(column).isNotNull()).select(column).distinct()
     known = listed.select(column).distinct()
-    missing = present.join(known, column, "left_anti").withColumn("gap", F.lit("missing"))
+    marked = present.join(known.withColumn("_known", F.lit(True)), column, "left")
+    missing_test = F.col("_known").isNull()
     if strict:
         message = F.concat(F.lit("no description found for: "), F.col(column))
-        missing = missing.withColumn("gap", F.raise_error(message).cast("string"))
+        missing_test = F.when(F.col("_known"), False).otherwise(F.raise_error(message).cast("boolean"))
+    missing = marked.where(missing_test).select(column, F.lit("missing").alias("gap"))
     unused = known.join(present, column, "left_anti").withColumn("gap", F.lit("unused"))
     return missing.unionByName(unused)

@@ -85,23 +85,21 @@ def expected_points(points: DataFrame, curves: DataFrame, n_grid: int) -> DataFr
 
 
 def dangling_refs(refs: DataFrame, curves: DataFrame, strict: bool = False) -> DataFrame:
-    """References to curves that do not exist.  ``strict`` stops the job on the first one read."""
-    missing = refs.join(curves.select("curve_id"), "curve_id", "left_anti")
-    if not strict:
-        return missing
-    message = F.concat(F.lit("reference to a curve that does not exist: "), F.col("curve_id"))
-    return missing.where(F.raise_error(message).cast("boolean"))
+    """References to curves that do not exist.  ``strict`` fails the job when there is one."""
+    if strict:
+        return require_known(refs, curves, keep=False)
+    return refs.join(curves.select("curve_id"), "curve_id", "left_anti")
+
 
+def require_known(refs: DataFrame, curves: DataFrame, keep: bool = True) -> DataFrame:
+    """``refs`` unchanged (none of it without ``keep``), or a failed job when one names no curve.
 
-def require_known(refs: DataFrame, curves: DataFrame) -> DataFrame:
-    """``refs`` unchanged, or a failed job when one of them names no existing curve."""
+    The test reads both sides of the join, so it cannot be moved below it to rows that are fine.
+    """
     known = curves.select("curve_id", F.lit(True).alias("_known"))
     message = F.concat(F.lit("reference to a curve that does not exist: "), F.col("curve_id"))
-    return (
-        refs.join(known, "curve_id", "left")
-        .where(F.when(F.col("_known"), True).otherwise(F.raise_error(message).cast("boolean")))
-        .drop("_known")
-    )
+    test = F.when(F.col("_known"), keep).otherwise(F.raise_error(message).cast("boolean"))
+    return refs.join(known, "curve_id", "left").where(test).drop("_known")
 
 
 def kind_coverage(curves: DataFrame, kinds: DataFrame) -> DataFrame:

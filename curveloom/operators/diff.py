@@ -119,7 +119,7 @@ def roundtrip_check(wide: DataFrame, points: DataFrame) -> DataFrame:
 
 
 def ids_added(old: DataFrame, new: DataFrame) -> DataFrame:
-    return new.select("curve_id").distinct().join(old.select("curve_id"), "curve_id", "left_anti")
+    return new.select("curve_id").distinct().join(old.select("curve_id").distinct(), "curve_id", "left_anti")
 
 
 def ids_removed(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -127,7 +127,7 @@ def ids_removed(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def ids_common(old: DataFrame, new: DataFrame) -> DataFrame:
-    return old.select("curve_id").distinct().join(new.select("curve_id"), "curve_id", "left_semi")
+    return old.select("curve_id").distinct().join(new.select("curve_id").distinct(), "curve_id", "left_semi")
 
 
 def code_union(a: DataFrame, b: DataFrame, column: str = "code") -> DataFrame:

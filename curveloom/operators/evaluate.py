@@ -142,8 +142,8 @@ def strict(evaluated: DataFrame) -> DataFrame:
     message = F.concat_ws(
         " ", F.lit("cannot evaluate curve"), F.col("curve_id"), F.lit("at x ="), F.col("x").cast("string"), F.lit(":"), F.col("status")
     )
-    ok = F.when(F.col("status") == "ok", F.col("status")).otherwise(F.raise_error(message).cast("string"))
-    return evaluated.withColumn("status", ok)
+    # a filter, so that the check runs whichever columns are read afterwards
+    return evaluated.where(F.when(F.col("status") == "ok", True).otherwise(F.raise_error(message).cast("boolean")))
 
 
 def evaluate_strict(exposures: DataFrame, points: DataFrame, grid: list[float] | None = None) -> DataFrame:

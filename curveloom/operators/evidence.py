@@ -99,10 +99,7 @@ def code_table(page_rows: DataFrame, strict: bool = False) -> DataFrame:
     )
     if strict:
         message = F.concat(F.lit("code has different descriptions: "), F.col("code"))
-        clash = F.col("n_descriptions") > 1
-        table = table.withColumn(
-            "description", F.when(clash, F.raise_error(message).cast("string")).otherwise(F.col("description"))
-        )
+        table = table.where(F.when(F.col("n_descriptions") == 1, True).otherwise(F.raise_error(message).cast("boolean")))
     return table
 
 

@@ -156,8 +156,8 @@ def describe_dimension(codes: DataFrame, dimension: DataFrame, column: str) -> D
 
 
 def present_dimension(dimension: DataFrame, curves: DataFrame, column: str) -> DataFrame:
-    """Dimension rows that some curve uses."""
-    return dimension.join(curves.select(column), column, "left_semi").orderBy(column)
+    """Dimension rows that some curve uses; the few codes in use are collected before the join."""
+    return dimension.join(curves.select(column).distinct(), column, "left_semi").orderBy(column)
 
 
 def priority_order(keys: DataFrame, order: list[str], hidden: list[str]) -> DataFrame:

@@ -116,4 +116,4 @@ def zone_applicability(parts: list[DataFrame], curves: DataFrame | None = None)
 
 def restrict_kinds(kinds: DataFrame, curves: DataFrame) -> DataFrame:
     """Unit rows of the perils present."""
-    return kinds.join(curves.select("peril"), "peril", "left_semi")
+    return kinds.join(curves.select("peril").distinct(), "peril", "left_semi")
