@@ -24,10 +24,9 @@ SQL_BLANKS = "".join(f"\\x{{{ord(c):x}}}" for c in BLANKS)
 
 # --- sources and sinks --------------------------------------------------------------------------
 def _wide_text(s: Sample, missing: str = "NULL") -> DataFrame:
-    """lib7 of version F and type A as a text source table with an id column and NULL tokens."""
-    wide = s.wide7().where("version = 'F' AND damage_type = 'A'")
-    return wide.select(
-        F.concat(F.col("partkey").cast("string"), F.lit(".0")).alias("BldgDmgFnID"),
+    """lib7 as a text source table with an id column and NULL tokens."""
+    return s.wide7().select(
+        F.concat_ws("-", "version", "damage_type", F.col("partkey").cast("string")).alias("BldgDmgFnID"),
         F.lit("agency ").alias("Source"),
         F.concat(F.lit("Curve of part, "), F.col("partkey").cast("string")).alias("Description"),
         F.when(F.col("partkey") % 2 == 0, "even").otherwise(missing).alias("Comment"),
@@ -35,6 +34,9 @@ def _wide_text(s: Sample, missing: str = "NULL") -> DataFrame:
     )
 
 
+SOURCE_KEY = "'li-4.0-lines-' || substr(curve_id, 4) AS curve_id"
+
+
 ROLES = {
     "BldgDmgFnID": "source_row_id",
     "Source": "source_agency",
@@ -47,13 +49,11 @@ def _melted(s: Sample) -> dict[str, DataFrame]:
     path = writers.fresh_path(s.spark, "wide-csv")
     writers.export_rows(_wide_text(s), path, "csv")
     wide = readers.read_wide_csv(s.spark, path)
-    return melt_wide_table(wide, ROLES, GRID7, peril="li", version="F", damage_type="A",
+    return melt_wide_table(wide, ROLES, GRID7, peril="li", version="4.0", damage_type="lines",
                            source_file="lines.csv", source_table="lines")
 
 
-@check("read_wide_csv", with_ctes("points7", "ckeys") + """
-SELECT p.curve_id, x, y FROM points7 p JOIN ckeys k ON k.curve_id = p.curve_id
-WHERE version = 'F' AND damage_type = 'A'""")
+@check("read_wide_csv", with_ctes("points7") + f"SELECT {SOURCE_KEY}, x, y FROM points7")
 def read_wide_csv(s: Sample) -> DataFrame:
     return _melted(s)["curve_points"]
 
@@ -131,24 +131,21 @@ def rewrite_check(s: Sample) -> DataFrame:
 
 @check("export_rows", with_ctes("points7", "curves") + """
 SELECT p.curve_id, x, y, version, source_table, source_agency, damage_type, defect_flag
-FROM points7 p JOIN curves c ON c.curve_id = p.curve_id WHERE occupancy = 'Brand#4'""")
+FROM points7 p JOIN curves c ON c.curve_id = p.curve_id""")
 def export_rows(s: Sample) -> DataFrame:
     path = writers.fresh_path(s.spark, "export")
-    curves = s.curves().where("occupancy = 'Brand#4'")
-    writers.export_rows(writers.point_rows(s.points7(), curves), path, "csv")
+    writers.export_rows(writers.point_rows(s.points7(), s.curves()), path, "csv")
     back = readers.read_wide_csv(s.spark, path)
     return back.select("curve_id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"),
                        "version", "source_table", "source_agency", "damage_type", "defect_flag")
 
 
-@check("append_batches", with_ctes("points7", "ckeys") + """
-SELECT p.curve_id, x, y FROM points7 p JOIN ckeys k ON k.curve_id = p.curve_id
-WHERE version = 'F' AND damage_type = 'A'""")
+@check("append_batches", with_ctes("points7") + f"SELECT {SOURCE_KEY}, x, y FROM points7")
 def append_batches_check(s: Sample) -> DataFrame:
     source, target, state = (writers.fresh_path(s.spark, n) for n in ("batches-in", "batches-out", "batches-state"))
     wide = _wide_text(s)
     wide.repartition(4, "BldgDmgFnID").write.csv(source, header=True)
-    query = append_batches(s.spark, source, target, state, wide.columns, "BldgDmgFnID", ["li", "F", "A"], files_per_batch=2)
+    query = append_batches(s.spark, source, target, state, wide.columns, "BldgDmgFnID", ["li", "4.0", "lines"], files_per_batch=2)
     query.awaitTermination()
     return s.spark.read.parquet(target)
 
@@ -308,9 +305,9 @@ def melt_points_check(s: Sample) -> DataFrame:
     return s.points7()
 
 
-@check("melt_curves", with_ctes("ckeys") + """
-SELECT curve_id, CAST(partkey AS VARCHAR) AS source_row_id, 'agency' AS source_agency, 'Curve of part, ' || CAST(partkey AS VARCHAR) AS description,
-'li' AS peril, version, damage_type, 'lines.csv' AS source_file, 'lines' AS source_table FROM ckeys WHERE version = 'F' AND damage_type = 'A'""")
+@check("melt_curves", with_ctes("ckeys") + f"""
+SELECT {SOURCE_KEY}, substr(curve_id, 4) AS source_row_id, 'agency' AS source_agency, 'Curve of part, ' || CAST(partkey AS VARCHAR) AS description,
+'li' AS peril, '4.0' AS version, 'lines' AS damage_type, 'lines.csv' AS source_file, 'lines' AS source_table FROM ckeys""")
 def melt_curves_check(s: Sample) -> DataFrame:
     return _melted(s)["curves"]
 
@@ -320,8 +317,7 @@ def melt_attributes_check(s: Sample) -> DataFrame:
     return s.attributes()
 
 
-@check("melt_source_attributes", with_ctes("ckeys") + """
-SELECT curve_id, 'comment' AS key, 'even' AS value FROM ckeys WHERE version = 'F' AND damage_type = 'A' AND partkey % 2 = 0""")
+@check("melt_source_attributes", with_ctes("ckeys") + f"SELECT {SOURCE_KEY}, 'comment' AS key, 'even' AS value FROM ckeys WHERE partkey % 2 = 0")
 def melt_source_attributes(s: Sample) -> DataFrame:
     return _melted(s)["curve_attributes"]
 

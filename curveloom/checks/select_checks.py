@@ -16,8 +16,8 @@ from curveloom.operators.rules import zone_applicability, zone_rows
 from curveloom.plans.search import search
 
 
-def r6(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, 6) for c in columns})
+def r9(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, 9) for c in columns})
 
 
 def zones_of(s: Sample) -> DataFrame:
@@ -35,9 +35,9 @@ def filter_curves_check(s: Sample) -> DataFrame:
 
 
 @check("flag_filters", with_ctes("curves") + """
-SELECT curve_id, CASE WHEN defect_flag IS NULL THEN 'clear' ELSE 'flagged' END AS flag FROM curves WHERE occupancy = 'Brand#4'""")
+SELECT curve_id, CASE WHEN defect_flag IS NULL THEN 'clear' ELSE 'flagged' END AS flag FROM curves""")
 def flag_filters_check(s: Sample) -> DataFrame:
-    curves = s.curves().where("occupancy = 'Brand#4'").select("curve_id", "defect_flag")
+    curves = s.curves().select("curve_id", "defect_flag")
     tagged = [fl.flagged(curves).withColumn("flag", F.lit("flagged")), fl.unflagged(curves).withColumn("flag", F.lit("clear"))]
     return tagged[0].unionByName(tagged[1]).drop("defect_flag")
 
@@ -206,46 +206,45 @@ def count_matches_check(s: Sample) -> DataFrame:
 
 @check("unit_guard", with_ctes("curves", "kinds") + """
 SELECT count(*) AS n_curves, count(DISTINCT c.damage_type) AS n_damage_types, count(DISTINCT coalesce(y_units, 'mixed')) AS n_units, min(curve_id) AS first_curve_id, 'heterogeneous' AS status
-FROM curves c LEFT JOIN kinds k ON k.peril = c.peril AND k.damage_type = c.damage_type WHERE occupancy = 'Brand#4'""")
+FROM curves c LEFT JOIN kinds k ON k.peril = c.peril AND k.damage_type = c.damage_type""")
 def unit_guard_check(s: Sample) -> DataFrame:
-    return ag.unit_guard(s.curves().where("occupancy = 'Brand#4'"), s.kinds())
+    return ag.unit_guard(s.curves(), s.kinds())
 
 
-AVERAGE = """round(sum(y) / nullif(count(y), 0), 6) AS y_mean, round(stddev_pop(y), 6) AS y_std, min(y) AS y_min, max(y) AS y_max, count(y) AS n_at_x"""
+AVERAGE = """round(sum(y) / nullif(count(y), 0), 9) AS y_mean, round(stddev_pop(y), 9) AS y_std, min(y) AS y_min, max(y) AS y_max, count(y) AS n_at_x"""
 
 
 @check("average_curve", with_ctes("points7", "curves") + f"""
-SELECT x, {AVERAGE} FROM points7 p JOIN curves c ON c.curve_id = p.curve_id WHERE damage_type = 'A' GROUP BY x""")
+SELECT damage_type, x, {AVERAGE} FROM points7 p JOIN curves c ON c.curve_id = p.curve_id GROUP BY damage_type, x""")
 def average_curve_check(s: Sample) -> DataFrame:
-    typed = curve_points_join(s.points7(), s.curves().where("damage_type = 'A'"), ["damage_type"])
-    return r6(ag.average_curve(typed), "y_mean", "y_std")
+    typed = curve_points_join(s.points7(), s.curves(), ["damage_type"])
+    return r9(ag.average_curve(typed, ["damage_type"]), "y_mean", "y_std")
 
 
-@check("constituents", with_ctes("curves") + "SELECT occupancy, curve_id FROM curves WHERE damage_type = 'A'")
+@check("constituents", with_ctes("curves") + "SELECT damage_type, occupancy, curve_id FROM curves")
 def constituents_check(s: Sample) -> DataFrame:
-    return ag.constituents(s.curves().where("damage_type = 'A'"), ["occupancy"])
+    return ag.constituents(s.curves(), ["damage_type", "occupancy"])
 
 
 @check("constituent_lists", with_ctes("curves") + """
-SELECT occupancy, count(*) AS n_constituents, string_agg(curve_id, '|' ORDER BY curve_id) AS constituent_curve_ids FROM curves WHERE damage_type = 'A' GROUP BY occupancy""")
+SELECT damage_type, occupancy, count(*) AS n_constituents, string_agg(curve_id, '|' ORDER BY curve_id) AS constituent_curve_ids FROM curves GROUP BY damage_type, occupancy""")
 def constituent_lists_check(s: Sample) -> DataFrame:
-    return ag.constituent_lists(s.curves().where("damage_type = 'A'"), ["occupancy"])
+    return ag.constituent_lists(s.curves(), ["damage_type", "occupancy"])
 
 
 @check("derived_rows", with_ctes("points7", "curves") + f"""
 SELECT 'DERIVED' AS curve_id, 'DERIVED — not a published curve' AS label, a.occupancy, constituent_curve_ids, n_constituents, x, y_mean, y_std, y_min, y_max, n_at_x,
 version, source_table, damage_type, 'multiple — see constituent_curve_ids' AS source_agency, CASE WHEN any_defect THEN 'see constituent curves' ELSE '' END AS defect_flag
-FROM (SELECT occupancy, x, {AVERAGE} FROM points7 p JOIN curves c ON c.curve_id = p.curve_id WHERE damage_type = 'A' GROUP BY occupancy, x) a
-JOIN (SELECT occupancy, count(*) AS n_constituents, string_agg(curve_id, '|' ORDER BY curve_id) AS constituent_curve_ids,
-arg_min(version, curve_id) AS version, arg_min(source_table, curve_id) AS source_table, arg_min(damage_type, curve_id) AS damage_type,
-bool_or(defect_flag IS NOT NULL) AS any_defect FROM curves WHERE damage_type = 'A' GROUP BY occupancy) f ON f.occupancy = a.occupancy""")
+FROM (SELECT damage_type, occupancy, x, {AVERAGE} FROM points7 p JOIN curves c ON c.curve_id = p.curve_id GROUP BY damage_type, occupancy, x) a
+JOIN (SELECT damage_type AS dt, occupancy, count(*) AS n_constituents, string_agg(curve_id, '|' ORDER BY curve_id) AS constituent_curve_ids,
+arg_min(version, curve_id) AS version, arg_min(source_table, curve_id) AS source_table,
+bool_or(defect_flag IS NOT NULL) AS any_defect FROM curves GROUP BY damage_type, occupancy) f ON f.occupancy = a.occupancy AND f.dt = a.damage_type""")
 def derived_rows_check(s: Sample) -> DataFrame:
-    curves = s.curves().where("damage_type = 'A'")
-    return r6(ag.derived_rows(curves, s.points7(), ["occupancy"]), "y_mean", "y_std")
+    return r9(ag.derived_rows(s.curves(), s.points7(), ["damage_type", "occupancy"]), "y_mean", "y_std")
 
 
 @check("search", with_ctes("points7", "curves", "attributes", "cases") + """
-SELECT 'DERIVED' AS curve_id, 'A' AS damage_type, x, round(sum(y) / nullif(count(y), 0), 6) AS y, round(stddev_pop(y), 6) AS y_std, min(y) AS y_min, max(y) AS y_max, count(y) AS n_at_x
+SELECT 'DERIVED' AS curve_id, 'A' AS damage_type, x, round(sum(y) / nullif(count(y), 0), 9) AS y, round(stddev_pop(y), 9) AS y_std, min(y) AS y_min, max(y) AS y_max, count(y) AS n_at_x
 FROM points7 p JOIN curves c ON c.curve_id = p.curve_id WHERE c.damage_type = 'A' AND c.version = 'F'
 AND EXISTS (SELECT 1 FROM attributes a JOIN cases t ON t.case_name = a.value WHERE a.curve_id = c.curve_id AND a.key = 'geographic_case' AND t.territory = 'CONUS')
 AND EXISTS (SELECT 1 FROM attributes a WHERE a.curve_id = c.curve_id AND a.key = 'brand' AND a.value = 'Brand#4') GROUP BY x""")
@@ -253,7 +252,7 @@ def search_check(s: Sample) -> DataFrame:
     result = search(
         s.curves(), s.points7(), s.kinds(), s.attributes(), decompose_cases(s.case_rows()),
         equals={"damage_type": "A", "version": "F", "occupancy": None}, territory="CONUS", pairs=[("brand", "Brand#4")])
-    return r6(result.rows(), "y", "y_std")
+    return r9(result.rows(), "y", "y_std")
 
 
 @check("search_single", with_ctes("points7") + """

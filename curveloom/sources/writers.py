@@ -15,7 +15,7 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local master may fall back to a folder of this machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -81,18 +81,51 @@ def write_clustered(
         raise ValueError(f"{path}: rewrite changed the row count ({before} -> {after})")
 
 
-def write_tables(tables: dict[str, DataFrame], root: str, max_records_per_file: int | None = None) -> None:
-    """One zstd Parquet folder per declared table, laid out by its cluster key."""
+def write_tables(
+    tables: dict[str, DataFrame],
+    root: str,
+    max_records_per_file: int | None = None,
+    files: dict[str, int] | None = None,
+) -> None:
+    """One zstd Parquet folder per declared table, laid out by its cluster key.
+
+    ``files`` sets the number of key ranges of a table (aim at some hundred megabytes each); the
+    default is the session's shuffle partitions.
+    """
     for name, df in tables.items():
         spec = TABLES[name]
         undeclared_columns(df, spec)
-        out = conform(df, spec).repartitionByRange(*spec.cluster_by).sortWithinPartitions(*spec.cluster_by)
+        ranges = [files[name]] if files and name in files else []
+        out = conform(df, spec).repartitionByRange(*ranges, *spec.cluster_by).sortWithinPartitions(*spec.cluster_by)
         writer = out.write.mode("overwrite").option("compression", "zstd")
         if max_records_per_file:
             writer = writer.option("maxRecordsPerFile", max_records_per_file)
         writer.parquet(f"{root}/{name}")
 
 
+def save_bucketed(tables: dict[str, DataFrame], database: str, buckets: int) -> None:
+    """Save the per-curve tables to the catalog bucketed by curve id.
+
+    Joins between them (points with curves, attributes or applicability) then need no shuffle.
+    """
+    for name, df in tables.items():
+        spec = TABLES[name]
+        if "curve_id" not in spec.pk:
+            raise ValueError(f"{name} is not keyed by curve_id")
+        undeclared_columns(df, spec)
+        order = ["curve_id"] + [c for c in spec.pk if c != "curve_id"]
+        (
+            conform(df, spec)
+            .repartition(buckets, "curve_id")
+            .write.mode("overwrite")
+            .format("parquet")
+            .option("compression", "zstd")
+            .bucketBy(buckets, "curve_id")
+            .sortBy(*order)
+            .saveAsTable(f"{database}.{name}")
+        )
+
+
 def write_by_peril(df: DataFrame, path: str) -> None:
     """A table partitioned by peril, so a per-peril slice reads only its folder."""
     df.write.mode("errorifexists").partitionBy("peril").option("compression", "zstd").parquet(path)

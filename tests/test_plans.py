@@ -64,3 +64,21 @@ def test_widened_points_shuffle_once_and_combine_first(spark):
 def test_literal_frames_are_broadcast(spark):
     lines = spark.read.parquet(f"{SF}/lineitem.parquet")
     assert "BroadcastHashJoin" in plan(fl.classify(lines, "l_linenumber"))
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    from curveloom.operators.lookup import curve_points_join
+    from curveloom.sources.writers import save_bucketed
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS bucketed")
+    points = spark.range(40).selectExpr("CAST(id % 10 AS string) AS curve_id", "CAST(id DIV 10 AS double) AS x", "1.0D AS y")
+    curves = spark.range(10).selectExpr("CAST(id AS string) AS curve_id", "'fl' AS peril", "'6.1' AS version", "'structure' AS damage_type",
+                                        "'f' AS source_file", "'t' AS source_table", "CAST(id AS string) AS source_row_id")
+    save_bucketed({"curve_points": points, "curves": curves}, "bucketed", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = curve_points_join(spark.table("bucketed.curve_points"), spark.table("bucketed.curves"), ["damage_type"])
+        assert "SortMergeJoin" in plan(joined) and "Exchange" not in plan(joined) and joined.count() == 40
+        assert "Exchange" not in plan(reshape.widen_points(spark.table("bucketed.curve_points"), [0.0, 1.0]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
