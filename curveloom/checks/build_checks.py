@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from curveloom.checks.registry import check
-from curveloom.checks.sample import CASES, FLAGS, GRID7, Sample, with_ctes
+from curveloom.checks.sample import DEFECT_NOTE, FLAGS, GRID7, UNDOCUMENTED_WORDS, Sample, with_ctes
 from curveloom.fixed_values import BLANKS
 from curveloom.functions import text as tx
 from curveloom.functions.axis import axis_value
 from curveloom.operators import contracts, reshape
 from curveloom.operators.filters import classify
-from curveloom.plans.library import melt_wide_table
+from curveloom.plans.library import melt_wide_table, melt_wind_table
 from curveloom.schema import TABLES, conform, not_null_violations, pk_violations
 from curveloom.sources import readers, writers
 from curveloom.sources.catalog import read_tables
@@ -397,3 +397,49 @@ SELECT p.curve_id, x, y FROM points7 p WHERE EXISTS (SELECT 1 FROM curves c WHER
 def slice_tables_check(s: Sample) -> DataFrame:
     curves = s.curves().withColumn("peril", F.when(F.col("occupancy") == "Brand#7", "b7").otherwise(F.col("peril")))
     return reshape.slice_tables({"curves": curves, "curve_points": s.points7()}, "b7")["curve_points"]
+
+
+# --- the wind build -----------------------------------------------------------------------------
+def _wind(s: Sample) -> dict[str, DataFrame]:
+    return melt_wind_table(
+        s.wind_table(), s.building_types(), s.terrain(), s.dictionary(5), GRID7, version="6.1", source_agency="model",
+        source_file="wind.csv", source_table="wind", defect_note=DEFECT_NOTE)
+
+
+@check("wind_curves", with_ctes("wind") + """
+SELECT curve_id, 'hu' AS peril, '6.1' AS version, damage_type, p_type AS building_type, 'model' AS source_agency,
+substr(rpad(split_part(p_name, ' ', 1), 5, '_'), 1, 5) || substr(rpad(split_part(p_name, ' ', 2), 5, '_'), 1, 5) AS description,
+CAST(NULL AS VARCHAR) AS defect_flag, 'wind.csv' AS source_file, 'wind' AS source_table,
+CAST(partkey AS VARCHAR) || '/' || CAST(terrain AS VARCHAR) || '/' || CAST(class_id AS VARCHAR) AS source_row_id FROM wind""")
+def wind_curves(s: Sample) -> DataFrame:
+    return _wind(s)["curves"]
+
+
+@check("wind_points", with_ctes("wind") + " UNION ALL ".join(
+    f"SELECT curve_id, CAST({k} AS DOUBLE) AS x, p{k} AS y FROM wind" for k in range(1, 8)))
+def wind_points(s: Sample) -> DataFrame:
+    return _wind(s)["curve_points"]
+
+
+_UNKNOWN = ", ".join(f"'{w}'" for w in UNDOCUMENTED_WORDS)
+_WORD1, _WORD2 = "split_part(p_name, ' ', 1)", "split_part(p_name, ' ', 2)"
+_CODE1, _CODE2 = (f"substr(rpad({w}, 5, '_'), 1, 5)" for w in (_WORD1, _WORD2))
+
+
+@check("lookup_dims", with_ctes("wind") + " UNION ALL ".join(
+    f"SELECT curve_id, '{k}' AS key, {v} AS value FROM wind WHERE {c}" for k, v, c in (
+        ("wind_building_type_id", "CAST(partkey AS VARCHAR)", "true"),
+        ("specific_building_type", "p_type", "true"),
+        ("terrain_id", "CAST(terrain AS VARCHAR)", "true"),
+        ("terrain", "'Open'", "terrain = 1"),
+        ("surface_roughness_m", "CAST((SELECT count(*) FROM lineitem WHERE l_linestatus = 'F') AS VARCHAR)", "terrain = 1"),
+        ("geographic_case", "case_name", "true"),
+        ("characteristic_code", f"{_CODE1} || {_CODE2}", "true"),
+        ("Look", f"upper({_WORD1})", f"{_WORD1} NOT IN ({_UNKNOWN})"),
+        ("Thing", f"upper({_WORD2})", f"{_WORD2} NOT IN ({_UNKNOWN})"),
+        ("characteristic_unmapped_code",
+         f"concat_ws(',', CASE WHEN {_WORD1} IN ({_UNKNOWN}) THEN {_CODE1} END, CASE WHEN {_WORD2} IN ({_UNKNOWN}) THEN {_CODE2} END)",
+         f"{_WORD1} IN ({_UNKNOWN}) OR {_WORD2} IN ({_UNKNOWN})"),
+    )))
+def lookup_dims(s: Sample) -> DataFrame:
+    return _wind(s)["curve_attributes"]

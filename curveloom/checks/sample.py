@@ -170,21 +170,42 @@ class Sample:
         )
 
     # --- codes ---------------------------------------------------------------------------------
-    def typed_codes(self) -> DataFrame:
+    def typed_codes(self, width: int = 6) -> DataFrame:
         words = F.split("p_name", " ")
         return self.table("part").select(
             F.col("p_partkey").alias("partkey"),
-            F.concat(F.rpad(words[0], 6, "_"), F.rpad(words[1], 6, "_")).alias("chars"),
+            F.concat(F.rpad(words[0], width, "_"), F.rpad(words[1], width, "_")).alias("chars"),
         )
 
-    def dictionary(self) -> DataFrame:
+    def dictionary(self, width: int = 6) -> DataFrame:
         words = F.split("p_name", " ")
         rows = self.table("part").select(F.explode(F.array(
             F.struct(words[0].alias("word"), F.lit("Look").alias("char_type")),
             F.struct(words[1].alias("word"), F.lit("Thing").alias("char_type")),
         )).alias("w")).select("w.*").distinct()
         known = rows.where(~F.col("word").isin(*UNDOCUMENTED_WORDS))
-        return known.select(F.rpad("word", 6, "_").alias("code"), "char_type", F.upper("word").alias("name"))
+        return known.select(F.rpad("word", width, "_").alias("code"), "char_type", F.upper("word").alias("name"))
+
+    # --- a wind table and its dictionaries -----------------------------------------------------
+    def wind_table(self) -> DataFrame:
+        """lib7 as a wind source table: part, line status as terrain, return flag as class (R is unknown)."""
+        return self.wide7().select(
+            F.col("partkey").alias("wbID"),
+            F.when(F.col("version") == "F", 1).otherwise(2).alias("TERRAINID"),
+            F.when(F.col("damage_type") == "A", 1).when(F.col("damage_type") == "N", 5).otherwise(99).alias("DamLossDescID"),
+            *[F.col(f"p{k}").alias(f"WS{k}") for k in range(1, 8)],
+        )
+
+    def building_types(self) -> DataFrame:
+        """Building type of every part but the largest ones."""
+        facts = self.table("part").where("p_size < 50").select(
+            F.col("p_partkey").alias("partkey"), F.col("p_type").alias("sbt"), _case("p_type", 0).alias("case_name"))
+        return facts.join(self.typed_codes(5), "partkey").withColumnRenamed("partkey", "wbID")
+
+    def terrain(self) -> DataFrame:
+        """Terrain 1 with its number of lines as roughness; terrain 2 is not described."""
+        return self.table("lineitem").where("l_linestatus = 'F'").agg(
+            F.lit(1).alias("TERRAINID"), F.lit("Open").alias("terrain"), F.count(F.lit(1)).alias("roughness"))
 
     # --- exposures -----------------------------------------------------------------------------
     def exposures(self) -> DataFrame:
@@ -347,6 +368,14 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         ("typed",),
         "SELECT partkey, 0 AS pos, code0 AS code FROM typed UNION ALL SELECT partkey, 1, code1 FROM typed",
     ),
+    "wind": (
+        ("wide7",),
+        "SELECT 'hu-6.1-' || t.damage_type || '-' || CAST(partkey AS VARCHAR) || '-t' || CAST(terrain AS VARCHAR) AS curve_id, partkey, "
+        "t.damage_type, class_id, terrain, p_type, p_name, " + ", ".join(f"p{k}" for k in range(1, 8))
+        + f", {_case_sql(0)} AS case_name FROM (SELECT *, CASE WHEN version = 'F' THEN 1 ELSE 2 END AS terrain FROM wide7) w "
+        "JOIN (VALUES ('A', 1, 'damage_slight'), ('N', 5, 'building_loss')) AS t(flag, class_id, damage_type) ON flag = w.damage_type "
+        "JOIN part ON p_partkey = partkey AND p_size < 50",
+    ),
     "exposures": (
         (),
         "SELECT event_id AS exposure_id, 'li-' || CASE WHEN event_id % 2 = 0 THEN 'F' ELSE 'O' END || '-' || "

@@ -205,7 +205,7 @@ def count_matches_check(s: Sample) -> DataFrame:
 
 
 @check("unit_guard", with_ctes("curves", "kinds") + """
-SELECT count(*) AS n_curves, count(DISTINCT c.damage_type) AS n_damage_types, count(DISTINCT coalesce(y_units, 'mixed')) AS n_units, min(curve_id) AS first_curve_id, 'heterogeneous' AS status
+SELECT count(*) AS n_curves, count(DISTINCT c.damage_type) AS n_damage_types, count(DISTINCT coalesce(y_units, 'mixed')) AS n_units, 'heterogeneous' AS status
 FROM curves c LEFT JOIN kinds k ON k.peril = c.peril AND k.damage_type = c.damage_type""")
 def unit_guard_check(s: Sample) -> DataFrame:
     return ag.unit_guard(s.curves(), s.kinds())
@@ -255,6 +255,14 @@ def search_check(s: Sample) -> DataFrame:
     return r9(result.rows(), "y", "y_std")
 
 
+@check("search_zone", with_ctes("points7", "curves", "zones") + """
+SELECT 'DERIVED' AS curve_id, 'A' AS damage_type, x, round(sum(y) / nullif(count(y), 0), 9) AS y, round(stddev_pop(y), 9) AS y_std, min(y) AS y_min, max(y) AS y_max, count(y) AS n_at_x
+FROM points7 p JOIN curves c ON c.curve_id = p.curve_id WHERE c.damage_type = 'A' AND c.curve_id IN (SELECT curve_id FROM zones WHERE flood_zone = 'Riverine') GROUP BY x""")
+def search_zone(s: Sample) -> DataFrame:
+    result = search(s.curves(), s.points7(), s.kinds(), applicability=zones_of(s), equals={"damage_type": "A"}, zone="Riverine")
+    return r9(result.rows(), "y", "y_std")
+
+
 @check("search_single", with_ctes("points7") + """
 SELECT curve_id, 'A' AS damage_type, x, y, CAST(NULL AS DOUBLE) AS y_std, y AS y_min, y AS y_max, count(y) AS n_at_x FROM points7
 WHERE curve_id = 'li-F-A-7' GROUP BY curve_id, x, y""")

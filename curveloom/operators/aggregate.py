@@ -22,18 +22,17 @@ def totals(curves: DataFrame, points: DataFrame) -> DataFrame:
 
 
 def count_matches(curves: DataFrame) -> DataFrame:
-    return curves.agg(F.count_distinct("curve_id").alias("n"))
+    """Matched curves; filters are semi joins, so a curve is never counted twice."""
+    return curves.agg(F.count("curve_id").alias("n"))
 
 
 def unit_guard(curves: DataFrame, kinds: DataFrame | None = None) -> DataFrame:
     """One row saying whether the curves may be averaged: ok, empty or heterogeneous.
 
-    With ``kinds`` the units must agree too.  ``first_curve_id`` is the smallest matched id.
+    With ``kinds`` the units must agree too.
     """
     # curves are combined per (peril, damage type) first: a handful of rows meets the units
-    few = curves.groupBy("peril", "damage_type").agg(
-        F.count(F.lit(1)).alias("n"), F.min("curve_id").alias("first_id")
-    )
+    few = curves.groupBy("peril", "damage_type").agg(F.count(F.lit(1)).alias("n"))
     if kinds is None:
         few = few.withColumn("y_units", F.lit("not checked"))
     else:
@@ -42,7 +41,6 @@ def unit_guard(curves: DataFrame, kinds: DataFrame | None = None) -> DataFrame:
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_curves"),
         F.count_distinct("damage_type").alias("n_damage_types"),
         F.count_distinct(F.coalesce("y_units", F.lit("mixed"))).alias("n_units"),
-        F.min("first_id").alias("first_curve_id"),
     )
     status = (
         F.when(F.col("n_curves") == 0, "empty")
@@ -77,7 +75,7 @@ def average_curve(points: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 def constituents(curves: DataFrame, by: list[str]) -> DataFrame:
     """The curves behind each average, one row each; complete at any size."""
-    return curves.select(*by, "curve_id").distinct()
+    return curves.select(*by, "curve_id")
 
 
 def constituent_lists(curves: DataFrame, by: list[str], max_inline: int = INLINE_IDS) -> DataFrame:

@@ -70,10 +70,12 @@ def _finish(located: DataFrame, columns: list[str], low: Column, high: Column) -
     return marked.select(*columns, _value(F.col("status"), x, x0, y0, x1, y1).alias("y"), "status")
 
 
-def evaluate_wide(exposures: DataFrame, wide: DataFrame) -> DataFrame:
+def evaluate_wide(exposures: DataFrame, wide: DataFrame, broadcast_rows: int | None = None) -> DataFrame:
     """Evaluate against a wide library (curve_id plus measure columns) without melting it."""
     measures = measure_columns(wide.columns)
     packed = wide.select("curve_id", F.array(*[F.col(c).cast("double") for c in measures]).alias("ys"))
+    if broadcast_rows is not None:
+        packed = broadcast_checked(packed, broadcast_rows)
     return evaluate_packed(exposures, packed, list(measures.values()))
 
 
