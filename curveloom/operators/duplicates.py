@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from curveloom.fixed_values import DIFFERS, IDENTICAL
+from curveloom.operators.skew import salted_join
 
 
 def sibling_compare(
@@ -15,19 +16,18 @@ def sibling_compare(
     ``packed`` has curve_id, the key columns, the level column and ``ys``.  A curve is a duplicate
     when some base curve with equal keys has equal values, NULLs included.  The base side is
     reduced to distinct (keys, ys) and distinct keys, so both joins match at most one row however
-    many base curves share a key.  A NULL key never matches.
+    many base curves share a key.  A key or a group of copies with very many curves is spread by a
+    salt.  A NULL key never matches.
     """
     base_rows = packed.where(F.col(level) == base).select(*keys, "ys").distinct()
     base_keys = base_rows.select(*keys).distinct().withColumn("_has", F.lit(True))
     multi = packed.where(F.col(level).isin(*others)).select("curve_id", *keys, "ys")
-    return (
-        multi.join(base_keys, keys, "left")
-        .join(base_rows.withColumn("_same", F.lit(True)), [*keys, "ys"], "left")
-        .select(
-            "curve_id",
-            F.coalesce("_same", F.lit(False)).alias("is_duplicate"),
-            F.coalesce("_has", F.lit(False)).alias("had_counterpart"),
-        )
+    keyed = salted_join(multi, base_keys, keys, ["curve_id"])
+    same = base_rows.withColumn("_same", F.lit(True))
+    return salted_join(keyed, same, [*keys, "ys"], ["curve_id"]).select(
+        "curve_id",
+        F.coalesce("_same", F.lit(False)).alias("is_duplicate"),
+        F.coalesce("_has", F.lit(False)).alias("had_counterpart"),
     )
 
 

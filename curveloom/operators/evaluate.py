@@ -13,20 +13,25 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from curveloom.functions.axis import measure_columns
 from curveloom.operators.reshape import pack_curve
+from curveloom.operators.skew import salted_join
 
 
-def broadcast_checked(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` stays within ``max_rows``.
+LIBRARY_SALT = 2  # copies of the library in a shuffled join; Spark splits further what stays hot
+
+
+def is_small(df: DataFrame, max_rows: int) -> bool:
+    """Count ``df`` up to the bound; the library is small next to the exposures."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
-    This runs a count of the library (small next to the exposures).  Above the bound the join is
-    left to Spark, which sorts and merges and splits hot curve ids on the exposure side.
-    """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
 
+def _evaluate_checked(exposures: DataFrame, packed: DataFrame, grid: list[float], broadcast_rows: int | None) -> DataFrame:
+    """Broadcast a library counted to be within the bound; otherwise join by shuffling."""
+    if broadcast_rows is not None and is_small(packed, broadcast_rows):
+        return evaluate_packed(exposures, F.broadcast(packed), grid, salt=1)
+    return evaluate_packed(exposures, packed, grid)
 
-def _status(exists: Column, x: Column, low: Column, high: Column, x0: Column, y0: Column, y1: Column) -> Column:
-    inside = F.coalesce((x >= low) & (x <= high), F.lit(False))
+
+def _status(exists: Column, inside: Column, x: Column, x0: Column, y0: Column, y1: Column) -> Column:
     exact = x == x0
     return (
         F.when(~exists, "no_such_curve")
@@ -43,30 +48,31 @@ def _value(status: Column, x: Column, x0: Column, y0: Column, x1: Column, y1: Co
     return F.when((status == "ok") & (x == x0), y0).when(status == "ok", line)
 
 
-def evaluate_packed(exposures: DataFrame, packed: DataFrame, grid: list[float]) -> DataFrame:
+def evaluate_packed(exposures: DataFrame, packed: DataFrame, grid: list[float], salt: int = LIBRARY_SALT) -> DataFrame:
     """Evaluate against (curve_id, ys) rows that share one grid.
 
     The join is one library row per exposure, so it neither fans out nor ships a row per point;
     the neighbours are picked by counting grid values at or below x, inside generated code.
     """
     grid = sorted(float(g) for g in grid)
-    joined = exposures.join(packed.select("curve_id", "ys"), "curve_id", "left")
+    joined = salted_join(exposures, packed.select("curve_id", "ys"), ["curve_id"], exposures.columns, salt=salt)
     below = reduce(lambda a, b: a + b, [(F.col("x") >= g).cast("int") for g in grid])
     xs = F.array(*[F.lit(g) for g in grid])
     located = joined.withColumn("_k", below).select(
         *exposures.columns,
         F.col("ys").isNotNull().alias("_exists"),
+        F.coalesce((F.col("x") >= grid[0]) & (F.col("x") <= grid[-1]), F.lit(False)).alias("_inside"),
         F.get(xs, F.col("_k") - 1).alias("_x0"),
         F.get(xs, F.col("_k")).alias("_x1"),
         F.get("ys", F.col("_k") - 1).alias("_y0"),
         F.get("ys", F.col("_k")).alias("_y1"),
     )
-    return _finish(located, exposures.columns, F.lit(grid[0]), F.lit(grid[-1]))
+    return _finish(located, exposures.columns)
 
 
-def _finish(located: DataFrame, columns: list[str], low: Column, high: Column) -> DataFrame:
+def _finish(located: DataFrame, columns: list[str]) -> DataFrame:
     x, x0, x1, y0, y1 = (F.col(c) for c in ("x", "_x0", "_x1", "_y0", "_y1"))
-    marked = located.withColumn("status", _status(F.col("_exists"), x, low, high, x0, y0, y1))
+    marked = located.withColumn("status", _status(F.col("_exists"), F.col("_inside"), x, x0, y0, y1))
     return marked.select(*columns, _value(F.col("status"), x, x0, y0, x1, y1).alias("y"), "status")
 
 
@@ -74,9 +80,7 @@ def evaluate_wide(exposures: DataFrame, wide: DataFrame, broadcast_rows: int | N
     """Evaluate against a wide library (curve_id plus measure columns) without melting it."""
     measures = measure_columns(wide.columns)
     packed = wide.select("curve_id", F.array(*[F.col(c).cast("double") for c in measures]).alias("ys"))
-    if broadcast_rows is not None:
-        packed = broadcast_checked(packed, broadcast_rows)
-    return evaluate_packed(exposures, packed, list(measures.values()))
+    return _evaluate_checked(exposures, packed, list(measures.values()), broadcast_rows)
 
 
 def segments(points: DataFrame) -> DataFrame:
@@ -92,29 +96,51 @@ def segments(points: DataFrame) -> DataFrame:
 
 
 def segment_join(exposures: DataFrame, points: DataFrame, bucket_width: float | None = None) -> DataFrame:
-    """Every exposure with its curve's domain and, inside it, the segment that holds x.
+    """Every exposure with the segment that holds x (``_x0, _y0, _x1, _y1``; NULL outside the domain),
+    ``_exists`` (the curve is known) and ``_inside`` (x is in its domain).
 
-    Each exposure is tested against the segments of its curve.  For curves with very many points
-    ``bucket_width`` adds a bucket of x to the join key: a segment is repeated in the buckets it
-    crosses and a hot curve is spread over them, with the same result.
+    The parts of the axis below and above each domain are segments too, so one join answers all
+    three.  Each exposure is tested against the segments of its curve; for curves with very many
+    points ``bucket_width`` adds a bucket of x to the key instead: a segment is repeated in the
+    buckets it crosses, a hot curve is spread over them, and the result is the same.
     """
-    domain = points.groupBy("curve_id").agg(
-        F.min("x").alias("_low"), F.max("x").alias("_high"), F.lit(True).alias("_known")
-    )
-    seg = segments(points).withColumnRenamed("curve_id", "_seg_id")
-    holds = (F.col("curve_id") == F.col("_seg_id")) & (
-        (F.col("x") == F.col("_x0")) | ((F.col("x") > F.col("_x0")) & (F.col("x") < F.col("_x1")))
-    )
-    located = exposures.join(domain, "curve_id", "left")
-    if bucket_width is not None:
-        bucket = lambda x: F.floor(x / F.lit(float(bucket_width)))
-        crossed = F.sequence(bucket(F.col("_x0")), bucket(F.coalesce("_x1", "_x0")))
-        seg = seg.withColumn("_seg_bucket", F.explode(crossed))
-        # outside the domain there is no segment, and x may be too large for a bucket number
-        inside = F.when(F.col("x").between(F.col("_low"), F.col("_high")), F.col("x"))
-        located = located.withColumn("_bucket", bucket(inside))
-        holds = holds & (F.col("_bucket") == F.col("_seg_bucket"))
-    return located.join(seg, holds, "left").drop("_seg_id", "_bucket", "_seg_bucket")
+    domain = points.groupBy("curve_id").agg(F.min("x").alias("_low"), F.max("x").alias("_high"))
+    seg = segments(points)
+    x, x0, x1 = F.col("x"), F.col("_x0"), F.col("_x1")
+    by = exposures.columns
+    if bucket_width is None:
+        nothing = F.lit(None).cast("double")
+        below = F.struct(nothing.alias("_x0"), F.col("_low").alias("_x1"))
+        above = F.struct(F.col("_high").alias("_x0"), nothing.alias("_x1"))
+        ends = domain.select("curve_id", F.inline(F.array(below, above))).select(
+            "curve_id", "_x0", nothing.alias("_y0"), "_x1", nothing.alias("_y1"), F.lit(True).alias("_end")
+        )
+        library = seg.withColumn("_end", F.lit(False)).unionByName(ends)
+        # a missing x is outside every domain
+        place = F.coalesce(F.nanvl(x, F.lit(float("-inf"))), F.lit(float("-inf")))
+        holds = F.when(F.col("_end"), F.coalesce(place < x1, place > x0)).otherwise(
+            (place == x0) | F.coalesce((place > x0) & (place < x1), F.lit(False))
+        )
+        joined = salted_join(exposures, library, ["curve_id"], by, salt=LIBRARY_SALT, condition=holds)
+        shown = [F.when(~F.col("_end"), F.col(c)).alias(c) for c in ("_x0", "_y0", "_x1", "_y1")]
+        return joined.select(
+            *by, F.col("_right_curve_id").isNotNull().alias("_exists"),
+            F.coalesce(~F.col("_end"), F.lit(False)).alias("_inside"), *shown,
+        )
+    located = salted_join(exposures, domain, ["curve_id"], by, salt=LIBRARY_SALT).withColumns({
+        "_exists": F.col("_low").isNotNull(),
+        "_inside": F.coalesce(x.between(F.col("_low"), F.col("_high")), F.lit(False)),
+    })
+
+    def bucket(c: Column) -> Column:
+        return F.floor(c / F.lit(float(bucket_width)))
+
+    # outside the domain there is no segment, and x may be too large for a bucket number
+    located = located.withColumn("_bucket", bucket(F.when(F.col("_inside"), x)))
+    crossed = seg.withColumn("_bucket", F.explode(F.sequence(bucket(x0), bucket(F.coalesce(x1, x0)))))
+    holds = (x == x0) | ((x > x0) & (x < x1))
+    joined = salted_join(located, crossed, ["curve_id", "_bucket"], by, salt=LIBRARY_SALT, condition=holds)
+    return joined.select(*by, "_exists", "_inside", "_x0", "_y0", "_x1", "_y1")
 
 
 def evaluate(
@@ -131,12 +157,8 @@ def evaluate(
     ``broadcast_rows`` allows a packed library counted to be no larger than that to be broadcast.
     """
     if grid is not None:
-        packed = pack_curve(points, grid)
-        if broadcast_rows is not None:
-            packed = broadcast_checked(packed, broadcast_rows)
-        return evaluate_packed(exposures, packed, grid)
-    located = segment_join(exposures, points, bucket_width).withColumn("_exists", F.coalesce("_known", F.lit(False)))
-    return _finish(located, exposures.columns, F.col("_low"), F.col("_high"))
+        return _evaluate_checked(exposures, pack_curve(points, grid), grid, broadcast_rows)
+    return _finish(segment_join(exposures, points, bucket_width), exposures.columns)
 
 
 def strict(evaluated: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from curveloom.fixed_values import CODE_ROW_PATTERN, CODE_TABLE_HEADER, NEXT_TABLE_PATTERN, PAGE_LABEL_PATTERN
 from curveloom.functions.literal import literal_frame
 from curveloom.functions.text import fold_blanks, printed_label
+from curveloom.operators.skew import salted_join
 from curveloom.sources.writers import materialize
 
 
@@ -75,7 +76,8 @@ def code_table(page_rows: DataFrame, strict: bool = False) -> DataFrame:
     is_next = F.col("row.description").rlike(NEXT_TABLE_PATTERN)
     place = F.struct("page", F.col("row.pos").alias("pos"))
     starts = page_rows.where("has_header").groupBy("doc").agg(F.min("page").alias("start"))
-    inside = page_rows.join(starts, "doc").where(F.col("page") >= F.col("start")).select("doc", "page", "rows")
+    inside = salted_join(page_rows, starts, ["doc"], ["page"], "inner")
+    inside = inside.where(F.col("page") >= F.col("start")).select("doc", "page", "rows")
     lines = inside.select("doc", "page", F.explode("rows").alias("row"))
     ends = lines.groupBy("doc").agg(
         F.min(F.when(is_next, place)).alias("next_table"),
@@ -83,14 +85,13 @@ def code_table(page_rows: DataFrame, strict: bool = False) -> DataFrame:
     )
     # the first page without rows after the table began
     blanks = (
-        inside.where(F.size("rows") == 0)
-        .join(ends.select("doc", "first_page"), "doc")
+        salted_join(inside.where(F.size("rows") == 0), ends.select("doc", "first_page"), ["doc"], ["page"], "inner")
         .where(F.col("page") > F.col("first_page"))
         .groupBy("doc")
         .agg(F.min("page").alias("blank_page"))
     )
     kept = (
-        lines.join(ends.join(blanks, "doc", "left"), "doc")
+        salted_join(lines, ends.join(blanks, "doc", "left"), ["doc"], ["page"], "inner")
         .where(F.col("next_table").isNull() | (place < F.col("next_table")))
         .where(F.col("blank_page").isNull() | (F.col("page") < F.col("blank_page")))
     )

@@ -82,3 +82,67 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
         assert "Exchange" not in plan(reshape.widen_points(spark.table("bucketed.curve_points"), [0.0, 1.0]))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+SKEW = {
+    "spark.sql.shuffle.partitions": "32",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+}
+
+
+@pytest.fixture
+def tiny_partitions(spark):
+    for key, value in SKEW.items():
+        spark.conf.set(key, value)
+    yield
+    for key in SKEW:
+        spark.conf.unset(key)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def hot(n: int) -> str:
+    """A third of the rows share one key."""
+    return f"IF(id % 3 = 0, 'c0', concat('c', CAST(id % {n} AS string)))"
+
+
+def test_hot_curve_is_split_in_the_evaluation_join(spark, tiny_partitions):
+    from curveloom.operators.evaluate import evaluate
+
+    points = spark.range(3000).selectExpr("concat('c', CAST(id % 1000 AS string)) AS curve_id", "CAST(id DIV 1000 AS double) AS x", "CAST(id AS double) AS y")
+    exposures = spark.range(0, 200000, 1, 8).selectExpr("id AS exposure_id", f"{hot(1000)} AS curve_id", "CAST(id % 5 AS double) / 2 AS x")
+    for grid in ([0.0, 1.0, 2.0], None):
+        out = evaluate(exposures, points, grid)
+        assert out.count() == 200000
+        by_status = {r["status"]: r["count"] for r in out.groupBy("status").count().collect()}
+        assert by_status == {"ok": 200000}
+    packed = evaluate(exposures, points, [0.0, 1.0, 2.0])
+    packed.collect()
+    assert "SortMergeJoin(skew=true)" in plan(packed)
+
+
+def test_hot_sibling_key_is_spread(spark, tiny_partitions):
+    from curveloom.operators.duplicates import sibling_compare
+    from curveloom.operators.skew import spread
+
+    packed = spark.range(0, 150000, 1, 8).selectExpr(
+        "CAST(id AS string) AS curve_id", f"{hot(500)} AS k", "IF(id % 2 = 0, '1', '2') AS level", "array(CAST(id % 11 AS double)) AS ys")
+    verdict = sibling_compare(packed, ["k"], "level", "1", ["2"])
+    assert len(verdict.collect()) == 75000
+    assert plan(verdict).count("_salt") > 2
+    salts = [r["count"] for r in spread(packed.where("k = 'c0'"), ["curve_id"], 8).groupBy("_salt").count().collect()]
+    assert len(salts) == 8 and max(salts) < sum(salts) / 6
+
+
+def test_hot_key_groups_are_combined_before_the_shuffle(spark):
+    """Aggregates over a hot curve id ship one row per task, not its points."""
+    from curveloom.operators import contracts, diff
+
+    points = spark.range(0, 90000, 1, 8).selectExpr(f"{hot(300)} AS curve_id", "CAST(id % 3 AS double) AS x", "CAST(id AS double) AS y")
+    for df in (contracts.grid_completeness(points, [0.0, 1.0, 2.0]), reshape.widen_points(points, [0.0, 1.0, 2.0]),
+               diff.diff_curves(points, points, [0.0, 1.0, 2.0])):
+        text = plan(df)
+        assert text.count("Exchange") == 1 and "HashAggregate" in text.split("Exchange")[1]
