@@ -16,7 +16,7 @@ from curveloom.operators.reshape import pack_curve
 from curveloom.operators.skew import salted_join
 
 
-LIBRARY_SALT = 2  # copies of the library in a shuffled join; Spark splits further what stays hot
+LIBRARY_SALT = 1  # no copies of the library: its own shuffle lets Spark split a hot curve's exposures
 
 
 def is_small(df: DataFrame, max_rows: int) -> bool:
@@ -27,7 +27,7 @@ def is_small(df: DataFrame, max_rows: int) -> bool:
 def _evaluate_checked(exposures: DataFrame, packed: DataFrame, grid: list[float], broadcast_rows: int | None) -> DataFrame:
     """Broadcast a library counted to be within the bound; otherwise join by shuffling."""
     if broadcast_rows is not None and is_small(packed, broadcast_rows):
-        return evaluate_packed(exposures, F.broadcast(packed), grid, salt=1)
+        return evaluate_packed(exposures, F.broadcast(packed), grid, salt=None)
     return evaluate_packed(exposures, packed, grid)
 
 
@@ -48,14 +48,21 @@ def _value(status: Column, x: Column, x0: Column, y0: Column, x1: Column, y1: Co
     return F.when((status == "ok") & (x == x0), y0).when(status == "ok", line)
 
 
-def evaluate_packed(exposures: DataFrame, packed: DataFrame, grid: list[float], salt: int = LIBRARY_SALT) -> DataFrame:
+def evaluate_packed(
+    exposures: DataFrame, packed: DataFrame, grid: list[float], salt: int | None = LIBRARY_SALT
+) -> DataFrame:
     """Evaluate against (curve_id, ys) rows that share one grid.
 
     The join is one library row per exposure, so it neither fans out nor ships a row per point;
     the neighbours are picked by counting grid values at or below x, inside generated code.
+    ``salt`` None joins without one, for a broadcast library.
     """
     grid = sorted(float(g) for g in grid)
-    joined = salted_join(exposures, packed.select("curve_id", "ys"), ["curve_id"], exposures.columns, salt=salt)
+    library = packed.select("curve_id", "ys")
+    if salt is None:
+        joined = exposures.join(library, "curve_id", "left")
+    else:
+        joined = salted_join(exposures, library, ["curve_id"], exposures.columns, salt=salt)
     below = reduce(lambda a, b: a + b, [(F.col("x") >= g).cast("int") for g in grid])
     xs = F.array(*[F.lit(g) for g in grid])
     located = joined.withColumn("_k", below).select(

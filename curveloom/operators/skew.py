@@ -30,12 +30,11 @@ def salted_join(
 ) -> DataFrame:
     """Equi join on ``keys`` in which a hot key of the left side is spread over ``salt`` partitions.
 
-    The right side is repeated, so it should be the small one.  The salt also gives both sides a
-    shuffle of their own, which Spark needs to split what is still skewed: an aggregate that already
-    has the right partitioning would be joined as it is, and is never split.
+    The right side is repeated ``salt`` times, so it should be the small one.  The salt also gives
+    both sides a shuffle of their own, which Spark needs to split what is still skewed: an aggregate
+    that already has the right partitioning would be joined as it is, and is never split.  A salt of
+    1 repeats nothing and only brings that shuffle.
     """
-    if salt == 1 and condition is None:
-        return left.join(right, keys, how)
     a, b = spread(left, spread_by, salt), replicate(right, salt)
     if condition is None:
         return a.join(b, [*keys, "_salt"], how).drop("_salt")
