@@ -203,9 +203,11 @@ class Sample:
         return facts.join(self.typed_codes(5), "partkey").withColumnRenamed("partkey", "wbID")
 
     def terrain(self) -> DataFrame:
-        """Terrain 1 with its number of lines as roughness; terrain 2 is not described."""
-        return self.table("lineitem").where("l_linestatus = 'F'").agg(
-            F.lit(1).alias("TERRAINID"), F.lit("Open").alias("terrain"), F.count(F.lit(1)).alias("roughness"))
+        """Terrains 1 and 3 with their number of lines as roughness; terrain 2 is not described."""
+        is_open = F.col("l_linestatus") == "F"
+        return self.table("lineitem").groupBy(
+            F.when(is_open, 1).otherwise(3).alias("TERRAINID"), F.when(is_open, "Open").otherwise("Unused").alias("terrain")
+        ).agg(F.count(F.lit(1)).alias("roughness"))
 
     # --- exposures -----------------------------------------------------------------------------
     def exposures(self) -> DataFrame:
