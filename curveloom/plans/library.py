@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from curveloom.fixed_values import DEFECT_FAMILIES
-from curveloom.functions.text import family_of, make_curve_id, normalise_id, stories_of, terrain_of
+from curveloom.functions.text import clean_text, family_of, make_curve_id, normalise_id, stories_of, terrain_of
 from curveloom.operators.contracts import column_accounting, grid_contract
 from curveloom.operators.duplicates import apply_verdict, duplicate_summary, sibling_compare
 from curveloom.operators.filters import classify, defect_flag
@@ -38,8 +38,6 @@ def melt_wide_table(
     literals = {"peril": peril, "version": version, "damage_type": damage_type,
                 "source_file": source_file, "source_table": source_table}
     keys = {c: role[5:] for c, role in roles.items() if role.startswith("attr:") and c in wide.columns}
-    from curveloom.functions.text import clean_text
-
     cleaned = keyed.select("curve_id", *[clean_text(F.col(c)).alias(c) for c in keys])
     return {
         "curves": melt_curves(keyed, roles, literals),
