@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curveloom.llm import minhash
+from curveloom.llm import language, minhash, toxicity
 from curveloom.llm.registry import query
 from curveloom.llm.tables import table
 
@@ -35,3 +35,13 @@ SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id
 @query(OP1_SQL)
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
