@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curveloom.llm import language, minhash, toxicity
+from curveloom.llm import language, minhash, secrets, toxicity
 from curveloom.llm.registry import query
 from curveloom.llm.tables import table
 
@@ -45,3 +45,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(table(spark, sf_dir, "documents"))
