@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from curveloom.llm.subwords import chunks, grams
@@ -143,11 +144,14 @@ def fitted(docs: DataFrame) -> Model:
     return Model(languages, np.log(table / table.sum(axis=0)))
 
 
-def predictor(model: Model) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def predictor(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = model.predict(batch["text"].tolist())
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "lang_pred": names, "score": scores})
+            names, scores = model.predict(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                ["doc_id", "lang_pred", "score"],
+            )
 
     return predict
 
@@ -163,6 +167,6 @@ def languages(docs: DataFrame) -> DataFrame:
     model = fitted(docs)
     return (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .mapInPandas(predictor(model), "doc_id long, lang_pred string, score double")
+        .mapInArrow(predictor(model), "doc_id long, lang_pred string, score double")
         .select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
     )

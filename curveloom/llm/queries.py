@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from curveloom.llm import language, minhash, secrets, toxicity
+from curveloom.llm import language, minhash, packing, secrets, toxicity
 from curveloom.llm.registry import query
 from curveloom.llm.tables import table
 
@@ -50,3 +51,8 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

@@ -14,7 +14,7 @@ import json
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 # fixed values: the base patterns, with the smallest length of what counts
@@ -158,17 +158,20 @@ def redacted(text: str, spans: list[Span]) -> str:
     return "".join([*parts, text[done:]])
 
 
-def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
-        for doc_id, text in zip(batch["doc_id"], batch["text"]):
+        counts, digests, spans = [], [], []
+        for text in batch.column("text").to_pylist():
             base = base_spans(text or "")
             kinds = [s[0] for s in base]
-            rows.append((
-                doc_id, *(kinds.count(k) for k in BASE), hashlib.sha256(joined(base).encode()).hexdigest(),
-                joined(base + confirmed_spans(text or "")),
-            ))
-        yield pd.DataFrame(rows, columns=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
+            counts.append([kinds.count(k) for k in BASE])
+            digests.append(hashlib.sha256(joined(base).encode()).hexdigest())
+            spans.append(joined(base + confirmed_spans(text or "")))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), *(pa.array([c[i] for c in counts], pa.int64()) for i in range(len(BASE))),
+             pa.array(digests, pa.string()), pa.array(spans, pa.string())],
+            ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
+        )
 
 
 def secrets(docs: DataFrame) -> DataFrame:
@@ -178,20 +181,23 @@ def secrets(docs: DataFrame) -> DataFrame:
     covers those of the base kinds.  A NULL text is empty: no spans, and the digest of an empty string.
     A NULL doc_id and rows that repeat one are scanned like others; no other column is read.
     """
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
         _scan, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
     )
 
 
-def _clean(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for text in batch["text"]:
+        for text in batch.column("text").to_pylist():
             spans = base_spans(text) + confirmed_spans(text) if text else []
             texts.append(redacted(text, spans) if spans else text)
-        yield batch.assign(text=texts)
+        at = batch.schema.get_field_index("text")
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:at], pa.array(texts, pa.string()), *batch.columns[at + 1 :]], batch.schema.names
+        )
 
 
 def without_secrets(docs: DataFrame) -> DataFrame:
     """``docs`` with all their columns; every secret in ``text`` is replaced by a mark.  NULL stays NULL."""
-    return docs.mapInPandas(_clean, docs.schema)
+    return docs.mapInArrow(_clean, docs.schema)

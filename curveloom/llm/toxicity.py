@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from curveloom.llm.subwords import chunks, grams
@@ -134,10 +134,13 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
     return train(rows["text"].tolist(), rows["toxic"].tolist())
 
 
-def scorer(model: Model) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def scorer(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds ``score`` to record batches with ``text``."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "score": model.scores(batch["text"].tolist())})
+            scores = pa.array(model.scores(batch.column("text").to_pylist()), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, "score"])
 
     return score
 
@@ -154,6 +157,6 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = fitted(docs, labels)
     return (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .mapInPandas(scorer(model), "doc_id long, score double")
+        .mapInArrow(scorer(model), "doc_id long, text string, score double")
         .select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
     )
