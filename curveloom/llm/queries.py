@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from curveloom.llm import language, minhash, packing, secrets, toxicity
+from curveloom.llm import language, licenses, licenses_sql, minhash, packing, secrets, spotsigs, spotsigs_sql, toxicity
 from curveloom.llm.registry import query
 from curveloom.llm.tables import table
 
@@ -56,3 +56,13 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query(licenses_sql.SQL)
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(table(spark, sf_dir, "documents"), licenses.known_licenses(spark))
+
+
+@query(spotsigs_sql.SQL)
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
