@@ -96,7 +96,7 @@ def canonical_lines(text: Column) -> Column:
     plain = F.regexp_replace(plain, PUNCTUATION, " ")
     for other, chosen in SPELLINGS:
         plain = F.replace(plain, F.lit(other), F.lit(chosen))
-    return F.filter(F.transform(F.split(plain, "\n"), F.trim), lambda line: line != "")
+    return F.filter(F.transform(F.split(plain, "\n"), lambda line: F.trim(line)), lambda line: line != "")
 
 
 def known_licenses(spark: SparkSession) -> DataFrame:
