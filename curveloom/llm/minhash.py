@@ -16,9 +16,10 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from curveloom.llm.components import components
 from curveloom.llm.tables import discard, stored
@@ -84,21 +85,33 @@ def digest(hashes: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(hashes.tobytes())
 
 
-def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [shingles(t) for t in batch["text"]]
-        yield pd.DataFrame({
-            "doc_id": batch["doc_id"],
-            "n_shingles": [len(s) for s in sets],
-            "set_id": [digest(s) if len(s) else None for s in sets],
-            "bands": [bands(s) if len(s) else None for s in sets],
-        })
+        sizes, names, keys = [], [], []
+        for text in batch.column("text"):
+            found = shingles(text.as_py())
+            sizes.append(len(found))
+            names.append(digest(found) if len(found) else None)
+            keys.append(bands(found) if len(found) else None)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()),
+             pa.array(names, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+            ["doc_id", "text_hash", "n_shingles", "set_id", "bands"],
+        )
+
+
+def _plain(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
+        F.xxhash64(F.col("text").cast("string")).alias("text_hash"),
+    )
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, set_id, bands); set_id and bands are NULL for a document without words."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(
-        _signed, "doc_id long, n_shingles long, set_id binary, bands array<long>"
+    """(doc_id, text_hash, n_shingles, set_id, bands); set_id and bands are NULL for a document without words."""
+    return _plain(docs).mapInArrow(
+        _signed, "doc_id long, text_hash long, n_shingles long, set_id binary, bands array<long>"
     )
 
 
@@ -236,8 +249,7 @@ def set_components(signs: DataFrame, docs: DataFrame) -> DataFrame:
     members = stored(rows.join(shared, "bucket"), "buckets")
     discard(rows)
     named = members.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = stored(plain.where(F.col("text").isNotNull()).join(named, "doc_id").select("set_id", "text"), "texts")
+    texts = stored(_plain(docs).where("text IS NOT NULL").join(named, "doc_id").select("set_id", "text"), "texts")
     stars = members.where(F.col("set_id") != F.col("pivot")).select(
         F.col("set_id").alias("a"), F.col("pivot").alias("b")
     ).distinct()
@@ -252,6 +264,18 @@ def set_components(signs: DataFrame, docs: DataFrame) -> DataFrame:
     return stored(components(links.union(stored(more, "links"))), "roots")
 
 
+def _placed(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id and kept of each row, as ``near_duplicates`` defines them."""
+    signs = stored(signed(docs), "signatures")
+    named = _named(signs.drop("bands"), set_components(signs, docs))
+    lowest = named.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    component = F.coalesce("component_id", "doc_id")
+    return named.join(lowest, "root", "left").select(
+        "doc_id", "text_hash", "n_shingles", component.alias("component_id"),
+        F.when(component.isNotNull(), F.col("doc_id").eqNullSafe(component)).alias("kept"),
+    )
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -261,12 +285,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     keeps its row; it belongs to a component only beside documents with an id, and kept is then false,
     else component_id and kept are NULL.  No documents give no rows.
     """
-    signs = stored(signed(docs), "signatures")
-    roots = set_components(signs, docs)
-    named = _named(signs.select("doc_id", "n_shingles", "set_id"), roots)
-    lowest = named.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return named.join(lowest, "root", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.coalesce("component_id", "doc_id").alias("component_id"),
-    ).withColumn("kept", F.when(F.col("component_id").isNotNull(), F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    return _placed(docs).drop("text_hash")
+
+
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """The kept rows of ``docs``, with all their columns: of each component that with the smallest doc_id.
+
+    Texts without words stay, and so do rows without a doc_id in components without one.  Rows with equal
+    doc_id and text count once.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]  # columns may have any names
+    doc_id, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
+    keys = {"no_id": F.col("doc_id").isNull(), "id": F.coalesce("doc_id", F.lit(0))}
+    rows = docs.toDF(*names).withColumns(
+        {"doc_id": doc_id.cast("long"), "text_hash": F.xxhash64(text.cast("string"))}
+    ).withColumns(keys)
+    stay = _placed(docs).where(F.coalesce("kept", F.lit(True))).withColumns(keys).select(*keys, "text_hash").distinct()
+    first = F.row_number().over(Window.partitionBy(*keys, "text_hash").orderBy(F.lit(0)))
+    return rows.join(stay, [*keys, "text_hash"], "left_semi").withColumn("turn", first).where("turn = 1").select(*names).toDF(*docs.columns)

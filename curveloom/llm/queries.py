@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from curveloom.llm import language, licenses, licenses_sql, minhash, packing, secrets, spotsigs, spotsigs_sql, toxicity
+from curveloom.llm import language, licenses, licenses_sql, minhash, mixing, packing, secrets, spotsigs, spotsigs_sql, toxicity
 from curveloom.llm.registry import query
 from curveloom.llm.tables import table
 
@@ -66,3 +66,8 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(spotsigs_sql.SQL)
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))

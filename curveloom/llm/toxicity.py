@@ -145,6 +145,17 @@ def scorer(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return score
 
 
+def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` that score below 0.5, with all their columns."""
+    names = [f"c{i}" for i in range(len(docs.columns))]  # columns may have any names
+    text = names[docs.columns.index("text")]
+    plain = docs.toDF(*names)
+    scored = plain.select("*", F.col(text).cast("string").alias("text")).mapInArrow(
+        scorer(model), plain.schema.add("text", "string").add("score", "double")
+    )
+    return scored.where("score < 0.5").select(*names).toDF(*docs.columns)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, score (0 to 1), predicted (1 from 0.5 on).
 
