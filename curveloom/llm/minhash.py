@@ -32,6 +32,8 @@ SEED = 20_261
 BLOCK_SETS = 256
 COLUMNS = 4096
 BLOCK = 2048
+#: stands for a NULL doc_id where rows are looked up
+NO_ID = -(1 << 63)
 _ODD = np.random.default_rng(SEED).integers(1 << 62, 1 << 63, size=WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -94,24 +96,25 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names.append(digest(found) if len(found) else None)
             keys.append(bands(found) if len(found) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()),
+            [batch.column("doc_id"), batch.column("doc"), batch.column("text_hash"), pa.array(sizes, pa.int64()),
              pa.array(names, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-            ["doc_id", "text_hash", "n_shingles", "set_id", "bands"],
+            ["doc_id", "doc", "text_hash", "n_shingles", "set_id", "bands"],
         )
 
 
 def _plain(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
         F.col("text").cast("string").alias("text"),
         F.xxhash64(F.col("text").cast("string")).alias("text_hash"),
     )
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, set_id, bands); set_id and bands are NULL for a document without words."""
+    """(doc_id, doc, text_hash, n_shingles, set_id, bands); set_id and bands are NULL for a document without words."""
     return _plain(docs).mapInArrow(
-        _signed, "doc_id long, text_hash long, n_shingles long, set_id binary, bands array<long>"
+        _signed, "doc_id long, doc long, text_hash long, n_shingles long, set_id binary, bands array<long>"
     )
 
 
@@ -125,14 +128,12 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return last[side][1]
 
     for batch in batches:
-        linked, known = [], []
-        for a, b, left, right in zip(batch["a"], batch["b"], batch["text_a"], batch["text_b"]):
+        linked = []
+        for left, right in zip(batch["text_a"], batch["text_b"]):
             x, y = of("a", left), of("b", right)
-            known.append(digest(x) == bytes(a) and digest(y) == bytes(b))  # a doc_id may stand for several texts
             shared = len(np.intersect1d(x, y, assume_unique=True))
             linked.append(100 * shared >= PERCENT * (len(x) + len(y) - shared))
-        keep = np.array(known, bool)
-        yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "linked": linked})[keep]
+        yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "linked": np.array(linked, bool)})
 
 
 def _tested(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -190,9 +191,7 @@ def _linked_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if (bucket, i, j) != key:
                 yield edges(*sides)
                 key, sides = (bucket, i, j), ({}, {})
-            found = shingles(text)
-            if digest(found) == bytes(name):  # a doc_id may stand for several texts
-                sides[side][bytes(name)] = found
+            sides[side][bytes(name)] = shingles(text)
     yield edges(*sides)
 
 
@@ -242,14 +241,16 @@ def set_components(signs: DataFrame, docs: DataFrame) -> DataFrame:
     compared or known to be connected; nothing is capped, and only links leave a task.
     """
     first = signs.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(
-        F.min(F.struct("doc_id", "bands")).alias("r")
+        F.min(F.struct("doc", "text_hash", "bands")).alias("r")
     )
-    rows = stored(first.select("set_id", F.col("r.doc_id").alias("doc_id"), F.explode("r.bands").alias("bucket")), "bands")
+    rows = stored(first.select("set_id", "r.doc", "r.text_hash", F.explode("r.bands").alias("bucket")), "bands")
     shared = rows.groupBy("bucket").agg(F.count("*").alias("size"), F.min("set_id").alias("pivot")).where("size > 1")
     members = stored(rows.join(shared, "bucket"), "buckets")
     discard(rows)
-    named = members.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
-    texts = stored(_plain(docs).where("text IS NOT NULL").join(named, "doc_id").select("set_id", "text"), "texts")
+    named = members.groupBy("set_id").agg(F.min("doc").alias("doc"), F.min("text_hash").alias("text_hash"))
+    # rows that repeat both a doc_id and a text stand for one set, and one text of it is enough
+    texts = _plain(docs).where("text IS NOT NULL").join(named, ["doc", "text_hash"]).select("set_id", "text")
+    texts = stored(texts.dropDuplicates(["set_id"]), "texts")
     stars = members.where(F.col("set_id") != F.col("pivot")).select(
         F.col("set_id").alias("a"), F.col("pivot").alias("b")
     ).distinct()
