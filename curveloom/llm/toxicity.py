@@ -24,7 +24,9 @@ DIMENSIONS = 8
 #: the sample that the model is fitted on: rows of each label, and the longest text taken
 SAMPLE_PER_LABEL = 4_000
 SAMPLE_CHARS = 8_000
-EPOCHS, BATCH, RATE, SCALE = 8, 128, 0.15, 40.0
+STEPS, BATCH, RATE, SCALE = 400, 128, 0.15, 40.0
+#: texts of the sample that an n-gram must be in; embeddings of the others stay zero
+LEAST_TEXTS = 4
 #: n-grams without weight that every text has besides its own: a text of few words is no extreme
 SILENT = 100
 SEED = 20_262
@@ -49,7 +51,8 @@ class Model:
                 total += np.add.reduceat(np.where(counts, self.weights[slots], 0.0), starts)
                 count += np.add.reduceat(counts.astype(np.int64), starts)
             out[first:last] += SCALE * total / (count + SILENT)
-        return 1 / (1 + np.exp(-np.clip(out, -500, 500)))
+        with np.errstate(over="ignore"):
+            return 1 / (1 + np.exp(-out))
 
 
 def bags(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -71,14 +74,19 @@ def train(texts: list[str | None], labels: list[int]) -> Model:
     target = np.array(labels, np.float64)
     if not len(target) or target.min() == target.max():
         rate = (target.sum() + 0.5) / (len(target) + 1) if len(target) else 0.0
-        return Model(np.zeros(1 << BITS), float(np.log(rate / (1 - rate))) if rate else -500.0)
+        return Model(np.zeros(1 << BITS), float(np.log(rate / (1 - rate))) if rate else -np.inf)
     starts, slots, shares = bags(texts)
+    common = np.bincount(slots, minlength=1 << BITS) >= LEAST_TEXTS
+    held = common[slots]
+    starts = np.concatenate([[0], np.cumsum(held)])[starts]
+    slots, shares = slots[held], shares[held]
     rng = np.random.default_rng(SEED)
     embeddings = rng.uniform(-1, 1, (1 << BITS, DIMENSIONS)).astype(np.float32) / DIMENSIONS
+    embeddings[~common] = 0
     softmax = rng.uniform(-1, 1, (2, DIMENSIONS)).astype(np.float32)
     bias = np.zeros(2, np.float32)
     seen = [np.full(x.shape, 1e-6, np.float32) for x in (embeddings[:, 0], softmax, bias)]
-    for _ in range(EPOCHS):
+    for _ in range(-(-STEPS * BATCH // len(target))):  # as many steps whatever the size of the sample
         order = rng.permutation(len(target))
         for at in range(0, len(order), BATCH):
             rows = order[at : at + BATCH]
