@@ -152,11 +152,42 @@ def ids_common_check(s: Sample) -> DataFrame:
     return diff.ids_common(*_versions(s, s.wide3()))
 
 
-@check("roundtrip_check", with_ctes("wide7") + " UNION ALL ".join(
-    f"SELECT 'p{k}' AS column_name, count(*) AS n_cells, CAST(0 AS BIGINT) AS n_different FROM wide7" for k in range(1, 8)))
+@check("roundtrip_check", with_ctes("wide7", "points7") + " UNION ALL ".join([
+    *(f"SELECT 'p{k}' AS column_name, count(*) AS n_cells, CAST(0 AS BIGINT) AS n_different FROM wide7" for k in (1, 3, 4, 5, 6, 7)),
+    "SELECT 'p2', count(*), count(CASE WHEN partkey % 10 = 0 AND p2 IS NOT NULL THEN 1 END) FROM wide7",
+    "SELECT '(extra points)', (SELECT count(*) FROM points7) + CAST(sum(CASE partkey % 10 WHEN 0 THEN -1 WHEN 1 THEN 1 WHEN 2 THEN 1 ELSE 0 END) AS BIGINT), count(CASE WHEN partkey % 10 IN (1, 2) THEN 1 END) FROM wide7",
+    "SELECT '(missing points)', count(*) * 7, count(CASE WHEN partkey % 10 = 0 THEN 1 END) FROM wide7",
+]))
 def roundtrip_check(s: Sample) -> DataFrame:
-    wide = s.wide7()
-    return diff.roundtrip_check(wide, s.points7())
+    """Points with planted faults: some missing, some off the grid, some twice."""
+    wide, points = s.wide7(), s.points7()
+    last = F.regexp_extract("curve_id", "([0-9])$", 1)
+    kept = points.where((last != "0") | (F.col("x") != 2))
+    off = points.where((last == "1") & (F.col("x") == 1)).withColumn("x", F.lit(99.0))
+    twice = points.where((last == "2") & (F.col("x") == 5))
+    return diff.roundtrip_check(wide, kept.unionByName(off).unionByName(twice))
+
+
+@check("diff_planted", OLD_NEW + """
+SELECT coalesce(o.curve_id, n.curve_id) AS curve_id, CASE WHEN n.curve_id IS NULL THEN 'removed' WHEN o.curve_id IS NULL THEN 'added' WHEN right(n.curve_id, 1) IN ('1', '2', '3')
+OR o.p1 IS DISTINCT FROM n.p1 OR o.p2 IS DISTINCT FROM n.p2 OR o.p3 IS DISTINCT FROM n.p3 THEN 'changed' ELSE 'same' END AS change FROM o FULL JOIN n ON n.curve_id = o.curve_id""")
+def diff_planted(s: Sample) -> DataFrame:
+    """The new version also lacks a point, repeats one with another value, or has one more, by the last digit."""
+    old, new = (_long(w) for w in _versions(s, s.wide3()))
+    last = F.right("curve_id", F.lit(1))
+    less = new.where((last != "1") | (F.col("x") != 2))
+    more = new.where((last == "2") & (F.col("x") == 1)).withColumn("y", F.lit(-5.0))
+    wider = new.where((last == "3") & (F.col("x") == 1)).withColumn("x", F.lit(4.0))
+    return diff.diff_curves(old, less.unionByName(more).unionByName(wider))
+
+
+@check("corroborate_other_grid", OLD_NEW + """
+SELECT count(CASE WHEN change IN ('same', 'changed') THEN 1 END) AS n_curves, count(CASE WHEN change IN ('same', 'changed') THEN 1 END) * 4 AS n_values,
+count(*) AS n_discrepancies, count(*) = 0 AS corroborated FROM d""")
+def corroborate_other_grid(s: Sample) -> DataFrame:
+    """A grid value that only the new version has makes every common curve a changed one."""
+    old, new = _versions(s, s.wide3())
+    return diff.corroborate(old, new.withColumn("p4", F.col("p1")))
 
 
 # --- duplicates ---------------------------------------------------------------------------------
@@ -376,7 +407,7 @@ def code_pages(s: Sample) -> DataFrame:
         F.regexp_extract_all("html", F.lit(LINK), F.lit(1)).alias("code"),
         F.regexp_extract_all("html", F.lit(LINK), F.lit(2)).alias("label"))
     lines = F.transform(links, lambda link, i: F.concat(
-        F.lpad((i + 1).cast("string"), 2, "0"), F.lit("_"), link["code"], F.lit("  "),
+        F.format_string("%02d", (i + 1).cast("int")), F.lit("_"), link["code"], F.lit("  "),
         F.when((F.col("page_id") % 10 == 7) & (i == 3), F.lit("01-")).otherwise(F.lit("")), F.upper(link["label"]), F.lit("  x ")))
     head = F.when(F.col("page_id") % 10 == 2, F.lit("List of codes\n")).otherwise(F.lit("\n"))
     return s.table("pages").select(

@@ -261,13 +261,17 @@ def axis_value_check(s: Sample) -> DataFrame:
     return named.groupBy("column_name", axis_value(F.col("column_name")).alias("x")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@check("normalise_id", "SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS from_double, CAST(p_partkey AS VARCHAR) AS from_text, p_brand AS from_code FROM part")
+@check("normalise_id", """SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS from_double, CAST(p_partkey AS VARCHAR) AS from_text, p_brand AS from_code,
+'00' || p_partkey AS from_padded, p_partkey || 'e3' AS from_exponent, '9007199254740993' || p_partkey AS from_long FROM part""")
 def normalise_id_check(s: Sample) -> DataFrame:
     return s.table("part").select(
         "p_partkey",
         tx.normalise_id(F.col("p_partkey").cast("double")).alias("from_double"),
         tx.normalise_id(F.concat(F.lit(" "), F.col("p_partkey").cast("string"), F.lit(".0 "))).alias("from_text"),
         tx.normalise_id(F.concat("p_brand", F.lit(" "))).alias("from_code"),
+        tx.normalise_id(F.concat(F.lit("00"), F.col("p_partkey").cast("string"), F.lit(".0"))).alias("from_padded"),
+        tx.normalise_id(F.concat(F.col("p_partkey").cast("string"), F.lit("e3"))).alias("from_exponent"),
+        tx.normalise_id(F.concat(F.lit("9007199254740993"), F.col("p_partkey").cast("string"))).alias("from_long"),
     )
 
 

@@ -221,22 +221,26 @@ def average_curve_check(s: Sample) -> DataFrame:
     return r9(ag.average_curve(typed, ["damage_type"]), "y_mean", "y_std")
 
 
-@check("constituents", with_ctes("curves") + "SELECT damage_type, occupancy, curve_id FROM curves")
+@check("constituents", with_ctes("curves") + """
+SELECT coalesce(damage_type, '') || '/' || coalesce(occupancy, '') AS derived_id, damage_type, occupancy, curve_id FROM curves""")
 def constituents_check(s: Sample) -> DataFrame:
     return ag.constituents(s.curves(), ["damage_type", "occupancy"])
 
 
 @check("constituent_lists", with_ctes("curves") + """
-SELECT damage_type, occupancy, count(*) AS n_constituents, string_agg(curve_id, '|' ORDER BY curve_id) AS constituent_curve_ids FROM curves GROUP BY damage_type, occupancy""")
+SELECT damage_type, occupancy, n_constituents, page, string_agg(curve_id, '|' ORDER BY curve_id) AS constituent_curve_ids
+FROM (SELECT *, ('0x' || substr(md5(curve_id), 1, 8))::BIGINT % CAST(ceil(n_constituents / 20) AS BIGINT) AS page
+FROM (SELECT damage_type, occupancy, curve_id, count(*) OVER (PARTITION BY damage_type, occupancy) AS n_constituents FROM curves))
+GROUP BY damage_type, occupancy, n_constituents, page""")
 def constituent_lists_check(s: Sample) -> DataFrame:
-    return ag.constituent_lists(s.curves(), ["damage_type", "occupancy"])
+    return ag.constituent_lists(s.curves(), ["damage_type", "occupancy"], page_ids=20)
 
 
 @check("derived_rows", with_ctes("points7", "curves") + f"""
-SELECT 'DERIVED' AS curve_id, 'DERIVED — not a published curve' AS label, a.occupancy, constituent_curve_ids, n_constituents, x, y_mean, y_std, y_min, y_max, n_at_x,
-version, source_table, damage_type, 'multiple — see constituent_curve_ids' AS source_agency, CASE WHEN any_defect THEN 'see constituent curves' ELSE '' END AS defect_flag
+SELECT 'DERIVED' AS curve_id, 'DERIVED — not a published curve' AS label, coalesce(dt, '') || '/' || coalesce(a.occupancy, '') AS derived_id, a.occupancy, n_constituents, x, y_mean, y_std, y_min, y_max, n_at_x,
+version, source_table, damage_type, 'multiple — see constituents' AS source_agency, CASE WHEN any_defect THEN 'see constituent curves' ELSE '' END AS defect_flag
 FROM (SELECT damage_type, occupancy, x, {AVERAGE} FROM points7 p JOIN curves c ON c.curve_id = p.curve_id GROUP BY damage_type, occupancy, x) a
-JOIN (SELECT damage_type AS dt, occupancy, count(*) AS n_constituents, string_agg(curve_id, '|' ORDER BY curve_id) AS constituent_curve_ids,
+JOIN (SELECT damage_type AS dt, occupancy, count(*) AS n_constituents,
 arg_min(version, curve_id) AS version, arg_min(source_table, curve_id) AS source_table,
 bool_or(defect_flag IS NOT NULL) AS any_defect FROM curves GROUP BY damage_type, occupancy) f ON f.occupancy = a.occupancy AND f.dt = a.damage_type""")
 def derived_rows_check(s: Sample) -> DataFrame:

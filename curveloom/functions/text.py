@@ -51,11 +51,17 @@ def numeric_coerce(c: Column) -> Column:
 
 
 def normalise_id(c: Column) -> Column:
-    """105.0, '105.0' and ' 105 ' all become '105'; text that is no whole number is kept trimmed."""
+    """105.0, '105.0' and ' 105 ' all become '105'; any other text is kept trimmed.
+
+    Digits are never read as a number, so '007', '1e3' and ids of any length stay what they are.
+    A double is written as a whole number when it is one.
+    """
     text = strip(c.cast("string"))
-    number = text.try_cast("double")
-    whole = number.try_cast("bigint")
-    return F.when(number == whole, whole.cast("string")).otherwise(F.nullif(text, F.lit("")))
+    whole = F.regexp_replace(text, r"^(-?[0-9]+)\.0+$", "$1")
+    # a large double prints with an exponent; typeof is a constant that the optimizer folds
+    number = F.when(F.typeof(c).isin("double", "float"), c.try_cast("double"))
+    exact = F.when(number == number.try_cast("bigint"), number.try_cast("bigint").cast("string"))
+    return F.coalesce(exact, F.nullif(whole, F.lit("")))
 
 
 def make_curve_id(*parts: Column | str, sep: str = "-") -> Column:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from curveloom.fixed_values import IDENTICAL
 
-INLINE_IDS = 10_000  # ids joined into one string; longer lists stay in the long table
+PAGE_IDS = 1_000  # ids of a group that share a cell of constituent_lists
 
 
 def inventory_counts(curves: DataFrame) -> DataFrame:
@@ -73,54 +73,62 @@ def average_curve(points: DataFrame, by: list[str] | None = None) -> DataFrame:
     )
 
 
+def derived_id(by: list[str]) -> Column:
+    """Name of a group of curves: its values joined with '/', a NULL as an empty part."""
+    return F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by])
+
+
 def constituents(curves: DataFrame, by: list[str]) -> DataFrame:
-    """The curves behind each average, one row each; complete at any size."""
-    return curves.select(*by, "curve_id")
+    """The curves behind each average, one row each, under the derived_id of ``derived_rows``."""
+    return curves.select(derived_id(by).alias("derived_id"), *by, "curve_id")
 
 
-def constituent_lists(curves: DataFrame, by: list[str], max_inline: int = INLINE_IDS) -> DataFrame:
-    """Per group the number of constituents and, while they fit a cell, their ids joined with '|'.
+def constituent_lists(curves: DataFrame, by: list[str], page_ids: int = PAGE_IDS) -> DataFrame:
+    """Per group the number of constituents and all their ids, joined with '|', in pages.
 
-    Groups larger than ``max_inline`` get a NULL list before anything is gathered; their ids are
-    read from ``constituents``.
+    A hash of the id picks its page, so a page holds about ``page_ids`` ids however large the group.
     """
-    ids = constituents(curves, by)
+    ids = constituents(curves, by).drop("derived_id")
     sizes = ids.groupBy(*by).agg(F.count(F.lit(1)).alias("n_constituents"))
-    small = sizes.where(F.col("n_constituents") <= max_inline).select(*by)
-    lists = (
-        ids.join(small, by, "left_semi")
-        .groupBy(*by)
-        .agg(F.array_join(F.array_sort(F.collect_list("curve_id")), "|").alias("constituent_curve_ids"))
+    key = F.conv(F.substring(F.md5("curve_id"), 1, 8), 16, 10).cast("long")
+    paged = _same_group(ids, sizes, by).withColumn("page", key % F.ceil(F.col("n_constituents") / page_ids))
+    return paged.groupBy(*by, "n_constituents", "page").agg(
+        F.array_join(F.array_sort(F.collect_list("curve_id")), "|").alias("constituent_curve_ids")
     )
-    return sizes.join(lists, by, "left")
 
 
-def derived_rows(curves: DataFrame, points: DataFrame, by: list[str], max_inline: int = INLINE_IDS) -> DataFrame:
-    """Average rows labelled as derived, with constituents, first source and a defect hint."""
+def _same_group(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
+    """Inner join on ``by`` in which NULL equals NULL."""
+    renamed = right.select(*[F.col(c).alias(f"_{c}") for c in by], *[c for c in right.columns if c not in by])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    return left.join(renamed, same).drop(*[f"_{c}" for c in by])
+
+
+def derived_rows(curves: DataFrame, points: DataFrame, by: list[str]) -> DataFrame:
+    """Average rows labelled as derived, with the number of constituents, first source and a defect hint.
+
+    ``derived_id`` finds the constituents of a row in ``constituents``.
+    """
     typed = points.join(curves.select("curve_id", *by), "curve_id")
-    first = curves.groupBy(*by).agg(
+    facts = curves.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_constituents"),
         F.min_by("version", "curve_id").alias("version"),
         F.min_by("source_table", "curve_id").alias("source_table"),
         F.min_by("damage_type", "curve_id").alias("first_damage_type"),
         F.bool_or(F.col("defect_flag").isNotNull()).alias("any_defect"),
     )
-    facts = first.join(constituent_lists(curves, by, max_inline), by)
-    return (
-        average_curve(typed, by)
-        .join(facts, by)
-        .select(
-            F.lit("DERIVED").alias("curve_id"),
-            F.lit("DERIVED — not a published curve").alias("label"),
-            *by,
-            "constituent_curve_ids",
-            "n_constituents",
-            "x", "y_mean", "y_std", "y_min", "y_max", "n_at_x",
-            "version",
-            "source_table",
-            *([] if "damage_type" in by else [F.col("first_damage_type").alias("damage_type")]),
-            F.lit("multiple — see constituent_curve_ids").alias("source_agency"),
-            F.when(F.col("any_defect"), "see constituent curves").otherwise("").alias("defect_flag"),
-        )
+    return _same_group(average_curve(typed, by), facts, by).select(
+        F.lit("DERIVED").alias("curve_id"),
+        F.lit("DERIVED — not a published curve").alias("label"),
+        derived_id(by).alias("derived_id"),
+        *by,
+        "n_constituents",
+        "x", "y_mean", "y_std", "y_min", "y_max", "n_at_x",
+        "version",
+        "source_table",
+        *([] if "damage_type" in by else [F.col("first_damage_type").alias("damage_type")]),
+        F.lit("multiple — see constituents").alias("source_agency"),
+        F.when(F.col("any_defect"), "see constituent curves").otherwise("").alias("defect_flag"),
     )
 
 

@@ -32,15 +32,23 @@ def diff_join(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
+def _by_x(df: DataFrame) -> dict[float, str]:
+    """Measure column of each grid value."""
+    return {x: c for c, x in measure_columns(df.columns).items()}
+
+
 def diff_wide(old: DataFrame, new: DataFrame) -> DataFrame:
-    """(curve_id, change) of two wide libraries, null-safe at every grid value.
+    """(curve_id, change) of two wide libraries, null-safe at every grid value of either.
 
-    One row per curve is shuffled on each side.
+    A grid value that only one of them has is a point the other lacks.  One row per curve is shuffled
+    on each side.
     """
-    measures = list(measure_columns(old.columns))
-    left = old.select("curve_id", F.lit(True).alias("in_old"), *[F.col(c).alias(f"old_{c}") for c in measures])
-    right = new.select("curve_id", F.lit(True).alias("in_new"), *[F.col(c).alias(f"new_{c}") for c in measures])
-    differs = _any([~F.col(f"old_{c}").eqNullSafe(F.col(f"new_{c}")) for c in measures])
+    left_x, right_x = _by_x(old), _by_x(new)
+    shared = sorted(left_x.keys() & right_x.keys())
+    left = old.select("curve_id", F.lit(True).alias("in_old"), *[F.col(left_x[x]).alias(f"old_{i}") for i, x in enumerate(shared)])
+    right = new.select("curve_id", F.lit(True).alias("in_new"), *[F.col(right_x[x]).alias(f"new_{i}") for i, x in enumerate(shared)])
+    tests = [~F.col(f"old_{i}").eqNullSafe(F.col(f"new_{i}")) for i in range(len(shared))]
+    differs = _any([F.lit(left_x.keys() != right_x.keys()), *tests])
     both = left.join(right, "curve_id", "full_outer")
     in_old, in_new = (F.coalesce(c, F.lit(False)) for c in ("in_old", "in_new"))
     return both.select("curve_id", _change(in_old, in_new, differs).alias("change"))
@@ -49,35 +57,27 @@ def diff_wide(old: DataFrame, new: DataFrame) -> DataFrame:
 def diff_curves(old: DataFrame, new: DataFrame, grid: list[float] | None = None) -> DataFrame:
     """(curve_id, change) of two long libraries: added, removed, changed or same.
 
-    Both sides are tagged and aggregated together instead of joined.  With a grid each curve is
-    combined before its one shuffle; without, points are first matched per (curve_id, x).
+    A curve is the same when both sides have the same rows (x, y), each as often; a missing point is
+    not a NULL one.  Rows of both sides are tagged and each curve is combined before its one shuffle:
+    sums of two row hashes, with opposite signs, cancel exactly when the rows agree.  With a grid a curve
+    that leaves it stops the job.
     """
     tagged = old.select("curve_id", "x", "y", F.lit(0).alias("side")).unionByName(
         new.select("curve_id", "x", "y", F.lit(1).alias("side"))
     )
-    sides = [F.bool_or(F.col("side") == s).alias(name) for s, name in ((0, "in_old"), (1, "in_new"))]
-    if grid is not None:
-        cells, tests = [], []
-        for i, g in enumerate(sorted(float(v) for v in grid)):
-            for s in (0, 1):
-                cells.append(F.max(F.when((F.col("x") == g) & (F.col("side") == s), F.col("y"))).alias(f"c{s}_{i}"))
-            tests.append(~F.col(f"c0_{i}").eqNullSafe(F.col(f"c1_{i}")))
-        off = F.count_if(~F.col("x").isin([float(v) for v in grid])).alias("n_off")
-        per_curve = tagged.groupBy("curve_id").agg(*sides, off, *cells)
-        message = F.concat(F.lit("curve leaves the grid: "), F.col("curve_id"))
-        change = F.when(F.col("n_off") > 0, F.raise_error(message).cast("string")).otherwise(
-            _change(F.col("in_old"), F.col("in_new"), _any(tests))
-        )
-        return per_curve.select("curve_id", change.alias("change"))
-    per_point = tagged.groupBy("curve_id", "x").agg(
-        *sides, *[F.max(F.when(F.col("side") == s, F.col("y"))).alias(f"y{s}") for s in (0, 1)]
+    sign = F.when(F.col("side") == 0, 1).otherwise(-1)
+    row = (F.col("x"), F.col("y"), F.col("y").isNull())
+    rests = [F.sum(h.cast("decimal(38,0)") * sign).alias(n) for h, n in ((F.xxhash64(*row), "rest_1"), (F.hash(*row), "rest_2"))]
+    off = F.lit(0) if grid is None else F.count_if(~F.col("x").isin([float(v) for v in grid]))
+    per_curve = tagged.groupBy("curve_id").agg(
+        *[F.bool_or(F.col("side") == s).alias(name) for s, name in ((0, "in_old"), (1, "in_new"))], *rests, off.alias("n_off")
     )
-    per_curve = per_point.groupBy("curve_id").agg(
-        F.bool_or("in_old").alias("in_old"),
-        F.bool_or("in_new").alias("in_new"),
-        F.bool_or(~F.col("y0").eqNullSafe(F.col("y1"))).alias("differs"),
+    message = F.concat(F.lit("curve leaves the grid: "), F.col("curve_id"))
+    differs = (F.col("rest_1") != 0) | (F.col("rest_2") != 0)
+    change = F.when(F.col("n_off") > 0, F.raise_error(message).cast("string")).otherwise(
+        _change(F.col("in_old"), F.col("in_new"), differs)
     )
-    return per_curve.select("curve_id", _change(F.col("in_old"), F.col("in_new"), F.col("differs")).alias("change"))
+    return per_curve.select("curve_id", change.alias("change"))
 
 
 def diff_summary(diff: DataFrame, by: str) -> DataFrame:
@@ -91,7 +91,7 @@ def diff_summary(diff: DataFrame, by: str) -> DataFrame:
 
 def corroborate(old: DataFrame, new: DataFrame) -> DataFrame:
     """One row: are two wide copies of a library the same, and how much was compared."""
-    measures = len(measure_columns(old.columns))
+    measures = len(_by_x(old).keys() | _by_x(new).keys())
     diff = diff_wide(old, new)
     common = F.count_if(F.col("change").isin("same", "changed"))
     discrepancies = F.count_if(F.col("change") != "same")
@@ -104,17 +104,32 @@ def corroborate(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def roundtrip_check(wide: DataFrame, points: DataFrame) -> DataFrame:
-    """Per measure column: cells of the source, and cells the re-widened points differ in."""
+    """Per measure column: cells of the source, and cells the re-widened points differ in.
+
+    Two more rows count the points that are beyond one per cell (off the grid, or repeated) and those
+    that are missing.
+    """
     measures = measure_columns(wide.columns)
     back = widen_points(points, list(measures.values())).withColumnRenamed("curve_id", "_id")
     both = wide.select("curve_id", *measures).join(back, F.col("curve_id") == F.col("_id"), "full_outer")
     missing = F.col("curve_id").isNull() | F.col("_id").isNull()
+    place = {x: i for i, x in enumerate(sorted(measures.values()))}
     stats = []
-    for i, c in enumerate(measures):
+    for c, x in measures.items():
         stats.append(F.count_if(F.col("curve_id").isNotNull()).alias(f"n_{c}"))
-        stats.append(F.count_if(missing | ~F.col(c).cast("double").eqNullSafe(F.col(f"y_{i}"))).alias(f"d_{c}"))
+        stats.append(F.count_if(missing | ~F.col(c).cast("double").eqNullSafe(F.col(f"y_{place[x]}"))).alias(f"d_{c}"))
+    n_points, n_off = (F.coalesce(c, F.lit(0)) for c in ("n_points", "n_off_grid"))
+    expected = F.when(F.col("curve_id").isNotNull(), len(measures)).otherwise(0)
+    beyond = n_points - n_off - expected
+    stats += [
+        F.coalesce(F.sum(n_points), F.lit(0)).alias("n_extra"),
+        F.coalesce(F.sum(n_off + F.greatest(beyond, F.lit(0))), F.lit(0)).alias("d_extra"),
+        F.coalesce(F.sum(expected), F.lit(0)).cast("long").alias("n_missing"),
+        F.coalesce(F.sum(F.greatest(-beyond, F.lit(0))), F.lit(0)).alias("d_missing"),
+    ]
     totals = both.agg(*stats)
-    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"n_{c}").alias("n_cells"), F.col(f"d_{c}").alias("n_different")) for c in measures]
+    names = [(c, c) for c in measures] + [("(extra points)", "extra"), ("(missing points)", "missing")]
+    rows = [F.struct(F.lit(n).alias("column_name"), F.col(f"n_{c}").alias("n_cells"), F.col(f"d_{c}").alias("n_different")) for n, c in names]
     return totals.select(F.inline(F.array(*rows)))
 
 
