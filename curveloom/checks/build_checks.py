@@ -91,9 +91,17 @@ def read_manifest(s: Sample) -> DataFrame:
     return readers.read_manifest(s.spark, path).select("source_file", "url", "sha256", "bytes", "version")
 
 
-@check("file_digests")
+def _nation_digests(s: Sample) -> DataFrame:
+    """Digests of one text file per nation, named by its key."""
+    path = writers.fresh_path(s.spark, "nations")
+    s.table("nation").select("n_nationkey", "n_name").coalesce(1).write.partitionBy("n_nationkey").text(path)
+    files = readers.file_digests(s.spark, path).where(F.col("source_file").startswith("n_nationkey="))
+    return files.withColumn("source_file", F.regexp_extract("source_file", "^(n_nationkey=[0-9]+)/", 1))
+
+
+@check("file_digests", "SELECT 'n_nationkey=' || n_nationkey AS source_file, strlen(n_name) + 1 AS bytes, sha256(n_name || chr(10)) AS sha256 FROM nation")
 def file_digests(s: Sample) -> DataFrame:
-    return readers.file_digests(s.spark, s.sf_dir)
+    return _nation_digests(s)
 
 
 @check("file_row_counts", "SELECT c_mktsegment AS segment, count(*) AS n_rows FROM customer GROUP BY c_mktsegment")
@@ -150,15 +158,18 @@ def append_batches_check(s: Sample) -> DataFrame:
     return s.spark.read.parquet(target)
 
 
-@check("manifest_check")
+@check("manifest_check", """
+SELECT 'n_nationkey=' || n_nationkey AS source_file, strlen(n_name) + 1 AS bytes,
+CASE n_nationkey % 5 WHEN 0 THEN 'not in manifest' WHEN 1 THEN 'differs' ELSE 'ok' END AS status FROM nation
+UNION ALL SELECT 'gone/' || r_regionkey, NULL, 'missing' FROM region""")
 def manifest_check_query(s: Sample) -> DataFrame:
-    """The folder's own digests as manifest, with one file altered, one unlisted and one absent."""
-    digests = readers.file_digests(s.spark, s.sf_dir)
-    manifest = digests.where("source_file != 'part.parquet'").select(
-        F.when(F.col("source_file") == "nation.parquet", "gone.parquet").otherwise(F.col("source_file")).alias("source_file"),
-        F.when(F.col("source_file") == "region.parquet", "altered").otherwise(F.col("sha256")).alias("sha256"),
+    """A manifest of the nations' files with some unlisted, some recorded otherwise, and regions that have no file."""
+    recorded = F.when(F.col("n_nationkey") % 5 == 1, F.lit("?")).otherwise(F.concat("n_name", F.lit("\n")))
+    listed = s.table("nation").where("n_nationkey % 5 != 0").select(
+        F.concat(F.lit("n_nationkey="), F.col("n_nationkey").cast("string")).alias("source_file"), F.sha2(recorded, 256).alias("sha256")
     )
-    return manifest_check(manifest, digests)
+    gone = s.table("region").select(F.concat(F.lit("gone/"), F.col("r_regionkey").cast("string")).alias("source_file"), F.lit("").alias("sha256"))
+    return manifest_check(listed.union(gone), _nation_digests(s))
 
 
 @check("sources_for", """

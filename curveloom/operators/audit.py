@@ -9,18 +9,19 @@ def profile_table(df: DataFrame, columns: list[str] | None = None, exact: bool =
     """Per column: type, rows, NULLs, distinct values and the smallest sample values as text.
 
     Values are counted per (column, value) and combined before the shuffle; only distinct values
-    travel.  ``exact=False`` uses a sketch in one aggregate instead and gives no samples.
+    travel.  ``exact=False`` uses a sketch in one aggregate instead; its only sample is the smallest value.
     """
     names = columns or df.columns
     types = {f.name: f.dataType.simpleString() for f in df.schema}
     if not exact:
         stats = []
         for i, c in enumerate(names):
-            stats += [F.count_if(F.col(c).isNull()).alias(f"n{i}"), F.approx_count_distinct(c).alias(f"d{i}")]
+            stats += [F.count_if(F.col(c).isNull()).alias(f"n{i}"), F.approx_count_distinct(c).alias(f"d{i}"), F.min(F.col(c).cast("string")).alias(f"s{i}")]
         one = df.agg(F.count(F.lit(1)).alias("n_rows"), *stats)
         rows = [
             F.struct(F.lit(c).alias("column_name"), F.lit(types[c]).alias("type"), F.col("n_rows").alias("n_rows"),
-                     F.col(f"n{i}").alias("n_null"), F.col(f"d{i}").alias("n_distinct"))
+                     F.col(f"n{i}").alias("n_null"), F.col(f"d{i}").alias("n_distinct"),
+                     *[(F.col(f"s{i}") if k == 0 else F.lit(None).cast("string")).alias(f"sample_{k + 1}") for k in range(n_sample)])
             for i, c in enumerate(names)
         ]
         return one.select(F.inline(F.array(*rows)))

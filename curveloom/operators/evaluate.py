@@ -19,18 +19,6 @@ from curveloom.operators.skew import salted_join
 LIBRARY_SALT = 1  # no copies of the library: its own shuffle lets Spark split a hot curve's exposures
 
 
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """Count ``df`` up to the bound; the library is small next to the exposures."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def _evaluate_checked(exposures: DataFrame, packed: DataFrame, grid: list[float], broadcast_rows: int | None) -> DataFrame:
-    """Broadcast a library counted to be within the bound; otherwise join by shuffling."""
-    if broadcast_rows is not None and is_small(packed, broadcast_rows):
-        return evaluate_packed(exposures, F.broadcast(packed), grid, salt=None)
-    return evaluate_packed(exposures, packed, grid)
-
-
 def _status(exists: Column, inside: Column, x: Column, x0: Column, y0: Column, y1: Column) -> Column:
     exact = x == x0
     return (
@@ -83,11 +71,11 @@ def _finish(located: DataFrame, columns: list[str]) -> DataFrame:
     return marked.select(*columns, _value(F.col("status"), x, x0, y0, x1, y1).alias("y"), "status")
 
 
-def evaluate_wide(exposures: DataFrame, wide: DataFrame, broadcast_rows: int | None = None) -> DataFrame:
+def evaluate_wide(exposures: DataFrame, wide: DataFrame) -> DataFrame:
     """Evaluate against a wide library (curve_id plus measure columns) without melting it."""
     measures = measure_columns(wide.columns)
     packed = wide.select("curve_id", F.array(*[F.col(c).cast("double") for c in measures]).alias("ys"))
-    return _evaluate_checked(exposures, packed, list(measures.values()), broadcast_rows)
+    return evaluate_packed(exposures, packed, list(measures.values()))
 
 
 def segments(points: DataFrame) -> DataFrame:
@@ -155,16 +143,15 @@ def evaluate(
     points: DataFrame,
     grid: list[float] | None = None,
     bucket_width: float | None = None,
-    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Exposures with ``y`` and ``status``; every exposure keeps exactly one row.
 
     With ``grid`` the library is packed to one row per curve (a curve that breaks the grid stops
     the job).  Without it curves may have any x values and the segment join is used.
-    ``broadcast_rows`` allows a packed library counted to be no larger than that to be broadcast.
+    Spark broadcasts a packed library that it measures to be small.
     """
     if grid is not None:
-        return _evaluate_checked(exposures, pack_curve(points, grid), grid, broadcast_rows)
+        return evaluate_packed(exposures, pack_curve(points, grid), grid)
     return _finish(segment_join(exposures, points, bucket_width), exposures.columns)
 
 

@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+from urllib.parse import urlparse
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from curveloom.schema import TABLES
 
-JVM_HASH_LIMIT = 64 << 20  # larger files are hashed in blocks instead of being held in memory
-BLOCK = 1 << 20
-
 
 def read_wide_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """A wide source table with every column as text."""
@@ -45,44 +40,28 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("source_file", "entry.*").orderBy("source_file")
 
 
-def _hash_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyarrow import fs
-
-    for batch in batches:
-        digests = []
-        for path in batch.column("path").to_pylist():
-            system, inner = fs.FileSystem.from_uri(path)
-            digest = hashlib.sha256()
-            with system.open_input_stream(inner) as stream:
-                while block := stream.read(BLOCK):
-                    digest.update(block)
-            digests.append(digest.hexdigest())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("path"), batch.column("length"), pa.array(digests, pa.string())],
-            names=["path", "length", "sha256"],
-        )
+def _below(path: Column, root: str) -> Column:
+    """Path of a file relative to ``root``; its base name when ``root`` is the file itself."""
+    inner = urlparse(root).path.rstrip("/") if "://" in root or root.startswith("file:") else root.rstrip("/")
+    start = F.locate(inner + "/", path)
+    inside = F.substr(path, start + len(inner) + 1)
+    return F.when(start > 0, inside).otherwise(F.element_at(F.split(path, "/"), -1))
 
 
-def file_digests(spark: SparkSession, path: str, jvm_limit: int = JVM_HASH_LIMIT) -> DataFrame:
-    """(source_file, bytes, sha256) of every file below ``path``.
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """(source_file, bytes, sha256) of every file below ``path``; source_file is relative to it.
 
-    Small files are hashed by Spark; a file above ``jvm_limit`` is never loaded whole but streamed
-    in blocks by the task that owns it.
+    Spark reads and hashes every file in the same way, whatever its size and file system; a file must fit
+    ``spark.sql.sources.binaryFile.maxLength`` (2 GiB), else the job stops.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    small = files.where(F.col("length") <= jvm_limit).select("path", "length", F.sha2("content", 256).alias("sha256"))
-    large = (
-        files.where(F.col("length") > jvm_limit)
-        .select("path", "length")
-        .mapInArrow(_hash_in_blocks, "path string, length bigint, sha256 string")
-    )
-    return small.unionByName(large).select(
-        F.element_at(F.split("path", "/"), -1).alias("source_file"), F.col("length").alias("bytes"), "sha256"
+    return files.select(
+        _below(F.col("path"), path).alias("source_file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")
     )
 
 
 def file_row_counts(spark: SparkSession, path: str) -> DataFrame:
-    """(path, source_file, n_rows): physical lines of every text file below ``path``."""
+    """(path, source_file, n_rows): physical lines of every text file below ``path``, relative to it."""
     lines = spark.read.option("recursiveFileLookup", "true").text(path)
     counts = lines.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("n_rows"))
-    return counts.select("path", F.element_at(F.split("path", "/"), -1).alias("source_file"), "n_rows")
+    return counts.select("path", _below(F.url_decode("path"), path).alias("source_file"), "n_rows")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from urllib.parse import urlparse
 
@@ -13,14 +14,15 @@ from curveloom.schema import TABLES, TableSpec, conform, undeclared_columns
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors see: the cluster's ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of this machine.
+    A local session without one gets a temporary folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise ValueError("spark.checkpoint.dir is not set; name a folder that every executor can reach")
-    return "/tmp/curveloom-checkpoint"
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

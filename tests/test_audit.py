@@ -84,7 +84,7 @@ def test_profile(spark):
     rows = {r["column_name"]: tuple(r)[1:] for r in audit.profile_table(df).collect()}
     assert rows == {"t": ("string", 6, 1, 4, "a", "b", "c"), "n": ("bigint", 6, 1, 3, "1", "2", "3")}
     quick = {r["column_name"]: tuple(r)[1:] for r in audit.profile_table(df, exact=False).collect()}
-    assert quick == {"t": ("string", 6, 1, 4), "n": ("bigint", 6, 1, 3)}
+    assert quick == {"t": ("string", 6, 1, 4, "a", None, None), "n": ("bigint", 6, 1, 3, "1", None, None)}
 
 
 def test_code_lists(spark):

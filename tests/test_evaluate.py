@@ -28,8 +28,6 @@ CASES = [
 ]
 FORMS = {
     "packed": dict(grid=[0.0, 5.0, 10.0]),
-    "broadcast": dict(grid=[0.0, 5.0, 10.0], broadcast_rows=100),
-    "not small": dict(grid=[0.0, 5.0, 10.0], broadcast_rows=1),
     "segments": dict(),
     "buckets": dict(bucket_width=1.5),
     "one bucket": dict(bucket_width=100.0),

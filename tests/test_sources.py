@@ -27,10 +27,16 @@ def sha(path):
     return hashlib.sha256(path.read_bytes()).hexdigest()
 
 
-@pytest.mark.parametrize("jvm_limit", [1 << 30, 3, 1000])
-def test_digests_equal_for_small_and_large_files(spark, folder, jvm_limit):
-    rows = readers.file_digests(spark, str(folder), jvm_limit).collect()
-    assert {r["source_file"]: (r["bytes"], r["sha256"]) for r in rows} == {p.name: (p.stat().st_size, sha(p)) for p in folder.iterdir()}
+@pytest.mark.parametrize("root", ["{}", "file://{}", "{}/"])
+def test_digests_are_keyed_by_relative_path(spark, folder, root):
+    (folder / "a").mkdir()
+    (folder / "a" / "same.csv").write_text("other")
+    rows = readers.file_digests(spark, root.format(folder)).collect()
+    files = [p for p in folder.rglob("*") if p.is_file()]
+    assert {r["source_file"]: (r["bytes"], r["sha256"]) for r in rows} == {str(p.relative_to(folder)): (p.stat().st_size, sha(p)) for p in files}
+    digests = readers.file_digests(spark, str(folder))
+    assert {r["status"] for r in manifest_check(digests, digests).collect()} == {"ok"} and digests.count() == len(files)
+    assert [r["source_file"] for r in readers.file_digests(spark, str(folder / "same.csv")).collect()] == ["same.csv"]
 
 
 def test_line_counts_keep_equal_names_apart(spark, folder):
@@ -38,7 +44,7 @@ def test_line_counts_keep_equal_names_apart(spark, folder):
     (folder / "sub" / "same.csv").write_text("1\n2\n3\n")
     rows = readers.file_row_counts(spark, str(folder)).collect()
     assert sorted((r["source_file"], r["n_rows"]) for r in rows) == [
-        ("altered.csv", 2), ("big.bin", 1), ("same.csv", 2), ("same.csv", 3), ("unlisted.csv", 2)]
+        ("altered.csv", 2), ("big.bin", 1), ("same.csv", 2), ("sub/same.csv", 3), ("unlisted.csv", 2)]
 
 
 def test_manifest(spark, folder, tmp_path):
