@@ -14,12 +14,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only for an unset local session."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
+        if not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
