@@ -73,6 +73,28 @@ def get_curve_check(s: Sample) -> DataFrame:
         F.col("kind.y_units").alias("y_units"))
 
 
+@check("get_curve_mixed", with_ctes("points7", "points3") + """
+SELECT curve_id, 'found' AS state, count(*) AS n_points, min(x) AS low, max(x) AS high, round(sum(y), 6) AS total FROM points7 GROUP BY curve_id
+UNION ALL SELECT 'small-' || curve_id, 'found', count(*), min(x), max(x), round(sum(y), 6) FROM points3 GROUP BY curve_id""")
+def get_curve_mixed(s: Sample) -> DataFrame:
+    """All curves of both libraries, on their two grids, in one call."""
+    def small(df: DataFrame) -> DataFrame:
+        return df.withColumn("curve_id", F.concat(F.lit("small-"), "curve_id"))
+
+    kinds = ("A", "N", "R")
+    few = s.points3().select("curve_id").distinct().join(s.curves(), "curve_id")
+    curves = s.curves().unionByName(small(few).withColumn("peril", F.lit("sm")))
+    points = s.points7().unionByName(small(s.points3()))
+    grids = {("li", k): GRID7 for k in kinds} | {("sm", k): GRID3 for k in kinds}
+    got = get_curve(curves, points, s.attributes(), s.kinds(), points.select("curve_id"), grids)
+    xs = F.transform("points", lambda p: p["x"])
+    total = F.aggregate("points", F.lit(0.0), lambda a, p: a + F.coalesce(p["y"], F.lit(0.0)))
+    some = F.exists("points", lambda p: p["y"].isNotNull())
+    return got.select(
+        "curve_id", F.when(F.col("found"), "found").alias("state"), F.size("points").cast("long").alias("n_points"),
+        F.array_min(xs).alias("low"), F.array_max(xs).alias("high"), F.when(some, F.round(total, 6)).alias("total"))
+
+
 # --- version comparison -------------------------------------------------------------------------
 def _versions(s: Sample, wide: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Old and new vintage under ids without the version."""
@@ -317,10 +339,10 @@ def frequency_order_check(s: Sample) -> DataFrame:
 
 
 @check("dimension_gaps", with_ctes("codes", "dictionary") + """
-SELECT code, 'missing' AS gap FROM (SELECT code FROM codes WHERE code <> 'gizmo_' EXCEPT SELECT code FROM dictionary) a
-UNION ALL SELECT code, 'unused' FROM (SELECT code FROM dictionary EXCEPT SELECT code FROM codes WHERE code <> 'gizmo_') b""")
+SELECT code, 'missing' AS gap FROM (SELECT code FROM codes EXCEPT SELECT code FROM dictionary) a
+UNION ALL SELECT code, 'unused' FROM (SELECT code FROM dictionary EXCEPT SELECT code FROM codes) b""")
 def dimension_gaps_check(s: Sample) -> DataFrame:
-    used = split_codes(s.typed_codes(), "chars", 6).where("code <> 'gizmo_'")
+    used = split_codes(s.typed_codes(), "chars", 6)
     return audit.dimension_gaps(used, s.dictionary(), "code")
 
 

@@ -102,12 +102,12 @@ def plain_label_check(s: Sample) -> DataFrame:
 
 
 @check("axis_labels", with_ctes("ckeys", "kinds") + """
-SELECT DISTINCT 'li' AS peril, c.damage_type, x_units, coalesce(y_units, 'mixed') AS y_units,
+SELECT DISTINCT 'li' AS peril, c.damage_type, x_units, coalesce(y_units, 'mixed') AS y_units, 'Bin' AS x_label,
 CASE c.damage_type WHEN 'A' THEN 'Average quantity' ELSE 'Value (units vary by damage type)' END AS y_label
 FROM ckeys c LEFT JOIN kinds k ON k.peril = 'li' AND k.damage_type = c.damage_type""")
 def axis_labels_check(s: Sample) -> DataFrame:
     types = s.curves().select("peril", "damage_type").distinct()
-    return fl.axis_labels(types, s.kinds(), {"A": "Average quantity"})
+    return fl.axis_labels(types, s.kinds(), {"A": "Average quantity"}, {"li": "Bin"})
 
 
 @check("default_filters", with_ctes("curves") + """

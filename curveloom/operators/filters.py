@@ -6,8 +6,18 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from curveloom.fixed_values import COASTAL_ZONES, DEFECT_BUILDING_TYPES, LOSS_CLASSES
+from curveloom.fixed_values import (
+    ATTRIBUTE_ORDER,
+    COASTAL_ZONES,
+    DEFAULT_FILTERS,
+    DEFECT_BUILDING_TYPES,
+    INTERNAL_KEYS,
+    LOSS_CLASSES,
+    X_LABELS,
+    Y_LABELS,
+)
 from curveloom.functions.literal import literal_frame
+from curveloom.operators.reshape import dedup_first
 
 BITS = 62
 
@@ -119,21 +129,38 @@ def code_label(code: Column, description: Column) -> Column:
     return F.when(description.isNotNull() & (description != ""), F.concat(code, F.lit(" — "), description)).otherwise(code)
 
 
-def axis_labels(damage_types: DataFrame, kinds: DataFrame, labels: dict[str, str]) -> DataFrame:
-    """Units and axis label of each (peril, damage_type); 'mixed' when no single unit applies."""
+def axis_labels(
+    damage_types: DataFrame, kinds: DataFrame, labels: dict[str, str] = Y_LABELS, x_labels: dict[str, str] = X_LABELS
+) -> DataFrame:
+    """Units and labels of both axes of each (peril, damage_type); 'mixed' when no single unit applies.
+
+    ``labels`` has the y axis per damage type, ``x_labels`` the x axis per peril; without one the x
+    axis is called by its units.
+    """
     kind = kinds.select("peril", "damage_type", "x_units", "y_units")
-    label = F.coalesce(*[F.when(F.col("damage_type") == k, F.lit(v)) for k, v in labels.items()])
+
+    def chosen(column: str, texts: dict[str, str]) -> list[Column]:
+        return [F.when(F.col(column) == k, F.lit(v)) for k, v in texts.items()]
+
+    label = F.coalesce(*chosen("damage_type", labels), F.lit(None).cast("string"))
+    x_label = F.coalesce(*chosen("peril", x_labels), plain_label(F.col("x_units")))
     return damage_types.join(kind, ["peril", "damage_type"], "left").select(
         "peril",
         "damage_type",
         "x_units",
         F.coalesce("y_units", F.lit("mixed")).alias("y_units"),
+        x_label.alias("x_label"),
         F.coalesce(label, F.lit("Value (units vary by damage type)")).alias("y_label"),
     )
 
 
-def default_filters(domain: DataFrame, defaults: DataFrame) -> DataFrame:
-    """The defaults (key, value) whose value occurs in the data (``domain`` has the same columns)."""
+def default_filters(domain: DataFrame, defaults: DataFrame | str) -> DataFrame:
+    """The defaults (key, value) whose value occurs in the data (``domain`` has the same columns).
+
+    A peril stands for its published defaults.
+    """
+    if isinstance(defaults, str):
+        defaults = literal_frame(domain.sparkSession, list(DEFAULT_FILTERS[defaults].items()), "key string, value string")
     return defaults.join(domain.select("key", "value"), ["key", "value"], "left_semi")
 
 
@@ -160,7 +187,7 @@ def present_dimension(dimension: DataFrame, curves: DataFrame, column: str) -> D
     return dimension.join(curves.select(column).distinct(), column, "left_semi").orderBy(column)
 
 
-def priority_order(keys: DataFrame, order: list[str], hidden: list[str]) -> DataFrame:
+def priority_order(keys: DataFrame, order: list[str] = ATTRIBUTE_ORDER, hidden: list[str] = INTERNAL_KEYS) -> DataFrame:
     """Distinct attribute keys in display order, the rest alphabetical, internal ones removed."""
     rank = F.coalesce(*[F.when(F.col("key") == k, F.lit(i)) for i, k in enumerate(order)], F.lit(len(order)))
     shown = keys.where(F.col("key").isNotNull() & ~F.col("key").isin(hidden)).select("key").distinct()
@@ -171,7 +198,8 @@ def default_curve(rules: DataFrame, requests: DataFrame) -> DataFrame:
     """Curve each request selects by default; a missing or blank story or basement means none.
 
     ``requests`` has request_id, version, damage_type, occupancy, flood_zone, stories, basement.
-    Every request keeps a row; curve_id is NULL when no rule applies.
+    Every request keeps one row; curve_id is NULL when no rule applies, and of rules with equal keys
+    the first by rule_id counts.
     """
 
     def keyed(df: DataFrame) -> DataFrame:
@@ -179,5 +207,5 @@ def default_curve(rules: DataFrame, requests: DataFrame) -> DataFrame:
         return df.withColumns(blank)
 
     keys = ["version", "damage_type", "occupancy", "flood_zone", "stories", "basement"]
-    chosen = keyed(rules).select(*keys, "rule_id", "curve_id")
+    chosen = dedup_first(keyed(rules).select(*keys, "rule_id", "curve_id"), keys, ["rule_id", "curve_id"])
     return keyed(requests).join(chosen, keys, "left")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from curveloom.fixed_values import CODE_WIDTH, TERRITORY_KEYWORDS, UNMAPPED_KEY
-from curveloom.functions.axis import axis_value, measure_columns
+from curveloom.functions.axis import axis_of, measure_columns
 from curveloom.functions.text import clean_text, parse_measure, strip
 
 
@@ -17,10 +17,10 @@ def melt_points(wide: DataFrame, measures: list[str] | None = None, text: bool =
     ``text`` parses measures read as text and stops on a value that is no number.
     """
     names = measures or list(measure_columns(wide.columns))
-    if text:
-        wide = wide.select("curve_id", *[parse_measure(F.col(c), strict=True).alias(c) for c in names])
-    long = wide.unpivot(["curve_id"], names, "column_name", "y")
-    return long.select("curve_id", axis_value(F.col("column_name")).alias("x"), "y")
+    value = (lambda c: parse_measure(F.col(c), strict=True)) if text else (lambda c: F.col(c).cast("double"))
+    # x follows from the schema, so no column name is decoded per point
+    cells = [F.struct(F.lit(axis_of(c)).cast("double").alias("x"), value(c).alias("y")) for c in names]
+    return wide.select("curve_id", F.inline(F.array(*cells)))
 
 
 def melt_curves(wide: DataFrame, roles: dict[str, str], literals: dict[str, str]) -> DataFrame:
@@ -110,8 +110,9 @@ def widen_points(points: DataFrame, grid: list[float], prefix: str = "y") -> Dat
     """
     grid = sorted(float(g) for g in grid)
     cells = [F.max(F.when(F.col("x") == g, F.col("y"))).alias(f"{prefix}_{i}") for i, g in enumerate(grid)]
+    present = [F.bool_or(F.col("x") == g).alias(f"has_{i}") for i, g in enumerate(grid)]
     return points.groupBy("curve_id").agg(
-        F.count(F.lit(1)).alias("n_points"), F.count_if(~F.col("x").isin(grid)).alias("n_off_grid"), *cells
+        F.count(F.lit(1)).alias("n_points"), F.count_if(~F.col("x").isin(grid)).alias("n_off_grid"), *cells, *present
     )
 
 

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from curveloom.fixed_values import FINAL_ZONE_FLAGS
+from curveloom.fixed_values import FINAL_ZONE_FLAGS, LOOKUP_ZONE_FLAGS
 from curveloom.functions.text import clean_text, make_curve_id, normalise_id
 from curveloom.operators.contracts import require_known
 from curveloom.operators.filters import annotate_coastal
@@ -93,7 +93,7 @@ def assignment_rules(parts: list[DataFrame]) -> DataFrame:
 
 
 def zone_rows(
-    df: DataFrame, *, version: str, damage_type: str, id_column: str, flags: dict[str, str], peril: str = "fl"
+    df: DataFrame, *, version: str, damage_type: str, id_column: str, flags: dict[str, str] = LOOKUP_ZONE_FLAGS, peril: str = "fl"
 ) -> DataFrame:
     """(curve_id, flood_zone) rows of one flag table."""
     rows = df.select(normalise_id(F.col(id_column)).alias("fn_id"), "source_file", "source_table", *flags.values())

@@ -58,14 +58,17 @@ def melt_wind_table(
     source_file: str,
     source_table: str,
     defect_note: str,
+    ignored: dict[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """curves, curve_points and curve_attributes of the wind table and its dictionaries.
 
     ``wide`` has wbID, TERRAINID, DamLossDescID and the speeds; ``building_types`` has wbID, sbt,
     chars, case_name; ``terrain`` has TERRAINID, terrain, roughness; ``dictionary`` has code,
     char_type, name.  Rows of unknown building types or classes are skipped.  Codes are decoded
-    once per building type and then joined to its curves.
+    once per building type and then joined to its curves.  The column and grid contracts are checked on
+    the schema before anything is read.
     """
+    column_accounting(wide, {"wbID": "building type", "TERRAINID": "terrain", "DamLossDescID": "class"}, ignored)
     measures = grid_contract(wide.columns, grid)
     facts = classify(wide, "DamLossDescID").join(building_types, "wbID").join(terrain, "TERRAINID", "left")
     facts = facts.withColumn(

@@ -168,7 +168,7 @@ def test_flags_count_only_ones(spark):
 def test_kinds_cover_the_loss_classes(spark):
     from curveloom.fixed_values import LOSS_CLASSES
 
-    units = {(peril, kind): y for peril, kind, _, _, _, y, _, _ in CURVE_KINDS}
+    units = {(peril, kind): y for peril, kind, _, _, _, y, _ in CURVE_KINDS}
     assert len(units) == 12 and all(units["hu", name] == unit for _, name, unit in LOSS_CLASSES)
 
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from curveloom.fixed_values import ATTRIBUTE_LABELS, ATTRIBUTE_ORDER, CURVE_KINDS, INTERNAL_KEYS, Y_LABELS
+from curveloom.fixed_values import ATTRIBUTE_LABELS, CURVE_KINDS
 from curveloom.functions.literal import literal_frame
 from curveloom.operators import aggregate as ag, filters as fl
 from curveloom.operators.lookup import get_curve
@@ -12,7 +12,7 @@ from curveloom.schema import TABLES
 
 CURVE_DDL = ("curve_id string, peril string, version string, damage_type string, occupancy string, building_type string, "
              "source_agency string, description string, defect_flag string, defect_verified string, source_table string")
-KIND_DDL = "peril string, damage_type string, x_name string, x_units string, y_name string, y_units string, interpolation string, notes string"
+KIND_DDL = "peril string, damage_type string, x_name string, x_units string, y_name string, y_units string, interpolation string"
 
 
 def curve(curve_id, damage_type="structure", defect=None, peril="fl", occupancy="RES1"):
@@ -129,17 +129,20 @@ def test_labels(spark, kinds):
     labels = literal_frame(spark, ATTRIBUTE_LABELS, "key string, value string, label string")
     assert {r["label"] for r in fl.display_label(rows, labels).collect()} == {"Open-web steel joist (OWSJ)", "Yes"}
     types = literal_frame(spark, [("hu", "loss_of_use"), ("hu", "new_class")], "peril string, damage_type string")
-    got = {r["damage_type"]: (r["y_units"], r["y_label"]) for r in fl.axis_labels(types, kinds, Y_LABELS).collect()}
+    got = {r["damage_type"]: (r["y_units"], r["y_label"]) for r in fl.axis_labels(types, kinds).collect()}
+    assert {r["x_label"] for r in fl.axis_labels(types, kinds).collect()} == {"3-second peak gust (mph)"}
+    assert {r["value"] for r in fl.default_filters(literal_frame(spark, [("terrain", "Open"), ("terrain", "Suburban")], "key string, value string"), "hu").collect()} == {"Open"}
     assert got["loss_of_use"] == ("days", "Loss of use (days)") and got["new_class"][0] == "mixed"
     keys = literal_frame(spark, [("Zeta",), ("Shutters",), ("Alpha",), ("Roof Shape",), ("terrain",), (None,)], "key string")
-    assert [r["key"] for r in fl.priority_order(keys, ATTRIBUTE_ORDER, INTERNAL_KEYS).collect()] == ["Roof Shape", "Shutters", "Alpha", "Zeta"]
+    assert [r["key"] for r in fl.priority_order(keys).collect()] == ["Roof Shape", "Shutters", "Alpha", "Zeta"]
 
 
 def test_default_curve_matches_missing_and_blank(spark):
     ddl = "rule_id string, version string, damage_type string, occupancy string, flood_zone string, stories string, basement string, curve_id string"
-    rules = literal_frame(spark, [("r1", "6.1", "structure", "RES1", "Riverine", "1 Story", "", "c129"), ("r2", "6.1", "structure", "RES1", "Riverine", "1 Story", "1", "c130")], ddl)
+    rules = literal_frame(spark, [("r1", "6.1", "structure", "RES1", "Riverine", "1 Story", "", "c129"), ("r2", "6.1", "structure", "RES1", "Riverine", "1 Story", "1", "c130"), ("r9", "6.1", "structure", "RES1", "Riverine", "1 Story", None, "c999")], ddl)
     asked = literal_frame(spark, [(1, "6.1", "structure", "RES1", "Riverine", "1 Story", None), (2, "6.1", "structure", "RES1", "Riverine", "1 Story", "1"), (3, "6.1", "structure", "RES9", "Riverine", None, None)],
                           "request_id int, version string, damage_type string, occupancy string, flood_zone string, stories string, basement string")
+    assert fl.default_curve(rules, asked).count() == 3
     assert {r["request_id"]: r["curve_id"] for r in fl.default_curve(rules, asked).collect()} == {1: "c129", 2: "c130", 3: None}
 
 
