@@ -59,18 +59,23 @@ def require_ok(guard: DataFrame) -> DataFrame:
     return guard.withColumn("status", F.when(refused, F.raise_error(message).cast("string")).otherwise(F.col("status")))
 
 
-def average_curve(points: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Mean, population deviation, range and count of the non-NULL y at every x.
-
-    An x without values stays, with n_at_x 0 and NULL statistics.
-    """
-    return points.groupBy(*(by or []), "x").agg(
+def statistics() -> list[Column]:
+    """Mean, population deviation, range and count of the non-NULL y."""
+    return [
         F.avg("y").alias("y_mean"),
         F.stddev_pop("y").alias("y_std"),
         F.min("y").alias("y_min"),
         F.max("y").alias("y_max"),
         F.count("y").alias("n_at_x"),
-    )
+    ]
+
+
+def average_curve(points: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Mean, population deviation, range and count of the non-NULL y at every x.
+
+    An x without values stays, with n_at_x 0 and NULL statistics.
+    """
+    return points.groupBy(*(by or []), "x").agg(*statistics())
 
 
 def derived_id(by: list[str]) -> Column:

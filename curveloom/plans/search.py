@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from curveloom.operators.aggregate import average_curve, require_ok, unit_guard
+from curveloom.operators.aggregate import require_ok, statistics, unit_guard
 from curveloom.operators.filters import attribute_filter, zone_filter
 from curveloom.sources.writers import materialize
 
@@ -22,20 +22,20 @@ class SearchResult:
     def rows(self, strict: bool = False) -> DataFrame:
         """One match as published, several as one average, nothing when the guard refuses.
 
-        Reads the guard's single row first, as averaging must not start before it agrees.
+        One lazy plan: the guard is a scalar subquery, and one or several curves differ in expressions
+        only.  ``strict`` fails the job when the guard refuses.
         """
-        verdict = (require_ok(self.guard) if strict else self.guard).first()
-        if verdict["n_curves"] == 1:
-            return self.points.select(
-                "curve_id", "damage_type", "x", "y", F.lit(None).cast("double").alias("y_std"),
-                F.col("y").alias("y_min"), F.col("y").alias("y_max"),
-                F.when(F.col("y").isNull(), 0).otherwise(1).cast("bigint").alias("n_at_x"),
-            )
-        averaged = average_curve(self.points, ["damage_type"]).select(
-            F.lit("DERIVED").alias("curve_id"), "damage_type", "x", F.col("y_mean").alias("y"),
-            "y_std", "y_min", "y_max", "n_at_x",
+        guard = require_ok(self.guard) if strict else self.guard
+        verdict = guard.select(F.struct("status", "n_curves")).scalar()
+        rows = self.points.groupBy("damage_type", "x").agg(*statistics(), F.min("curve_id").alias("only_curve"))
+        one = F.col("verdict.n_curves") == 1
+        return rows.withColumn("verdict", verdict).where(F.col("verdict.status") == "ok").select(
+            F.when(one, F.col("only_curve")).otherwise("DERIVED").alias("curve_id"),
+            "damage_type", "x",
+            F.when(one, F.col("y_min")).otherwise(F.col("y_mean")).alias("y"),
+            F.when(~one, F.col("y_std")).alias("y_std"),
+            "y_min", "y_max", "n_at_x",
         )
-        return averaged if verdict["status"] == "ok" else averaged.limit(0)
 
 
 def match_curves(
@@ -68,14 +68,13 @@ def search(
     attributes: DataFrame | None = None,
     cases: DataFrame | None = None,
     applicability: DataFrame | None = None,
-    reuse: bool = True,
+    reuse: bool = False,
     **filters,
 ) -> SearchResult:
     """Match curves and prepare guard and points; see ``match_curves`` for the filters.
 
-    With ``reuse`` the matched curves are written once to the shared folder: guard, points and
-    metadata then share one evaluation of the filters, and Spark knows the size of the match, so a
-    small one is broadcast to the scan of the points instead of shuffling them.
+    Nothing runs before a result is read.  With ``reuse`` the matched curves are first written to the
+    shared folder, where they stay: worth it when several parts of a costly match are read.
     """
     matched = match_curves(curves, attributes, cases, applicability, **filters)
     if reuse:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from curveloom.checks.registry import QUERIES
 from curveloom.functions.literal import literal_frame
 from curveloom.operators import audit, filters as fl, reshape
 from tests.oracle import TESTDATA
@@ -17,8 +18,8 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-LAZY = [n for n in entry.queries() if n not in {"read_wide_csv", "read_typed_csv", "read_manifest", "file_row_counts", "write_clustered", "write_tables",
-                                                "rewrite_check", "export_rows", "append_batches", "melt_curves", "melt_source_attributes", "search", "search_single", "extract_code_table",
+LAZY = [n for n in QUERIES if n not in {"read_wide_csv", "read_typed_csv", "read_manifest", "file_row_counts", "write_clustered", "write_tables",
+                                                "rewrite_check", "export_rows", "append_batches", "melt_curves", "melt_source_attributes", "extract_code_table", "file_digests", "manifest_check",
                                                 "restrict_kinds"}]  # the first write, the last joins on a constant
 
 
@@ -26,7 +27,7 @@ LAZY = [n for n in entry.queries() if n not in {"read_wide_csv", "read_typed_csv
 def test_no_cross_join_and_no_python(spark, name):
     text = plan(entry.queries()[name](spark, SF))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert "Python" not in text and "MapInPandas" not in text
+    assert "Python" not in text and "MapInPandas" not in text and "MapInArrow" not in text
 
 
 def test_filters_and_columns_reach_the_scan(spark, tmp_path):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from curveloom.checks.registry import QUERIES
 from tests.oracle import TESTDATA, connect, differences
 
 pytestmark = pytest.mark.skipif(not (TESTDATA / "sf0.001").exists(), reason="driver tables not present")
@@ -17,7 +18,7 @@ def con():
     return connect("0.001")
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
     problems = differences(spark, con, name, "0.001")
     if name in MAY_BE_EMPTY:

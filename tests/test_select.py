@@ -58,7 +58,7 @@ def test_search_refuses_mixed_types(curves, points, kinds):
     assert (guard["status"], guard["n_curves"], guard["n_damage_types"]) == ("heterogeneous", 3, 2)
     assert found.rows().count() == 0
     with pytest.raises(Exception, match="2 damage types"):
-        found.rows(strict=True)
+        found.rows(strict=True).collect()
 
 
 def test_search_single_and_empty(curves, points, kinds):
