@@ -22,7 +22,7 @@ ORDERS = range(3, 7)
 BITS = 18
 DIMENSIONS = 8
 #: the sample that the model is fitted on: rows of each label, and the longest text taken
-SAMPLE_PER_LABEL = 4_000
+SAMPLE_PER_LABEL = 3_000
 SAMPLE_CHARS = 8_000
 STEPS, BATCH, RATE, SCALE = 400, 128, 0.15, 40.0
 #: texts of the sample that an n-gram must be in; embeddings of the others stay zero
