@@ -8,6 +8,8 @@ from itertools import groupby
 import numpy as np
 
 CHUNK_BYTES = 1 << 20
+#: the highest order of n-grams
+MOST = 8
 _FACTOR = np.uint32(0x01000193)
 _SPREAD = np.uint32(0x9E3779B1)
 #: bytes inside a word: ASCII letters and digits and everything outside ASCII
@@ -26,7 +28,8 @@ def chunks(texts: Sequence[str | None]) -> Iterator[tuple[int, int, np.ndarray,
         held.append(" ".join(words).encode("utf-8", "surrogatepass"))
         size += len(held[-1]) + 2
         if size >= CHUNK_BYTES or at == len(texts) - 1:
-            data = np.frombuffer(b"".join(b"  " + t for t in held) + b"  ", np.uint8)
+            # blanks at the end give the last text, however short, an n-gram of every order
+            data = np.frombuffer(b"".join(b"  " + t for t in held) + b" " * MOST, np.uint8)
             starts = np.concatenate([[0], np.cumsum([len(t) + 2 for t in held])[:-1]])
             yield first, at + 1, np.where(_IN_WORD[data], data, np.uint8(32)), starts
             first, size, held = at + 1, 0, []

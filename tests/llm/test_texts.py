@@ -42,6 +42,7 @@ def test_misspellings_score_like_their_words():
     text = prose(900, 60)
     plain, bad, misspelt = model.scores([text, text + " you moron idiot", text + " you morron idiott"])
     assert plain < 0.1 and bad > 0.5 and 3 * plain < misspelt < bad
+    assert model.scores(["", "a", text, ""])[2] == plain and len(model.scores([])) == 0
     assert model.scores([None, ""]).tolist() == model.scores(["", "!!"]).tolist()
 
 
