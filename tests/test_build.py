@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from curveloom.fixed_values import CURVE_KINDS, FLOOD_COLUMN_ROLES, FLOOD_DEPTHS, UNMAPPED_KEY, WIND_SPEEDS
 from curveloom.functions.literal import literal_frame
@@ -92,10 +93,13 @@ def test_grid_completeness(spark):
 def test_roundtrip(spark):
     wide = literal_frame(spark, [("a", 1.0, None), ("b", 2.0, 3.0)], "curve_id string, p0 double, p1 double")
     points = reshape.melt_points(wide)
-    assert [tuple(r) for r in roundtrip_check(wide, points).collect()] == [("p0", 2, 0), ("p1", 2, 0)]
+    assert [tuple(r) for r in roundtrip_check(wide, points).collect()] == [
+        ("p0", 2, 0), ("p1", 2, 0), ("(extra points)", 4, 0), ("(missing points)", 4, 0)]
     altered = points.selectExpr("curve_id", "x", "CASE WHEN curve_id = 'b' AND x = 1 THEN 9.0 ELSE y END AS y")
-    assert [r["n_different"] for r in roundtrip_check(wide, altered).collect()] == [0, 1]
-    assert [r["n_different"] for r in roundtrip_check(wide, points.where("curve_id = 'a'")).collect()] == [1, 1]
+    assert [r["n_different"] for r in roundtrip_check(wide, altered).collect()] == [0, 1, 0, 0]
+    more = points.unionByName(points.where("curve_id = 'a'")).unionByName(points.limit(1).withColumn("x", F.lit(7.0)))
+    assert [r["n_different"] for r in roundtrip_check(wide, more).collect()] == [0, 0, 3, 0]
+    assert [r["n_different"] for r in roundtrip_check(wide, points.where("curve_id = 'a'")).collect()] == [1, 1, 0, 2]
 
 
 def test_read_typed_csv_keeps_versions_as_text(spark, tmp_path):
