@@ -31,6 +31,8 @@ REACH = 6
 DIGITS = 8
 #: neighbouring ids that are ordered together, and how often such runs are gathered into runs: 12 bits each
 RUN, LEVELS = 4096, 5
+#: neighbouring ids whose texts are put in order together
+RUN_DOCS = 512
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
@@ -82,6 +84,28 @@ def _following(keys: DataFrame, level: int) -> DataFrame:
     )
 
 
+def _with_next(rows: DataFrame) -> DataFrame:
+    """``rows(doc_id, text)`` with ``next_text``, the text of the next row by falling doc_id.
+
+    Texts are shuffled once, in runs of ``RUN_DOCS`` neighbouring ids; of each run only the first text
+    is also sent to the run before.
+    """
+    keyed = rows.withColumn("run", F.floor(F.col("doc_id") / RUN_DOCS))
+    tie = F.xxhash64("text")
+    heads = stored(
+        keyed.groupBy("run").agg(F.max(F.struct("doc_id", F.bitwise_not(tie), "text"))["text"].alias("head")), "heads"
+    )
+    largest = heads.agg(F.max("run")).first()[0]
+    following = _following(heads.select(F.col("run").alias("key"), F.col("run").alias("top")), LEVELS)
+    nexts = following.select(F.col("key"), F.coalesce("after", F.lit(largest)).alias("run")).join(heads, "run").select(
+        F.col("key").alias("run"), "head"
+    )
+    order = Window.partitionBy("run").orderBy(F.col("doc_id").desc(), tie)
+    return keyed.withColumn("next_text", F.lead("text").over(order)).join(nexts, "run").select(
+        "doc_id", "text", F.coalesce("next_text", "head").alias("next_text")
+    )
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
@@ -89,40 +113,22 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     document, by descending doc_id and then from the largest again.  A fingerprint is the sorted
     signatures, joined; near_edited and near_next are its Jaccard likeness to those of the edited text
     and of the next document.  A NULL text is empty: its fingerprint is empty, as that of any text
-    without a content word.  Of rows that repeat a doc_id the smallest text is what others take as next,
-    and each has its own result.  A row without doc_id is nobody's next and has an empty next document.
+    without a content word.  Rows that repeat a doc_id follow one another by a hash of the text.  A row
+    without doc_id is nobody's next and has an empty next document.
     """
     base = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
-    ids = stored(
-        base.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.length("text")).alias("n")), "ids"
-    )
-    largest = ids.agg(F.max("doc_id")).first()[0]
-    links = (
-        _following(ids.select(F.col("doc_id").alias("key"), F.col("doc_id").alias("top")), LEVELS)
-        .join(ids.withColumnRenamed("doc_id", "key"), "key")
-        .select(
-            F.col("key").alias("asker"), F.coalesce("after", F.lit(largest)).alias("doc_id"),
-            F.floor(F.col("n") / 2).cast("int").alias("most"),
-        )
+    rows = _with_next(base.where("doc_id IS NOT NULL")).union(
+        base.where("doc_id IS NULL").withColumn("next_text", F.lit(""))
     )
-    signed = base.withColumn("spots", signatures(F.col("text")))
-    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    nexts = (
-        signed.withColumn("turn", turn).where("turn = 1")
-        .join(links, "doc_id")
-        .select(F.col("asker").alias("doc_id"), F.expr("substring(text, 1, most)").alias("head"), F.col("spots").alias("next_spots"))
+    edited = F.concat(
+        F.expr("substring(text, 1, length(text) - half)"), F.expr("substring(next_text, 1, half)")
     )
-    half = F.floor(F.length("text") / 2).cast("int")
-    none = F.array().cast("array<string>")
     return (
-        signed.join(nexts, "doc_id", "left")
-        .withColumn("half", half)
-        .withColumn("head", F.coalesce("head", F.lit("")))
-        .withColumn("next_spots", F.coalesce("next_spots", none))
-        .withColumn("edited", F.concat(F.expr("substring(text, 1, length(text) - half)"), F.expr("substring(head, 1, half)")))
-        .withColumn("edited_spots", signatures(F.col("edited")))
+        rows.withColumn("half", F.floor(F.length("text") / 2).cast("int"))
+        .withColumn("edited", edited)
+        .withColumns({"spots": signatures(F.col("text")), "edited_spots": signatures(F.col("edited")), "next_spots": signatures(F.col("next_text"))})
         .select(
             "doc_id",
             F.length("text").cast("long").alias("n_chars"),
