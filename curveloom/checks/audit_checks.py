@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from curveloom.checks.registry import check
-from curveloom.checks.sample import COASTAL_NOTE, FLAGS, GRID3, GRID7, Sample, with_ctes
+from curveloom.checks.sample import COASTAL_NOTE, FLAGS, GRID3, GRID7, LOOKUPS, Sample, with_ctes
 from curveloom.checks.select_checks import zones_of
 from curveloom.operators import audit, contracts, diff, evidence, rules as ru
 from curveloom.operators.aggregate import defect_banner
@@ -350,9 +350,9 @@ def dimension_gaps_check(s: Sample) -> DataFrame:
 def rules_of(s: Sample) -> DataFrame:
     lookup = s.lookup()
     parts = [
-        ru.rules_from_lookup(lookup.where(F.col("lut") == lut), version="F", damage_type="A", zone=zone,
+        ru.rules_from_lookup(lookup.where(F.col("lut") == lut), version="F", damage_type=kind, zone=zone,
                              row_key="row_no", note=COASTAL_NOTE, peril="li")
-        for zone, lut in (("Riverine", "SMALL"), ("CoastalA", "LARGE"), ("CoastalV", "PROMO"))
+        for kind, zone, lut in LOOKUPS
     ]
     parts.append(ru.rules_from_flags(s.final(), s.crosswalk(), version="O", damage_type="A", id_column="BldgDmgFnId",
                                      note=COASTAL_NOTE, peril="li", flags=FLAGS))

@@ -41,6 +41,12 @@ UNDOCUMENTED_WORDS = ("hot", "old", "rod", "anvil")
 def _case(column: str, index: int) -> Column:
     return F.coalesce(*[F.when(F.col(column) == k, F.lit(v[index])) for k, v in CASES.items()])
 
+# lookup files of the first vintage: damage type, zone and the part type that stands for the file
+LOOKUPS = (
+    ("A", "Riverine", "SMALL"), ("A", "CoastalA", "LARGE"), ("A", "CoastalV", "PROMO"),
+    ("N", "Riverine", "ECONOMY"), ("N", "CoastalA", "MEDIUM"), ("N", "CoastalV", "STANDARD"),
+)
+
 
 class Sample:
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -322,11 +328,11 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "lookup_rules": (
         ("lookup",),
         " UNION ALL ".join(
-            f"SELECT 'li-F-A-{z}-' || CAST(row_no AS VARCHAR) AS rule_id, 'li' AS peril, 'F' AS version, 'A' AS damage_type, "
-            f"occupancy, '{z}' AS flood_zone, stories, basement, 'li-F-A-' || fn_id AS curve_id, source_file, source_table, "
+            f"SELECT 'li-F-{k}-{z}-' || CAST(row_no AS VARCHAR) AS rule_id, 'li' AS peril, 'F' AS version, '{k}' AS damage_type, "
+            f"occupancy, '{z}' AS flood_zone, stories, basement, 'li-F-{k}-' || fn_id AS curve_id, source_file, source_table, "
             f"{'CAST(NULL AS VARCHAR)' if z == 'Riverine' else chr(39) + COASTAL_NOTE + chr(39)} AS notes, {i} AS part_no "
             f"FROM lookup WHERE fn_id IS NOT NULL AND lut = '{lut}'"
-            for i, (z, lut) in enumerate((("Riverine", "SMALL"), ("CoastalA", "LARGE"), ("CoastalV", "PROMO")))
+            for i, (k, z, lut) in enumerate(LOOKUPS)
         ),
     ),
     "final_rules": (
@@ -334,7 +340,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         " UNION ALL ".join(
             f"SELECT 'li-O-A-' || CAST(f.class_id AS VARCHAR) || '-{z}' AS rule_id, 'li' AS peril, 'O' AS version, 'A' AS damage_type, "
             f"occupancy, '{z}' AS flood_zone, stories, basement, 'li-O-A-' || fn_id AS curve_id, source_file, source_table, "
-            f"{'CAST(NULL AS VARCHAR)' if z == 'Riverine' else chr(39) + COASTAL_NOTE + chr(39)} AS notes, 3 AS part_no "
+            f"{'CAST(NULL AS VARCHAR)' if z == 'Riverine' else chr(39) + COASTAL_NOTE + chr(39)} AS notes, {len(LOOKUPS)} AS part_no "
             f"FROM final f LEFT JOIN crosswalk c ON c.class_id = f.class_id WHERE fn_id IS NOT NULL AND {c} = '1'"
             for z, c in FLAGS.items()
         ),
