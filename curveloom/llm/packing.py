@@ -20,10 +20,9 @@ SEQUENCE = 2048
 SEPARATOR = 1
 GROUP_DOCS = 4096
 SEED = 20_270
-CACHED = 400_000
-#: parts between these are tokenized on their own: the tokenizer drops white space and never joins across it
-_BLANKS = re.compile(r"[ \t\n\r]+")
-#: parts of these characters alone are lower-cased, split and mapped here as the tokenizer's own rules do it
+CACHED = 500_000
+#: words up to this letter, and parts of these characters, are lower-cased and split here as the tokenizer's rules do it
+_LAST = "ɏ"
 _PLAIN = re.compile(r"[\x21-\x7EÀ-ɏ]*")
 # fixed values: the split pattern of the vocabulary file, for lower-case letters of that range
 _SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏ]+|[0-9]|[^\sa-zß-öø-ɏ0-9]+")
@@ -39,11 +38,11 @@ def _byte_letters() -> dict[int, str]:
 class _Parts(dict):
     """Encoded ids of parts seen so far; emptied when full, so its memory is bounded."""
 
-    def __init__(self, encode: Callable[[str], bytes]) -> None:
+    def __init__(self, encode: Callable) -> None:
         super().__init__()
         self.encode = encode
 
-    def __missing__(self, part: str) -> bytes:
+    def __missing__(self, part: str | bytes) -> bytes:
         if len(self) >= CACHED:
             self.clear()
         ids = self[part] = self.encode(part)
@@ -54,7 +53,8 @@ class _Parts(dict):
 def encoder(vocabulary: str) -> Callable[[str | None], bytes]:
     """Text to the little-endian unsigned 32-bit ids of ``vocabulary``, exactly as its tokenizer gives them.
 
-    Words repeat, so parts are looked up before they are tokenized.
+    White space is dropped and never joined across, so parts between ASCII blanks are encoded on their own.
+    They repeat, so they are looked up before they are tokenized.
     """
     from tokenizers import Tokenizer
 
@@ -62,21 +62,24 @@ def encoder(vocabulary: str) -> Callable[[str | None], bytes]:
     model, letters = tokenizer.model, _byte_letters()
     special = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
 
-    def packed(ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
-
     def word(part: str) -> bytes:
-        return packed([t.id for t in model.tokenize(part.encode().decode("latin-1").translate(letters))])
+        ids = [t.id for t in model.tokenize(part.encode().decode("latin-1").translate(letters))]
+        return np.array(ids, "<u4").tobytes()
 
     words = _Parts(word)
 
-    def chunk(part: str) -> bytes:
-        if _PLAIN.fullmatch(part) and not any(s in part for s in special):
-            return b"".join(map(words.__getitem__, _SPLIT.findall(part.lower())))
-        return packed(tokenizer.encode(part, add_special_tokens=False).ids)
+    def chunk(raw: bytes) -> bytes:
+        part = raw.decode()
+        if max(part) <= _LAST:
+            lower = part.lower()
+            if lower.isalpha():
+                return words[lower]
+            if _PLAIN.fullmatch(part) and not any(s in part for s in special):
+                return b"".join(map(words.__getitem__, _SPLIT.findall(lower)))
+        return np.array(tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
 
     chunks = _Parts(chunk)
-    return lambda text: b"".join(map(chunks.__getitem__, _BLANKS.split(text))) if text else b""
+    return lambda text: b"".join(map(chunks.__getitem__, text.encode().split())) if text else b""
 
 
 class Tournament:
