@@ -18,7 +18,7 @@ TEMPERATURE = 0.7
 KEEP = 0.6
 SEED = 20_269
 #: the driver holds one number per combination of categories; more combinations stop the job
-MOST_CELLS = 1_000_000
+MOST_CELLS = 100_000
 MISSING = "(none)"
 
 
@@ -114,7 +114,8 @@ def mixed(
         [(c["categories"], float(p)) for c, p in zip(cells, kept)], "categories array<string>, probability double"
     )
     draw = F.pmod(F.xxhash64(F.lit(SEED), F.col("doc.doc_id"), F.col("doc.text")), F.lit(1 << 53)) / F.lit(float(1 << 53))
-    return rows.join(chances, "categories").select(
+    # at most MOST_CELLS rows: broadcast, so that texts stay where they are and no category is hot
+    return rows.join(F.broadcast(chances), "categories").select(
         "doc", "categories", "tokens", "probability", (draw < F.col("probability")).alias("sampled")
     )
 
