@@ -1,7 +1,7 @@
 """Licence scans by canonical digest.
 
-A text is brought to one canonical form (case, punctuation, copyright lines, equivalent spellings), and
-the digest of the entire form is joined with the digests of known licences.  The lines of a text are
+A text is brought to one canonical form (case, punctuation, copyright notices, equivalent spellings, any
+wrapping of lines), and the digest of the entire form is joined with the digests of known licences.  The lines of a text are
 looked up the same way, since a licence notice is an entire text of one line.  Only built-in functions.
 """
 
@@ -85,20 +85,41 @@ KNOWN = (
     ("LicenseRef-all-rights-reserved", "All rights reserved."),
 )
 
-#: what the canonical form removes: copyright lines, then all that is neither letter, digit nor line end
-COPYRIGHT_LINE = r"(^|\n)[ \t/*#;%!-]*(copyright|\(c\)|©)[^\n]*"
+#: all that is neither letter, digit nor line end becomes a blank
 PUNCTUATION = r"[^\p{L}\p{N}\n]+"
+#: any line that opens like a notice: what the SQL removes, equal on texts without such lines inside paragraphs
+COPYRIGHT_LINE = r"(^|\n)[ \t/*#;%!-]*(copyright|\(c\)|©)[^\n]*"
+#: what the canonical form removes: notices at the start of a paragraph or after a title, never inside one
+_EDGE = r"[ \t\r\f/*#;%!-]*"
+_NOTICE = (
+    r"(?:copyright[ \t:,]*(?:\(c\)|©|&copy;|\d{4}|[<\[{]|by\b|yyyy|year\b)|\(c\)[ \t]*(?:copyright|\d{4}|[<\[{]|by\b)|©)[^\n]*"
+)
+_TITLE = r"[^\n]{0,60}licen[cs]e[^\n]{0,20}(?:\n[ \t\r=*~#-]+)?"
+NOTICES = rf"(\n{_EDGE}(?:\n{_TITLE})?)(?:\n{_EDGE}{_NOTICE})+"
+#: weaker ones (a name, but no year), which must be a paragraph of one line
+LONE_NOTICE = rf"(\n{_EDGE})\n{_EDGE}(?:copyright[ \t:][^\n]*|\(c\)[ \t]+[^\n]{{0,60}}[^\n.;:,](?<! and)(?<! or))(?=\n{_EDGE}(?:\n|\z))"
 
 
 def canonical_lines(text: Column) -> Column:
     """The lines of ``text`` in canonical form, those that are then empty left out."""
-    plain = F.regexp_replace(F.lower(F.coalesce(text.cast("string"), F.lit(""))), COPYRIGHT_LINE, "\n")
+    # blank lines around it give the first and the last paragraph the same edges as others
+    plain = F.concat(F.lit("\n\n"), F.lower(F.coalesce(text.cast("string"), F.lit(""))), F.lit("\n\n"))
+    plain = F.regexp_replace(F.regexp_replace(plain, NOTICES, "$1"), LONE_NOTICE, "$1")
     plain = F.regexp_replace(plain, PUNCTUATION, " ")
     for other, chosen in SPELLINGS:
         plain = F.replace(plain, F.lit(other), F.lit(chosen))
     return F.filter(F.transform(F.split(plain, "\n"), lambda line: F.trim(line)), lambda line: line != "")
 
 
+def canonical_form(lines: Column) -> Column:
+    """The entire text as one line; spellings of two words are also found where a line ended between them."""
+    form = F.array_join(lines, " ")
+    for other, chosen in SPELLINGS:
+        if " " in other:
+            form = F.replace(form, F.lit(other), F.lit(chosen))
+    return form
+
+
 def known_licenses(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(KNOWN), "license string, text string")
 
@@ -114,7 +135,7 @@ def licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
     """
     entries = (
         known.select("license", canonical_lines(F.col("text")).alias("lines"))
-        .select("license", F.array_join("lines", " ").alias("form"))
+        .select("license", canonical_form(F.col("lines")).alias("form"))
         .where("form <> ''")
         .groupBy(F.sha2("form", 256).alias("key")).agg(F.min("license").alias("name"), F.first(F.length("form")).alias("size"))
     )
@@ -124,7 +145,7 @@ def licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), canonical_lines(F.col("text")).alias("lines")
     ).select(
         "doc_id",
-        F.sha2(F.array_join("lines", " "), 256).alias("digest"),
+        F.sha2(canonical_form(F.col("lines")), 256).alias("digest"),
         F.transform(
             F.filter("lines", lambda line: F.length(line).isin(sizes)), lambda line: F.sha2(line, 256)
         ).alias("keys"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -184,6 +185,33 @@ def test_licences_by_canonical_text(spark, odd, no_docs):
     assert licenses.licenses(no_docs, known).collect() == []
 
 
+def test_licences_in_any_wrapping(spark):
+    known = [(name, text) for name, text in licenses.KNOWN if "\n" in text]
+    rows = []
+    for name, text in known:
+        paragraphs = re.split(r"\n[ \t]*\n", text.strip())
+        for width in (45, 60, 72, 80, 100, 10**6):
+            wrapped = [textwrap.fill(" ".join(p.split()), width) for p in paragraphs]
+            rows += [(name, "\n\n".join(wrapped)), (name, "\r\n\r\n".join(w.replace("\n", "\r\n") for w in wrapped))]
+            rows.append((name, "/*\n" + "\n".join(" * " + line for line in "\n\n".join(wrapped).split("\n")) + "\n */"))
+    docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(rows)], "doc_id long, text string")
+    found = {r["doc_id"]: r["license"] for r in licenses.licenses(docs, licenses.known_licenses(spark)).collect()}
+    assert [(i, found[i]) for i in range(len(rows)) if found[i] != rows[i][0]] == []
+
+
+@pytest.mark.parametrize("notice, gone", [
+    ("Copyright (c) 2020, 2021 Jane Doe", True), ("(C) 2020 Jane Doe", True), ("© Jane Doe", True), ("Copyright by Jane Doe", True),
+    ("Copyright 2020 A\n// Copyright 2021 B", True), ("Copyright [yyyy] [name]", True), ("Copyright Jane Doe", True), ("(c) Jane Doe", True),
+    ("(c) You must retain all notices; and", False), ("COPYRIGHT HOLDERS BE LIABLE\nfor any claim", False), ("By the\ncopyright 2020 rules", False),
+])
+def test_copyright_notices_only(spark, notice, gone):
+    docs = spark.createDataFrame([(f"Title\n\n{notice}\n\nBody",), (f"Some License\n{notice}\nBody",)], "text string")
+    alone, titled = (r[0] for r in docs.select(licenses.canonical_lines(docs["text"])).collect())
+    assert (alone == ["title", "body"]) is gone
+    if "20" in notice:  # without a blank line only with a year
+        assert (titled == ["some license", "body"]) is gone
+
+
 def test_fingerprints_of_odd_texts(spark, odd, no_docs):
     rows = spotsigs.fingerprints(odd).collect()
     assert len(rows) == len(odd_texts())
