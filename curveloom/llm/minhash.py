@@ -6,13 +6,13 @@ coordinate k is the smallest value read.  So a shingle costs one contiguous read
 permutation instead of one hash function per coordinate.
 
 Whole texts are compared, not signatures: a pair that shares a band counts only when the full sets
-of 64-bit shingle hashes satisfy ``100 * shared >= 85 * all``.
+of 64-bit shingle hashes satisfy ``100 * shared >= percent * all``: 85 percent, unless a caller asks for less.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pandas as pd
@@ -27,6 +27,8 @@ from curveloom.llm.tables import discard, stored
 WORDS = 5
 PERCENT = 85
 BANDS, ROWS = 24, 6
+#: bands of likenesses below ``PERCENT``: at 80 % a pair shares none of them with probability 0.000015
+LOWER_BANDS, LOWER_ROWS = 28, 5
 UNIVERSE = 1 << 20
 SEED = 20_261
 BLOCK_SETS = 256
@@ -75,10 +77,11 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return np.minimum.reduce(parts)
 
 
-def bands(hashes: np.ndarray) -> list[int]:
-    rows = signature(hashes).reshape(BANDS, ROWS).astype(np.uint64)
-    keys = np.arange(BANDS, dtype=np.uint64)
-    for i in range(ROWS):
+def bands(hashes: np.ndarray, percent: int = PERCENT) -> list[int]:
+    n, size = (BANDS, ROWS) if percent >= PERCENT else (LOWER_BANDS, LOWER_ROWS)
+    rows = signature(hashes)[: n * size].reshape(n, size).astype(np.uint64)
+    keys = np.arange(n, dtype=np.uint64)
+    for i in range(size):
         keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + rows[:, i])
     return keys.view(np.int64).tolist()
 
@@ -87,14 +90,14 @@ def digest(hashes: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(hashes.tobytes())
 
 
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, names, keys = [], [], []
         for text in batch.column("text"):
             found = shingles(text.as_py())
             sizes.append(len(found))
             names.append(digest(found) if len(found) else None)
-            keys.append(bands(found) if len(found) else None)
+            keys.append(bands(found, percent) if len(found) else None)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("doc"), batch.column("text_hash"), pa.array(sizes, pa.int64()),
              pa.array(names, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
@@ -111,14 +114,14 @@ def _plain(docs: DataFrame) -> DataFrame:
     )
 
 
-def signed(docs: DataFrame) -> DataFrame:
+def signed(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, doc, text_hash, n_shingles, set_id, bands); set_id and bands are NULL for a document without words."""
     return _plain(docs).mapInArrow(
-        _signed, "doc_id long, doc long, text_hash long, n_shingles long, set_id binary, bands array<long>"
+        partial(_signed, percent=percent), "doc_id long, doc long, text_hash long, n_shingles long, set_id binary, bands array<long>"
     )
 
 
-def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _verified(batches: Iterator[pd.DataFrame], percent: int) -> Iterator[pd.DataFrame]:
     """Tests pairs of texts; the text seen last on each side is not read twice."""
     last: dict[str, tuple[str | None, np.ndarray]] = {"a": ("", shingles("")), "b": ("", shingles(""))}
 
@@ -132,15 +135,15 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for left, right in zip(batch["text_a"], batch["text_b"]):
             x, y = of("a", left), of("b", right)
             shared = len(np.intersect1d(x, y, assume_unique=True))
-            linked.append(100 * shared >= PERCENT * (len(x) + len(y) - shared))
+            linked.append(100 * shared >= percent * (len(x) + len(y) - shared))
         yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "linked": np.array(linked, bool)})
 
 
-def _tested(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _tested(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """(a, b, linked) of each pair of set ids, by the full sets of their texts."""
     with_b = pairs.join(texts.select(F.col("set_id").alias("b"), F.col("text").alias("text_b")), "b")
     both = with_b.join(texts.select(F.col("set_id").alias("a"), F.col("text").alias("text_a")), "a")
-    return both.select("a", "b", "text_a", "text_b").mapInPandas(_verified, "a binary, b binary, linked boolean")
+    return both.select("a", "b", "text_a", "text_b").mapInPandas(partial(_verified, percent=percent), "a binary, b binary, linked boolean")
 
 
 def _named(sets: DataFrame, roots: DataFrame) -> DataFrame:
@@ -149,7 +152,7 @@ def _named(sets: DataFrame, roots: DataFrame) -> DataFrame:
     )
 
 
-def _forest(left: list[np.ndarray], right: list[np.ndarray]) -> list[tuple[int, int]]:
+def _forest(left: list[np.ndarray], right: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
     """Links between two lists of sets, as (position, position in its group's lowest) without cycles.
 
     Positions run through ``left`` and then ``right``.  Shared elements are counted exactly by
@@ -169,7 +172,7 @@ def _forest(left: list[np.ndarray], right: list[np.ndarray]) -> list[tuple[int,
         grid[owner[low:high], column[low:high] - start] = 1
         shared += grid[: len(left)] @ grid[len(left) :].T
     size = np.array([len(s) for s in sets])
-    linked = 100 * shared >= PERCENT * (size[: len(left), None] + size[None, len(left) :] - shared)
+    linked = 100 * shared >= percent * (size[: len(left), None] + size[None, len(left) :] - shared)
     group = np.arange(len(sets))
     for i in np.flatnonzero(linked.any(axis=1)):
         joined = np.append(group[len(left) :][linked[i]], group[i])
@@ -177,12 +180,12 @@ def _forest(left: list[np.ndarray], right: list[np.ndarray]) -> list[tuple[int,
     return [(int(i), int(group[i])) for i in np.flatnonzero(group != np.arange(len(sets)))]
 
 
-def _linked_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _linked_blocks(batches: Iterator[pd.DataFrame], percent: int) -> Iterator[pd.DataFrame]:
     """Edges within each run of rows with one (bucket, i, j); asked sets meet the others."""
 
     def edges(asked: dict[bytes, np.ndarray], others: dict[bytes, np.ndarray]) -> pd.DataFrame:
         names = [*asked, *others]
-        found = _forest([*asked.values()], [*others.values()]) if asked and others else []
+        found = _forest([*asked.values()], [*others.values()], percent) if asked and others else []
         return pd.DataFrame({"a": [names[x] for x, _ in found], "b": [names[y] for _, y in found]})
 
     key, sides = None, ({}, {})
@@ -232,7 +235,7 @@ def _blocks(unsettled: DataFrame) -> DataFrame:
     return asked.union(others)
 
 
-def set_components(signs: DataFrame, docs: DataFrame) -> DataFrame:
+def set_components(signs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(node, root): the distinct shingle sets that links join, and one set that stands for each group.
 
     Copies are one set.  First every set of a bucket meets the bucket's smallest set, which joins most
@@ -254,21 +257,21 @@ def set_components(signs: DataFrame, docs: DataFrame) -> DataFrame:
     stars = members.where(F.col("set_id") != F.col("pivot")).select(
         F.col("set_id").alias("a"), F.col("pivot").alias("b")
     ).distinct()
-    links = stored(_tested(stars, texts).where("linked").select("a", "b"), "links")
+    links = stored(_tested(stars, texts, percent).where("linked").select("a", "b"), "links")
     roots = stored(components(links), "roots")
     blocks = _blocks(_unsettled(members, roots)).join(texts, "set_id")
     more = (
         blocks.select("bucket", "i", "j", "side", "set_id", "text")
         .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "side")
-        .mapInPandas(_linked_blocks, "a binary, b binary")
+        .mapInPandas(partial(_linked_blocks, percent=percent), "a binary, b binary")
     )
     return stored(components(links.union(stored(more, "links"))), "roots")
 
 
-def _placed(docs: DataFrame) -> DataFrame:
+def _placed(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id and kept of each row, as ``near_duplicates`` defines them."""
-    signs = stored(signed(docs), "signatures")
-    named = _named(signs.drop("bands"), set_components(signs, docs))
+    signs = stored(signed(docs, percent), "signatures")
+    named = _named(signs.drop("bands"), set_components(signs, docs, percent))
     lowest = named.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("component_id"))
     component = F.coalesce("component_id", "doc_id")
     return named.join(lowest, "root", "left").select(
@@ -289,9 +292,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return _placed(docs).drop("text_hash")
 
 
-def without_near_duplicates(docs: DataFrame) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The kept rows of ``docs``, with all their columns: of each component that with the smallest doc_id.
 
+    Two texts are linked from ``percent`` likeness on; the bands suit 80 and more.
+
     Texts without words stay, and so do rows without a doc_id in components without one.  Rows with equal
     doc_id and text count once.
     """
@@ -301,6 +306,6 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     rows = docs.toDF(*names).withColumns(
         {"doc_id": doc_id.cast("long"), "text_hash": F.xxhash64(text.cast("string"))}
     ).withColumns(keys)
-    stay = _placed(docs).where(F.coalesce("kept", F.lit(True))).withColumns(keys).select(*keys, "text_hash").distinct()
+    stay = _placed(docs, percent).where(F.coalesce("kept", F.lit(True))).withColumns(keys).select(*keys, "text_hash").distinct()
     first = F.row_number().over(Window.partitionBy(*keys, "text_hash").orderBy(F.lit(0)))
     return rows.join(stay, [*keys, "text_hash"], "left_semi").withColumn("turn", first).where("turn = 1").select(*names).toDF(*docs.columns)

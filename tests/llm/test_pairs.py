@@ -8,10 +8,11 @@ from collections import Counter
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from curveloom.llm import minhash, substrings
 from curveloom.llm.components import components
 from curveloom.llm.phrases import LENGTH, Digests, runs
-from tests.llm.conftest import odd_texts
+from tests.llm.conftest import edited, odd_texts, prose
 
 
 def shingle_set(text: str | None) -> frozenset:
@@ -56,6 +57,26 @@ def test_stage_keeps_one_of_a_group(odd):
     assert ids[None] == 1  # the copy of document 1 went
 
 
+def test_pipeline_drops_copies_from_80_percent(spark):
+    rows, near = [], 0
+    for k in range(40):
+        base = prose(900 + k, 200)
+        rows += [(3 * k, base), (3 * k + 1, edited(base, k, 1 + k % 9)), (3 * k + 2, edited(base, 100 + k, 3 + k % 5))]
+    sets = [shingle_set(t) for _, t in rows]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            shared, all_ = len(sets[i] & sets[j]), len(sets[i] | sets[j])
+            near += 80 * all_ <= 100 * shared < 85 * all_
+            if 100 * shared >= 80 * all_:
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    assert near > 10
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect())
+    assert kept == sorted(set(label)) and len(kept) < minhash.without_near_duplicates(docs).count()
+
+
 def test_no_documents(no_docs):
     assert minhash.near_duplicates(no_docs).collect() == []
     assert substrings.without_repeats(no_docs).collect() == []
