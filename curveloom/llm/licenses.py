@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from curveloom.llm.license_table import full_table
+
 # fixed values: spellings that count as equal, and known licence texts and notices
 SPELLINGS = (
     ("acknowledgement", "acknowledgment"), ("authorisation", "authorization"), ("authorised", "authorized"),
@@ -91,13 +93,17 @@ PUNCTUATION = r"[^\p{L}\p{N}\n]+"
 COPYRIGHT_LINE = r"(^|\n)[ \t/*#;%!-]*(copyright|\(c\)|©)[^\n]*"
 #: what the canonical form removes: notices at the start of a paragraph or after a title, never inside one
 _EDGE = r"[ \t\r\f/*#;%!-]*"
-_NOTICE = (
+#: the foundation's notice over its own licences shares a paragraph with text and is the same in every copy: it stays
+_OWN = r"(?!copyright[^\p{L}]+c[^\p{L}]+free[^\p{L}]+software[^\p{L}]+foundation[\s\S]{0,200}?everyone[^\p{L}]+is[^\p{L}]+permitted)"
+_NOTICE = _OWN + (
     r"(?:copyright[ \t:,]*(?:\(c\)|©|&copy;|\d{4}|[<\[{]|by\b|yyyy|year\b)|\(c\)[ \t]*(?:copyright|\d{4}|[<\[{]|by\b)|©)[^\n]*"
+    # "all rights reserved" that begins on its line ends with it
+    rf"(?:(?<=\ball rights[ \t\r]{{0,2}})\n{_EDGE}reserved\.?|(?<=\ball[ \t\r]{{0,2}})\n{_EDGE}rights[ \t]+reserved\.?)?"
 )
 _TITLE = r"[^\n]{0,60}licen[cs]e[^\n]{0,20}(?:\n[ \t\r=*~#-]+)?"
 NOTICES = rf"(\n{_EDGE}(?:\n{_TITLE})?)(?:\n{_EDGE}{_NOTICE})+"
 #: weaker ones (a name, but no year), which must be a paragraph of one line
-LONE_NOTICE = rf"(\n{_EDGE})\n{_EDGE}(?:copyright[ \t:][^\n]*|\(c\)[ \t]+[^\n]{{0,60}}[^\n.;:,](?<! and)(?<! or))(?=\n{_EDGE}(?:\n|\z))"
+LONE_NOTICE = rf"(\n{_EDGE})\n{_EDGE}{_OWN}(?:copyright[ \t:][^\n]*|\(c\)[ \t]+[^\n]{{0,60}}[^\n.;:,](?<! and)(?<! or))(?=\n{_EDGE}(?:\n|\z))"
 
 
 def canonical_lines(text: Column) -> Column:
@@ -121,7 +127,8 @@ def canonical_form(lines: Column) -> Column:
 
 
 def known_licenses(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(KNOWN), "license string, text string")
+    """The notices of ``KNOWN`` and the whole texts, headers and SPDX tags of ``license_table``."""
+    return spark.createDataFrame([*KNOWN, *full_table()], "license string, text string")
 
 
 def licenses(docs: DataFrame, known: DataFrame) -> DataFrame:

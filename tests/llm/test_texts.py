@@ -8,6 +8,7 @@ import re
 import textwrap
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -15,7 +16,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from curveloom.llm import language, licenses, mixing, packing, queries, secrets, spotsigs, toxicity  # noqa: F401  (queries registers)
+from curveloom.llm import language, license_table, licenses, mixing, packing, queries, secrets, spotsigs, toxicity  # noqa: F401  (queries registers)
 from curveloom.llm.registry import QUERIES
 from tests.llm.conftest import odd_texts, prose
 from tests.oracle import TESTDATA
@@ -186,17 +187,30 @@ def test_licences_by_canonical_text(spark, odd, no_docs):
 
 
 def test_licences_in_any_wrapping(spark):
-    known = [(name, text) for name, text in licenses.KNOWN if "\n" in text]
+    known = [(name, text) for name, text in (*licenses.KNOWN, *license_table.full_table()) if "\n" in text]
     rows = []
     for name, text in known:
         paragraphs = re.split(r"\n[ \t]*\n", text.strip())
         for width in (45, 60, 72, 80, 100, 10**6):
-            wrapped = [textwrap.fill(" ".join(p.split()), width) for p in paragraphs]
+            wrapped = [textwrap.fill(" ".join(p.split()), width, break_long_words=False) for p in paragraphs]
             rows += [(name, "\n\n".join(wrapped)), (name, "\r\n\r\n".join(w.replace("\n", "\r\n") for w in wrapped))]
             rows.append((name, "/*\n" + "\n".join(" * " + line for line in "\n\n".join(wrapped).split("\n")) + "\n */"))
     docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(rows)], "doc_id long, text string")
     found = {r["doc_id"]: r["license"] for r in licenses.licenses(docs, licenses.known_licenses(spark)).collect()}
-    assert [(i, found[i]) for i in range(len(rows)) if found[i] != rows[i][0]] == []
+    assert sorted({(name, i // 3 % 6, i % 3) for i, (name, text) in enumerate(rows) if found[i] != name}) == []
+
+
+def test_whole_licences_headers_and_tags(spark):
+    common = Path("/usr/share/common-licenses")
+    texts = {"Apache-2.0": "Apache-2.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "LGPL-3.0": "LGPL-3", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    rows = [(name, (common / file).read_text("utf-8")) for name, file in texts.items() if (common / file).exists()]
+    bsd = (Path(license_table.__file__).parent / "license_texts" / "BSD-3-Clause.txt").read_text()
+    rows += [("BSD-3-Clause", "Copyright 2001-2020 Jane Doe\nAll rights reserved.\n" + bsd.split("<owner>\n", 1)[1])]
+    rows += [("Apache-2.0", "# Copyright 2020 Jane Doe\n#\n" + "".join(f"# {line}\n" for line in textwrap.wrap(license_table.APACHE_HEADER, 70)))]
+    docs = spark.createDataFrame([*((i, t) for i, (_, t) in enumerate(rows)), (99, "x = 1\n# SPDX-License-Identifier: BSD-2-Clause")], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in licenses.licenses(docs, licenses.known_licenses(spark)).collect()}
+    assert [found[i]["license"] for i in range(len(rows))] == [name for name, _ in rows]
+    assert (found[99]["n_notices"], found[99]["notices"]) == (1, "BSD-2-Clause")
 
 
 @pytest.mark.parametrize("notice, gone", [
