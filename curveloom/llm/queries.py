@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from curveloom.llm import language, licenses, licenses_sql, minhash, mixing, packing, secrets, spotsigs, spotsigs_sql, substrings, toxicity, vectors
+from curveloom.llm import language, licenses, licenses_sql, merkle, merkle_sql, minhash, mixing, packing, secrets, spotsigs, spotsigs_sql, substrings, toxicity, vectors
 from curveloom.llm.registry import query
 from curveloom.llm.tables import table
 
@@ -81,3 +81,8 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query(merkle_sql.SQL)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_check(table(spark, sf_dir, "documents"))

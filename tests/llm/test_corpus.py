@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not (TESTDATA / "sf0.001").exists(), reason="dri
 
 def test_all_are_registered():
     numbers = {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")}
-    assert numbers == set(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == set(range(1, 14)) and "pipeline" in QUERIES
     assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
