@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from curveloom.llm import collocations, collocations_sql, language, licenses, licenses_sql, merkle, merkle_sql, minhash, mixing, packing, secrets, spotsigs, spotsigs_sql, substrings, toxicity, vectors
+from curveloom.llm import collocations, collocations_sql, debruijn, debruijn_sql, language, licenses, licenses_sql, merkle, merkle_sql, minhash, mixing, packing, secrets, spotsigs, spotsigs_sql, substrings, toxicity, vectors
 from curveloom.llm.registry import query
 from curveloom.llm.tables import table
 
@@ -91,3 +91,8 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(collocations_sql.SQL)
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query(debruijn_sql.SQL)
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.without_repeated_windows(table(spark, sf_dir, "documents"))

@@ -64,7 +64,9 @@ def test_odd_texts(spark, odd, no_docs):
     assert collocations.collocations(no_docs).collect() == []
 
 
-def test_languages_pieces_and_ties(spark):
+@pytest.mark.parametrize("of_shard", [1 << 21, 500])
+def test_languages_pieces_and_ties(spark, monkeypatch, of_shard):
+    monkeypatch.setattr(collocations, "SHARD_GRAMS", of_shard)
     rng = np.random.default_rng(5)
     words = ["A", "b", "É", "c\x00", "d'e", "...", "x y", " ", "B"]
     rows = []
