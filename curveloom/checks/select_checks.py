@@ -174,8 +174,10 @@ def limit_rows_check(s: Sample) -> DataFrame:
 
 @check("default_curve", with_ctes("rules", "exposures") + """
 SELECT exposure_id AS request_id, r.rule_id, r.curve_id FROM (SELECT exposure_id, 'Brand#' || CAST(exposure_id % 25 + 1 AS VARCHAR) AS occupancy,
-CAST(exposure_id % 3 + 1 AS VARCHAR) AS stories FROM exposures) q LEFT JOIN rules r ON r.version = 'O' AND r.damage_type = 'A'
-AND r.occupancy = q.occupancy AND r.flood_zone = 'Riverine' AND coalesce(r.stories, '') = q.stories AND coalesce(r.basement, '') = ''""")
+CAST(exposure_id % 3 + 1 AS VARCHAR) AS stories FROM exposures) q LEFT JOIN (
+SELECT *, coalesce(trim(stories), '') AS floors, row_number() OVER (PARTITION BY version, damage_type, occupancy, flood_zone,
+coalesce(trim(stories), ''), coalesce(trim(basement), '') ORDER BY rule_id, curve_id) AS rn FROM rules) r ON r.rn = 1 AND r.version = 'O' AND r.damage_type = 'A'
+AND r.occupancy = q.occupancy AND r.flood_zone = 'Riverine' AND r.floors = q.stories AND coalesce(trim(r.basement), '') = ''""")
 def default_curve_check(s: Sample) -> DataFrame:
     from curveloom.checks.audit_checks import rules_of
 

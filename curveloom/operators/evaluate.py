@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from curveloom.functions.axis import measure_columns
+from curveloom.operators.pages import CurvePages, curve_pages, locate
 from curveloom.operators.reshape import pack_curve
 from curveloom.operators.skew import salted_join
 
@@ -90,38 +91,22 @@ def segments(points: DataFrame) -> DataFrame:
     )
 
 
-def segment_join(exposures: DataFrame, points: DataFrame, bucket_width: float | None = None) -> DataFrame:
+def segment_join(
+    exposures: DataFrame, points: DataFrame, bucket_width: float | None = None, pages: CurvePages | None = None
+) -> DataFrame:
     """Every exposure with the segment that holds x (``_x0, _y0, _x1, _y1``; NULL outside the domain),
     ``_exists`` (the curve is known) and ``_inside`` (x is in its domain).
 
-    The parts of the axis below and above each domain are segments too, so one join answers all
-    three.  Each exposure is tested against the segments of its curve; for curves with very many
-    points ``bucket_width`` adds a bucket of x to the key instead: a segment is repeated in the
-    buckets it crosses, a hot curve is spread over them, and the result is the same.
+    The library is packed into pages (``curve_pages``), and an exposure meets one page a level; pass
+    ``pages`` to use an index that was built before.  ``bucket_width`` needs no index: a bucket of x joins the
+    key, a segment is repeated in the buckets it crosses, and the result is the same.
     """
+    if bucket_width is None:
+        return locate(exposures, pages or curve_pages(points))
     domain = points.groupBy("curve_id").agg(F.min("x").alias("_low"), F.max("x").alias("_high"))
     seg = segments(points)
     x, x0, x1 = F.col("x"), F.col("_x0"), F.col("_x1")
     by = exposures.columns
-    if bucket_width is None:
-        nothing = F.lit(None).cast("double")
-        below = F.struct(nothing.alias("_x0"), F.col("_low").alias("_x1"))
-        above = F.struct(F.col("_high").alias("_x0"), nothing.alias("_x1"))
-        ends = domain.select("curve_id", F.inline(F.array(below, above))).select(
-            "curve_id", "_x0", nothing.alias("_y0"), "_x1", nothing.alias("_y1"), F.lit(True).alias("_end")
-        )
-        library = seg.withColumn("_end", F.lit(False)).unionByName(ends)
-        # a missing x is outside every domain
-        place = F.coalesce(F.nanvl(x, F.lit(float("-inf"))), F.lit(float("-inf")))
-        holds = F.when(F.col("_end"), F.coalesce(place < x1, place > x0)).otherwise(
-            (place == x0) | F.coalesce((place > x0) & (place < x1), F.lit(False))
-        )
-        joined = salted_join(exposures, library, ["curve_id"], by, salt=LIBRARY_SALT, condition=holds)
-        shown = [F.when(~F.col("_end"), F.col(c)).alias(c) for c in ("_x0", "_y0", "_x1", "_y1")]
-        return joined.select(
-            *by, F.col("_right_curve_id").isNotNull().alias("_exists"),
-            F.coalesce(~F.col("_end"), F.lit(False)).alias("_inside"), *shown,
-        )
     located = salted_join(exposures, domain, ["curve_id"], by, salt=LIBRARY_SALT).withColumns({
         "_exists": F.col("_low").isNotNull(),
         "_inside": F.coalesce(x.between(F.col("_low"), F.col("_high")), F.lit(False)),
@@ -143,16 +128,18 @@ def evaluate(
     points: DataFrame,
     grid: list[float] | None = None,
     bucket_width: float | None = None,
+    pages: CurvePages | None = None,
 ) -> DataFrame:
     """Exposures with ``y`` and ``status``; every exposure keeps exactly one row.
 
     With ``grid`` the library is packed to one row per curve (a curve that breaks the grid stops
-    the job).  Without it curves may have any x values and the segment join is used.
+    the job).  Without it curves may have any x values and number of points, and the segment join is used,
+    over ``pages`` if an index of the library is given.
     Spark broadcasts a packed library that it measures to be small.
     """
     if grid is not None:
         return evaluate_packed(exposures, pack_curve(points, grid), grid)
-    return _finish(segment_join(exposures, points, bucket_width), exposures.columns)
+    return _finish(segment_join(exposures, points, bucket_width, pages), exposures.columns)
 
 
 def strict(evaluated: DataFrame) -> DataFrame:

@@ -18,16 +18,21 @@ class SearchResult:
     curves: DataFrame
     points: DataFrame
     guard: DataFrame
+    all_points: DataFrame
+    kinds: DataFrame | None
 
     def rows(self, strict: bool = False) -> DataFrame:
         """One match as published, several as one average, nothing when the guard refuses.
 
-        One lazy plan: the guard is a scalar subquery, and one or several curves differ in expressions
-        only.  ``strict`` fails the job when the guard refuses.
+        The filters run once: what guard and average need of the matched curves, three short columns, is
+        written to the shared folder when this is called, and stays there.  The rest is one lazy plan: the guard is a
+        scalar subquery, and one or several curves differ in expressions only.  ``strict`` fails the job when
+        the guard refuses.
         """
-        guard = require_ok(self.guard) if strict else self.guard
-        verdict = guard.select(F.struct("status", "n_curves")).scalar()
-        rows = self.points.groupBy("damage_type", "x").agg(*statistics(), F.min("curve_id").alias("only_curve"))
+        matched = materialize(self.curves.select("curve_id", "peril", "damage_type"), "matched-ids")
+        guard = unit_guard(matched, self.kinds)
+        verdict = (require_ok(guard) if strict else guard).select(F.struct("status", "n_curves")).scalar()
+        rows = self.all_points.join(matched.select("curve_id", "damage_type"), "curve_id").groupBy("damage_type", "x").agg(*statistics(), F.min("curve_id").alias("only_curve"))
         one = F.col("verdict.n_curves") == 1
         return rows.withColumn("verdict", verdict).where(F.col("verdict.status") == "ok").select(
             F.when(one, F.col("only_curve")).otherwise("DERIVED").alias("curve_id"),
@@ -80,4 +85,4 @@ def search(
     if reuse:
         matched = materialize(matched, "matched-curves")
     typed = points.join(matched.select("curve_id", "damage_type"), "curve_id")
-    return SearchResult(matched, typed, unit_guard(matched, kinds))
+    return SearchResult(matched, typed, unit_guard(matched, kinds), points, kinds)

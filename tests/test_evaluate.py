@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from curveloom.functions.literal import literal_frame
 from curveloom.operators.evaluate import evaluate, evaluate_strict, evaluate_wide, segment_join
+from curveloom.operators.pages import curve_pages
 from curveloom.operators.reshape import widen_points
 
 BASE = [(0.0, 10.0), (5.0, 20.0), (10.0, 30.0)]
@@ -93,8 +94,10 @@ def test_irregular_curves_equal_brute_force(spark):
 
     exposures = literal_frame(spark, [(i, c, x) for i, (c, x) in enumerate(asked)], "exposure_id int, curve_id string, x double")
     want = {i: expected(c, x) for i, (c, x) in enumerate(asked)}
-    for width in (None, 0.7, 3.0):
-        rows = evaluate(exposures, library(spark, curves), bucket_width=width).collect()
+    forms = [dict(bucket_width=w) for w in (None, 0.7, 3.0)]
+    forms += [dict(pages=curve_pages(library(spark, curves), size)) for size in (2, 8)]
+    for form in forms:
+        rows = evaluate(exposures, library(spark, curves), **form).collect()
         assert {r["exposure_id"]: (r["y"], r["status"]) for r in rows} == want and len(rows) == len(asked)
 
 
@@ -112,3 +115,45 @@ def test_segments_cover_each_exposure_once(spark):
 def test_widen_counts_points_off_the_grid(spark):
     row = widen_points(library(spark, {"a": BASE}), [0.0, 5.0]).first()
     assert (row["n_points"], row["n_off_grid"], row["y_0"], row["y_1"]) == (3, 1, 10.0, 20.0)
+
+
+def test_a_curve_of_a_million_points(spark):
+    """A hot curve far beyond a page beside short ones: three levels, one row per exposure, no segment is missed."""
+    long = spark.range(1_000_000).select(
+        F.lit("long").alias("curve_id"), (F.col("id") / 4 + F.when(F.col("id") % 3 == 0, 0.125).otherwise(0.0)).alias("x"),
+        F.when(F.col("id") % 1_000 != 7, (F.col("id") % 97).cast("double")).alias("y"))
+    points = long.unionByName(library(spark)).repartition(6)
+    pages = curve_pages(points)
+    assert len(pages.upper) == 1 and pages.leaves.where(F.size("xs") > 1_025).count() == 0
+    assert pages.leaves.groupBy("curve_id").count().where("curve_id != 'long' AND count > 2").count() == 0
+    exposures = spark.range(40_000).select(
+        F.col("id").alias("exposure_id"), F.lit("long").alias("curve_id"), (F.col("id") * 25 % 1_000_003 / 4 + 0.0625).alias("x"))
+    got = evaluate(exposures, points, pages=pages).collect()
+    assert len(got) == 40_000
+
+    def at(i):
+        return i / 4 + (0.125 if i % 3 == 0 else 0.0), None if i % 1_000 == 7 else float(i % 97)
+
+    for row in got:
+        i = min(int(row["x"] * 4), 999_999)
+        while i >= 0 and at(i)[0] > row["x"]:
+            i -= 1
+        if i < 0 or row["x"] > at(999_999)[0]:
+            assert (row["y"], row["status"]) == (None, "outside_domain")
+            continue
+        (x0, y0), (x1, y1) = at(i), at(i + 1)
+        if y0 is None or y1 is None:
+            assert row["y"] is None and row["status"] in ("gap", "no_published_value")
+        else:
+            assert row["status"] == "ok" and row["y"] == y0 + (y1 - y0) * (row["x"] - x0) / (x1 - x0)
+
+
+def test_pages_of_odd_libraries(spark):
+    """An empty library, a curve of one NULL point, unknown and NULL curves."""
+    empty = library(spark).where("false")
+    exposures = literal_frame(
+        spark, [("a", 1.0), ("a", 2.0), ("b", 1.0), (None, 1.0)], "curve_id string, x double")
+    assert [r["status"] for r in evaluate(exposures, empty).collect()] == ["no_such_curve"] * 4
+    one = library(spark, {"a": [(1.0, None)]})
+    got = {(r["curve_id"], r["x"]): r["status"] for r in evaluate(exposures, one).collect()}
+    assert got == {("a", 1.0): "no_published_value", ("a", 2.0): "outside_domain", ("b", 1.0): "no_such_curve", (None, 1.0): "no_such_curve"}
