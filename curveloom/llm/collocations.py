@@ -89,9 +89,9 @@ def _filters(bits: int, shard_bits: int) -> Callable[[Iterator[pa.RecordBatch]],
         held, size, half = [], 0, 0
         for batch in batches:
             for i in range(batch.num_rows):
-                numbers = np.frombuffer(batch.column("ids")[i].as_py(), "<u4")
+                numbers = Chunk.read(batch.column("ids")[i].as_py(), batch.column("size")[i].as_py())
                 found = batch.column("found")[i].values
-                known = np.zeros(int(numbers.max(initial=0)) + 1, np.int64)
+                known = np.zeros(batch.column("size")[i].as_py(), np.int64)
                 known[found.field("number").to_numpy()] = found.field("id").to_numpy()
                 ids = known[numbers[numbers > 0]]  # empty words lie between blanks; id 0 breaks n-grams
                 for begin in range(0, len(ids), SORTED_GRAMS // 2):
@@ -153,10 +153,14 @@ def phrase_counts(docs: DataFrame, least: int = LEAST_COUNT) -> tuple[DataFrame,
     shard_bits = max(0, -(-2 * total // SHARD_GRAMS) - 1).bit_length()
     shard_bits = min(shard_bits, (3 * bits + 1) // 2)
     listed = chunks.select("chunk", "lang", F.posexplode("words").alias("number", "word"))
-    found = listed.join(frequent.select("lang", "word", "id"), ["lang", "word"]).groupBy("chunk").agg(
-        F.collect_list(F.struct((F.col("number") + 2).alias("number"), "id")).alias("found")  # of one chunk
+    found = stored(
+        listed.join(frequent.select("lang", "word", "id"), ["lang", "word"]).groupBy("chunk").agg(
+            F.collect_list(F.struct((F.col("number") + 2).alias("number"), "id")).alias("found")  # of one chunk
+        ),
+        "found",
     )
-    filters = chunks.select("chunk", "ids").join(found, "chunk").select("ids", "found").mapInArrow(
+    numbers = chunks.select("chunk", "ids", (F.size("words") + 2).alias("size"))
+    filters = numbers.join(found, "chunk").select("ids", "size", "found").mapInArrow(
         _filters(bits, shard_bits), "shard long, filter binary"
     )
     grams = filters.groupBy("shard").applyInArrow(_frequent(bits, least), "w1 long, w2 long, w3 long, f long")

@@ -105,13 +105,21 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _windows(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of a chunk's words and of its windows; text of each window, and whether it lies in one text."""
     sizes = np.array(row["sizes"])
-    words = np.frombuffer(row["hashes"], "<u8")[np.frombuffer(row["ids"], "<u4")]
+    hashes = np.frombuffer(row["hashes"], "<u8")
+    words = hashes[Chunk.read(row["ids"], len(hashes))]
     windows = window_hashes(words)
     text = np.repeat(np.arange(len(sizes)), sizes)[: len(windows)]
     inside = np.arange(len(windows)) + WINDOW <= np.cumsum(sizes)[text]
     return words, windows, text, inside
 
 
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in ``known``, which is sorted."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def _short(windows: np.ndarray, shard_bits: int) -> np.ndarray:
     """The upper bits of hashes: the shard, then ``SHORT_BITS``."""
     return windows >> np.uint64(64 - shard_bits - SHORT_BITS)
@@ -152,13 +160,12 @@ def _keys(shard_bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
 
 
 def _repeated(group: pa.Table) -> pa.Table:
-    """(chunk, keys): the keys of each chunk that come more than once in the shard."""
-    shard = group["shard"][0].as_py()
+    """(chunk, shard, keys): the keys of each chunk that come more than once in the shard."""
     held = [np.frombuffer(k, "<u4") for k in group["keys"].to_pylist()]
     every = np.sort(np.concatenate(held), kind="stable")
     again = np.unique(every[1:][every[1:] == every[:-1]])
-    out = [np.unique(k[np.isin(k, again)]).astype("<u8") + np.uint64(shard << SHORT_BITS) for k in held]
-    return pa.table({"chunk": group["chunk"], "keys": pa.array([k.tobytes() for k in out], pa.binary())})
+    out = [np.unique(k[_among(k, again)]) for k in held]
+    return pa.table({"chunk": group["chunk"], "shard": group["shard"], "keys": pa.array([k.tobytes() for k in out], pa.binary())})
 
 
 def _runs(shard_bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -172,8 +179,8 @@ def _runs(shard_bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
         for batch in batches:
             for row in batch.to_pylist():
                 words, windows, text, inside = _windows(row)
-                known = np.sort(np.concatenate([np.frombuffer(k, "<u8") for k in row["found"]]))
-                hit = inside & np.isin(_short(windows, shard_bits), known)
+                known = [np.frombuffer(f["keys"], "<u4") + np.uint64(f["shard"] << SHORT_BITS) for f in row["found"]]
+                hit = inside & _among(_short(windows, shard_bits), np.sort(np.concatenate(known)))
                 if not hit.any():
                     continue
                 same = hit[1:] & hit[:-1] & (text[1:] == text[:-1])
@@ -247,7 +254,7 @@ def _cuts(group: pa.Table) -> pa.Table:
     edges, (before, after) = _agreed(*(lambda e, b, a: (e, [b, a]))(*(np.concatenate(h) for h in held)))
     cut = {"before": edges[before == 0], "after": edges[after == 0]}
     return pa.table({"chunk": group["chunk"]} | {
-        name: pa.array([e[np.isin(e, many)].tobytes() for e in held[0]], pa.binary()) for name, many in cut.items()
+        name: pa.array([e[_among(e, many)].tobytes() for e in held[0]], pa.binary()) for name, many in cut.items()
     })
 
 
@@ -256,11 +263,11 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             words, at, edges, _, _ = _edges(row)
-            before, after = (np.concatenate([np.frombuffer(x, "<u8") for x in row[c]]) for c in ("before", "after"))
+            before, after = (np.sort(np.concatenate([np.frombuffer(x, "<u8") for x in row[c]])) for c in ("before", "after"))
             sizes = np.array(row["sizes"], np.int64)
             run = np.repeat(np.arange(len(sizes)), sizes)
-            begins = np.isin(edges, before)
-            begins[1:] |= np.isin(edges[:-1], after) | (run[1:] != run[:-1])
+            begins = _among(edges, before)
+            begins[1:] |= _among(edges[:-1], after) | (run[1:] != run[:-1])
             begins[0] = True
             first = np.flatnonzero(begins)
             n = np.diff(np.append(first, len(edges)))
@@ -283,21 +290,26 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     words = chunks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     shard_bits = min(max(0, -(-words // SHARD_WINDOWS) - 1).bit_length(), 64 - SHORT_BITS)
     repeated = chunks.mapInArrow(_keys(shard_bits), "shard long, chunk long, keys binary").groupBy("shard").applyInArrow(
-        _repeated, "chunk long, keys binary"
+        _repeated, "chunk long, shard long, keys binary"
+    )
+    of_chunk = stored(
+        repeated.where(F.length("keys") > 0).groupBy("chunk").agg(F.collect_list(F.struct("shard", "keys")).alias("found")), "repeated"
     )
-    of_chunk = repeated.where(F.length("keys") > 0).groupBy("chunk").agg(F.collect_list("keys").alias("found"))
     runs = stored(
         chunks.join(of_chunk, "chunk").mapInArrow(_runs(shard_bits), f"chunk long, {LISTS}, words binary"), "runs"
     )
     discard(chunks)
+    discard(of_chunk)
     cuts = runs.select("chunk", "sizes", "words").mapInArrow(
         _neighbours(shard_bits), "shard long, chunk long, edges binary, before binary, after binary"
     ).groupBy("shard").applyInArrow(_cuts, "chunk long, before binary, after binary")
-    cuts = cuts.groupBy("chunk").agg(F.collect_list("before").alias("before"), F.collect_list("after").alias("after"))
+    cuts = stored(cuts.groupBy("chunk").agg(F.collect_list("before").alias("before"), F.collect_list("after").alias("after")), "cuts")
     paths = stored(runs.join(cuts, "chunk").mapInArrow(_paths, "doc long, twin long, start int, n int, h1 long, h2 long"), "paths")
     discard(runs)
-    firsts = paths.groupBy("h1", "h2", "n").agg(F.min("doc").alias("first"))
-    return paths.join(firsts.repartition("h1", "h2", "n"), ["h1", "h2", "n"]).where("doc > first").select("doc", "twin", "start", "n")
+    discard(cuts)
+    # a table of its own: both sides of the join are shuffled, so Spark can split a path with very many places
+    firsts = stored(paths.groupBy("h1", "h2", "n").agg(F.min("doc").alias("first")), "firsts")
+    return paths.join(firsts, ["h1", "h2", "n"]).where("doc > first").select("doc", "twin", "start", "n")
 
 
 def kept_words(words: list[bytes], spans: list[dict] | None) -> list[bytes]:

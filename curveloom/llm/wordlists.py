@@ -27,4 +27,15 @@ class Chunk:
         self.words += len(words)
 
     def ids(self) -> np.ndarray:
-        return np.concatenate(self.parts) if self.parts else np.zeros(0, "<u4")
+        """All numbers, in two bytes each if the list is short enough."""
+        ids = np.concatenate(self.parts) if self.parts else np.zeros(0, "<u4")
+        return ids.astype("<u2") if self.short(len(self.numbers)) else ids
+
+    @staticmethod
+    def short(words: int) -> bool:
+        return words <= 1 << 16
+
+    @classmethod
+    def read(cls, data: bytes, words: int) -> np.ndarray:
+        """The numbers in ``data``, written for a list of ``words``."""
+        return np.frombuffer(data, "<u2" if cls.short(words) else "<u4").astype("<u4")

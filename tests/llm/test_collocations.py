@@ -89,7 +89,9 @@ def test_cut_into_parts_and_shards():
 
     found = [{"number": i, "id": i - 1} for i in range(2, 12)]
     kind = pa.list_(pa.struct([("number", pa.int64()), ("id", pa.int64())]))
-    batch = pa.RecordBatch.from_arrays([pa.array([numbers.tobytes()], pa.binary()), pa.array([found], kind)], ["ids", "found"])
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([numbers.astype("<u2").tobytes()], pa.binary()), pa.array([12]), pa.array([found], kind)], ["ids", "size", "found"]
+    )
     ids = [0 if i < 2 else int(i) - 1 for i in numbers if i > 0]
     true = Counter()
     for a, b, c in zip(ids, ids[1:] + [0], ids[2:] + [0, 0]):
@@ -118,3 +120,10 @@ def test_scores_are_exact(spark):
     a, left, right = 9_007_199_254_740_991, 9_007_199_254_740_993, 9_999_999_999_999_999
     row = spark.range(1).select(collocations._score(F.lit(a), F.lit(left), F.lit(right)).alias("s")).first()
     assert row["s"] == 1_000_000 * a * a // (left * right)
+
+
+def test_long_lists_take_four_bytes():
+    for n in (3, 1 << 16, (1 << 16) + 1):
+        chunk = collocations.Chunk()
+        chunk.add([b"%d" % i for i in range(n)])
+        assert (collocations.Chunk.read(chunk.ids().tobytes(), n) == np.arange(n)).all()
