@@ -22,10 +22,14 @@ from curveloom.llm.tables import stored
 COSINE = 0.9
 #: 32-bit similarities this much lower are still verified in double precision
 MARGIN = 1e-3
-SHARD_VECTORS, LEAST_SHARDS = 131_072, 6
-BLOCK_QUERIES, BLOCKS_A_COPY = 1_024, 16
+SHARD_BYTES, LEAST_SHARDS = 64 << 20, 6
+BLOCK_QUERIES, BLOCKS_A_COPY = 1_024, 64
 #: queries of a block that are compared with the whole shard, and the share of links that must be found
-AUDITED, RECALL = 64, 0.999
+AUDITED, RECALL = 16, 0.999
+#: a beam costs about as much as the exact products with this many points for each place in it
+BEAM_COST = 128
+#: queries whose products with a whole shard are held at once
+EXACT_QUERIES = 64
 SEED = 20_263
 
 
@@ -87,43 +91,73 @@ def _block(group: pa.Table) -> pa.Table:
     })
 
 
-def linked(graph: Graph, points: np.ndarray, queries: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-    """(query, point) of all links found between unit rows; the beam widens until the block's audit passes."""
-    small = queries.astype(np.float32)
-    while True:
-        width = min(beam, len(points))
-        found_q, found_p, open_ = [], [], np.arange(len(queries))
-        while len(open_):
-            if width >= len(points):  # as wide as the shard: compare with all of it
-                full = np.argwhere(queries[open_] @ points.T >= COSINE)
-                found_q.append(open_[full[:, 0]])
-                found_p.append(full[:, 1])
-                break
-            nodes, near = graph.search(small[open_], width)
-            near = np.where(nodes < 0, -2, near)
-            done = near[:, -1] < COSINE - MARGIN  # else the beam is full of links
-            row, place = np.nonzero((near >= COSINE - MARGIN) & done[:, None])
-            found_q.append(open_[row])
-            found_p.append(nodes[row, place])
-            open_, width = open_[~done], min(2 * width, len(points))
-        q, p = np.concatenate(found_q), np.concatenate(found_p)
+def _exact(points: np.ndarray, queries: np.ndarray, asked: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links of the ``asked`` queries with all points, some queries at a time."""
+    for at in range(0, len(asked), EXACT_QUERIES):
+        some = asked[at : at + EXACT_QUERIES]
+        q, p = np.nonzero(queries[some] @ points.T >= COSINE)
+        yield some[q], p
+
+
+def _exhaustive(width: int, points: int) -> bool:
+    """Whether a beam of that width is no better than all points; each search begins in the graph."""
+    return width >= points or (width > BEAM and width * BEAM_COST >= points)
+
+
+def _attempt(graph: Graph, points: np.ndarray, queries: np.ndarray, beam: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pieces of the links that beams find; a beam full of links widens while that costs less than all points do."""
+    open_, width, small = np.arange(len(queries)), beam, queries.astype(np.float32)
+    while len(open_):
+        if _exhaustive(width, len(points)):
+            yield from _exact(points, queries, open_)
+            return
+        nodes, near = graph.search(small[open_], width)
+        near = np.where(nodes < 0, -2, near)
+        done = near[:, -1] < COSINE - MARGIN  # else the beam is full of links
+        row, place = np.nonzero((near >= COSINE - MARGIN) & done[:, None])
+        q, p = open_[row], nodes[row, place]
         good = np.einsum("ij,ij->i", queries[q], points[p]) >= COSINE
-        q, p = q[good], p[good]
-        with_links = np.unique(q)
-        audit = np.unique(np.concatenate([
-            np.arange(0, len(queries), max(1, len(queries) // AUDITED)),
-            with_links[:: max(1, len(with_links) // AUDITED)],
-        ]))
-        true = int((queries[audit] @ points.T >= COSINE).sum())
-        if beam >= len(points) or np.isin(q, audit).sum() >= RECALL * true:
-            return q, p
+        yield q[good], p[good]
+        open_, width = open_[~done], 2 * width
+
+
+def link_pieces(graph: Graph, points: np.ndarray, queries: np.ndarray, beam: int = BEAM) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
+    """Pieces (query, point) of the links between unit rows.
+
+    An audit compares a fixed number of queries with all points.  If it misses links, None takes back all pieces
+    so far and the search begins again with a wider beam, at last with all points.
+    """
+    audit = np.unique(np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(np.int64))
+    true = sum(len(q) for q, _ in _exact(points, queries, audit))
+    while True:
+        found = np.zeros(len(queries), np.int64)
+        for q, p in _attempt(graph, points, queries, beam):
+            found += np.bincount(q, minlength=len(queries))
+            yield q, p
+        if _exhaustive(beam, len(points)) or found[audit].sum() >= RECALL * true:
+            return
+        yield None
         beam *= 2
 
 
-def _forest(q: np.ndarray, p: np.ndarray, n_queries: int, n_points: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (both counted through queries, then points) that connect what the links connect, at most one a node."""
-    label = np.arange(n_queries + n_points)
-    p = p + n_queries
+def linked(graph: Graph, points: np.ndarray, queries: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
+    """(query, point) of all links found."""
+    pieces = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for piece in link_pieces(graph, points, queries, beam):
+        pieces = pieces[:1] if piece is None else [*pieces, piece]
+    return np.concatenate([q for q, _ in pieces]), np.concatenate([p for _, p in pieces])
+
+
+def _spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect what the edges (a, b) connect, fewer than their ends."""
+    ends, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    joined, root = _forest(place[: len(a)], place[len(a) :], len(ends))
+    return ends[joined], ends[root]
+
+
+def _forest(q: np.ndarray, p: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect what the edges (q, p) among ``n`` nodes connect, at most one a node."""
+    label = np.arange(n)
     while len(q):
         low = np.minimum(label[q], label[p])
         before = label.copy()
@@ -147,17 +181,32 @@ def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 last, graph = (row["dims"], row["shard"]), Graph.from_bytes(row["graph"])
                 points = _unit(_matrix(row["vectors"], row["dims"]))
             queries = _unit(_matrix(row["queries"], row["dims"]))
-            q, p = linked(graph, points, queries)
             asked, names = _names(row["asked"]), _names(row["nodes"])
-            other = (asked[q] != names[p]).any(axis=1)
-            q, p = q[other], p[other]
-            links = np.bincount(q, np.frombuffer(row["weights"], "<i8")[p].astype(float), len(queries)).astype(np.int64)
-            both = [row["asked"][16 * i : 16 * i + 16] for i in range(len(queries))]
-            both += [row["nodes"][16 * i : 16 * i + 16] for i in range(len(points))]
-            a, b = _forest(q, p, len(queries), len(points))
+            weights = np.frombuffer(row["weights"], "<i8")
+            links, edges, held = np.zeros(len(queries), np.int64), [], 0
+            for piece in link_pieces(graph, points, queries):
+                if piece is None:
+                    links[:] = 0  # the edges are links all the same
+                    continue
+                q, p = piece
+                other = (asked[q] != names[p]).any(axis=1)
+                q, p = q[other], p[other]
+                np.add.at(links, q, weights[p])
+                # points are counted on from the queries; only a spanning forest is kept
+                edges.append(_spanning(q, p + len(queries)))
+                held += len(edges[-1][0])
+                if held > 2 * (len(queries) + len(points)):
+                    edges = [_spanning(*(np.concatenate(e) for e in zip(*edges)))]
+                    held = len(edges[0][0])
+            a, b = _spanning(*(np.concatenate(e) for e in zip(*edges))) if edges else (np.zeros(0, np.int64),) * 2
             some = np.flatnonzero(links)
+
+            def name(i: int) -> bytes:
+                raw, at = (row["asked"], i) if i < len(queries) else (row["nodes"], i - len(queries))
+                return raw[16 * at : 16 * at + 16]
+
             yield pa.RecordBatch.from_arrays(
-                [pa.array([both[i] for i in [*some, *a]], pa.binary()), pa.array([None] * len(some) + [both[i] for i in b], pa.binary()),
+                [pa.array([name(i) for i in [*some, *a]], pa.binary()), pa.array([None] * len(some) + [name(i) for i in b], pa.binary()),
                  pa.array(links[some].tolist() + [0] * len(a), pa.int64())],
                 ["node", "other", "links"],
             )
@@ -179,8 +228,8 @@ def near_vectors(embeddings: DataFrame) -> DataFrame:
     distinct = stored(
         rows.where("node IS NOT NULL").groupBy("node", "vector", "dims").agg(F.count("*").alias("weight")), "distinct"
     )
-    count = distinct.count()
-    shards, blocks = max(LEAST_SHARDS, -(-count // SHARD_VECTORS)), max(1, -(-count // BLOCK_QUERIES))
+    count, size = distinct.agg(F.count("*"), F.coalesce(F.sum(F.length("vector")), F.lit(0))).first()
+    shards, blocks = max(LEAST_SHARDS, -(-size // SHARD_BYTES)), max(1, -(-count // BLOCK_QUERIES))
     part = lambda salt, n: F.pmod(F.xxhash64(F.lit(salt), "node"), F.lit(n)).cast("int")
     index = stored(
         distinct.withColumn("shard", part(SEED, shards)).groupBy("dims", "shard").applyInArrow(
