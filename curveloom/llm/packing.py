@@ -16,11 +16,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from curveloom.llm.tables import slices
+
 SEQUENCE = 2048
 SEPARATOR = 1
 GROUP_DOCS = 4096
 SEED = 20_270
-CACHED = 500_000
+#: bytes that the caches of a worker may take, each (ids of words, ids of other parts)
+CACHED_BYTES = 32 << 20
+#: what an entry takes besides its part and ids
+ENTRY_BYTES = 180
 #: words up to this letter, and parts of these characters, are lower-cased and split here as the tokenizer's rules do it
 _LAST = "ɏ"
 _PLAIN = re.compile(r"[\x21-\x7EÀ-ɏ]*")
@@ -36,16 +41,22 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Parts(dict):
-    """Encoded ids of parts seen so far; emptied when full, so its memory is bounded."""
+    """Encoded ids of parts seen so far; emptied when full, so its bytes are bounded."""
 
     def __init__(self, encode: Callable) -> None:
         super().__init__()
-        self.encode = encode
+        self.encode, self.held = encode, 0
 
     def __missing__(self, part: str | bytes) -> bytes:
-        if len(self) >= CACHED:
+        ids = self.encode(part)
+        size = ENTRY_BYTES + len(part) + len(ids)
+        if size > CACHED_BYTES // 64:  # a long part, which will hardly come again
+            return ids
+        if self.held + size > CACHED_BYTES:
             self.clear()
-        ids = self[part] = self.encode(part)
+            self.held = 0
+        self.held += size
+        self[part] = ids
         return ids
 
 
@@ -118,7 +129,7 @@ def first_fit_decreasing(sizes: list[int], capacity: int) -> tuple[list[int], li
 def _pieces(vocabulary: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(vocabulary), np.array([SEPARATOR], "<u4").tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             tokens, lengths, checks = [], [], []
             for text in batch.column("text"):
                 ids = encode(text.as_py()) + end

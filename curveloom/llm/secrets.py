@@ -17,6 +17,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from curveloom.llm.tables import slices
+
 # fixed values: the base patterns, with the smallest length of what counts
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
@@ -159,7 +161,7 @@ def redacted(text: str, spans: list[Span]) -> str:
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         counts, digests, spans = [], [], []
         for text in batch.column("text").to_pylist():
             base = base_spans(text or "")
@@ -187,7 +189,7 @@ def secrets(docs: DataFrame) -> DataFrame:
 
 
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         texts = []
         for text in batch.column("text").to_pylist():
             spans = base_spans(text) + confirmed_spans(text) if text else []

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -45,3 +48,22 @@ def discard(df: DataFrame) -> None:
             raise ValueError(f"not an intermediate table: {folder}")
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: bytes of text that a map over texts turns into Python values at once (one text may be longer)
+SLICE_BYTES = 4 << 20
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in pieces of about ``SLICE_BYTES`` of ``column``; freed memory goes back at the end."""
+    for batch in batches:
+        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+        first, held = 0, 0
+        for at, size in enumerate(sizes):
+            held += size
+            if held >= SLICE_BYTES:
+                yield batch.slice(first, at + 1 - first)
+                first, held = at + 1, 0
+        if first < batch.num_rows or not batch.num_rows:
+            yield batch.slice(first)
+    pa.default_memory_pool().release_unused()

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from curveloom.llm.subwords import chunks, grams
+from curveloom.llm.tables import slices
 
 ORDERS = range(3, 7)
 BITS = 18
@@ -137,16 +138,16 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
         .select("doc_id", "text", "toxic")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "toxic", "text")
         .limit(2 * SAMPLE_PER_LABEL)
-        .toPandas()
+        .toArrow()
     )
-    return train(rows["text"].tolist(), rows["toxic"].tolist())
+    return train(rows["text"].to_pylist(), rows["toxic"].to_pylist())
 
 
 def scorer(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Adds ``score`` to record batches with ``text``."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             scores = pa.array(model.scores(batch.column("text").to_pylist()), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, "score"])
 
