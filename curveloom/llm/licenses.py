@@ -87,6 +87,8 @@ KNOWN = (
     ("LicenseRef-all-rights-reserved", "All rights reserved."),
 )
 
+#: known texts up to this number are sent to all tasks as digests and names; more of them are joined by a shuffle
+BROADCAST_TEXTS = 100_000
 #: all that is neither letter, digit nor line end becomes a blank
 PUNCTUATION = r"[^\p{L}\p{N}\n]+"
 #: any line that opens like a notice: what the SQL removes, equal on texts without such lines inside paragraphs
@@ -101,7 +103,8 @@ _NOTICE = _OWN + (
     rf"(?:(?<=\ball rights[ \t\r]{{0,2}})\n{_EDGE}reserved\.?|(?<=\ball[ \t\r]{{0,2}})\n{_EDGE}rights[ \t]+reserved\.?)?"
 )
 _TITLE = r"[^\n]{0,60}licen[cs]e[^\n]{0,20}(?:\n[ \t\r=*~#-]+)?"
-NOTICES = rf"(\n{_EDGE}(?:\n{_TITLE})?)(?:\n{_EDGE}{_NOTICE})+"
+#: the group is repeated possessively: nothing follows it, and the matcher then loops over notices instead of recursing
+NOTICES = rf"(\n{_EDGE}(?:\n{_TITLE})?)(?:\n{_EDGE}{_NOTICE})++"
 #: weaker ones (a name, but no year), which must be a paragraph of one line
 LONE_NOTICE = rf"(\n{_EDGE})\n{_EDGE}{_OWN}(?:copyright[ \t:][^\n]*|\(c\)[ \t]+[^\n]{{0,60}}[^\n.;:,](?<! and)(?<! or))(?=\n{_EDGE}(?:\n|\z))"
 
@@ -147,7 +150,7 @@ def licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
         .groupBy(F.sha2("form", 256).alias("key")).agg(F.min("license").alias("name"), F.first(F.length("form")).alias("size"))
     )
     # only lines as long as a known text can have its digest; a set of numbers, at most one per known text
-    sizes = entries.agg(F.sort_array(F.collect_set("size"))).first()[0]
+    sizes, held = entries.agg(F.sort_array(F.collect_set("size")), F.count("*")).first()
     scanned = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), canonical_lines(F.col("text")).alias("lines")
     ).select(
@@ -158,6 +161,8 @@ def licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
         ).alias("keys"),
     )
     names = entries.select("key", "name")
+    if held <= BROADCAST_TEXTS:
+        names = F.broadcast(names)
     whole = scanned.join(names.select(F.col("key").alias("digest"), F.col("name").alias("license")), "digest", "left")
     quiet = whole.where(F.size("keys") == 0).select(
         "doc_id", "digest", "license", F.lit(0).cast("long").alias("n_notices"), F.lit("").alias("notices")

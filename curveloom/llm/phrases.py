@@ -1,7 +1,7 @@
 """Cutting byte strings into phrases at rolling-hash triggers, in numpy.
 
-Every string of ``LENGTH`` bytes has one trigger: the ``WINDOW``-byte window in it with the smallest
-rolling hash, the leftmost if several.  Strings that start one after another and share their trigger are a
+Every string of ``LENGTH`` bytes has one trigger: the ``WINDOW``-byte window in it with the smallest upper
+half of its rolling hash, the leftmost if several.  Strings that start one after another and share their trigger are a
 run, and the bytes they cover a phrase.  So equal strings lie in phrases with equal triggers, each at the
 same distance from it, and every string lies in exactly one phrase.
 """
@@ -39,8 +39,8 @@ def window_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def triggers(hashes: np.ndarray) -> np.ndarray:
-    """Distance of the trigger from the start of the string at each byte."""
-    low, off, size = hashes, np.zeros(len(hashes), np.uint8), 1
+    """Distance of the trigger from the start of the string at each byte; the upper 32 bits are compared."""
+    low, off, size = (hashes >> np.uint64(32)).astype(np.uint32), np.zeros(len(hashes), np.uint8), 1
     while size < _PLACES:
         step = min(size, _PLACES - size)
         later = low[step:] < low[:-step]

@@ -213,6 +213,14 @@ def test_whole_licences_headers_and_tags(spark):
     assert (found[99]["n_notices"], found[99]["notices"]) == (1, "BSD-2-Clause")
 
 
+def test_very_many_notices(spark):
+    """Runs of notices of any length are left out without deep recursion."""
+    body = license_table.APACHE_HEADER
+    rows = [(n, "\n".join(f"Copyright (c) 20{i % 90 + 10} Holder {i}" for i in range(n)) + "\n\n" + body) for n in (1, 1_000, 10_000, 100_000)]
+    got = licenses.licenses(spark.createDataFrame(rows, "doc_id long, text string"), licenses.known_licenses(spark)).collect()
+    assert {r["license"] for r in got} == {"Apache-2.0"} and len({r["digest"] for r in got}) == 1
+
+
 @pytest.mark.parametrize("notice, gone", [
     ("Copyright (c) 2020, 2021 Jane Doe", True), ("(C) 2020 Jane Doe", True), ("© Jane Doe", True), ("Copyright by Jane Doe", True),
     ("Copyright 2020 A\n// Copyright 2021 B", True), ("Copyright [yyyy] [name]", True), ("Copyright Jane Doe", True), ("(c) Jane Doe", True),
