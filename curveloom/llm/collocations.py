@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from curveloom.llm import quotient
 from curveloom.llm.positions import positions
 from curveloom.llm.tables import stored
-from curveloom.llm.wordlists import CHUNK_WORDS, Chunk
+from curveloom.llm.wordlists import Chunk
 from curveloom.operators.skew import salted_join
 
 LEAST_COUNT, MOST_WORDS = 10, 3
@@ -29,8 +29,12 @@ SCALE = 1_000_000
 #: n-grams of a shard, at most, on average
 SHARD_GRAMS = 1 << 21
 #: n-grams that a task sorts at once
-SORTED_GRAMS = 1 << 20
+SORTED_GRAMS = 1 << 21
 RANK_PARTS = 64
+#: words of a chunk; few chunks repeat fewer words
+CHUNK_WORDS = 1 << 20
+#: bits of a word's id beside its number in a chunk
+ID_BITS = 33
 #: A-Z are lower-cased, tabs are blanks, and what ends a piece is a line feed
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _LETTERS = bytes(ord("\n") if b in _ENDS else ord(" ") if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -77,7 +81,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _filters(bits: int, shard_bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(shard, filter) of the n-grams of chunks whose numbers are looked up in (number, id) pairs."""
+    """(shard, filter) of the n-grams of chunks whose numbers are looked up in pairs of number and id."""
 
     def emit(held: list[tuple[np.ndarray, np.ndarray]], half: int) -> Iterator[pa.RecordBatch]:
         high, low, counts = quotient.counted(*(np.concatenate(h) for h in zip(*held)), half)
@@ -90,9 +94,9 @@ def _filters(bits: int, shard_bits: int) -> Callable[[Iterator[pa.RecordBatch]],
         for batch in batches:
             for i in range(batch.num_rows):
                 numbers = Chunk.read(batch.column("ids")[i].as_py(), batch.column("size")[i].as_py())
-                found = batch.column("found")[i].values
+                found = batch.column("found")[i].values.to_numpy()
                 known = np.zeros(batch.column("size")[i].as_py(), np.int64)
-                known[found.field("number").to_numpy()] = found.field("id").to_numpy()
+                known[found >> ID_BITS] = found & ((1 << ID_BITS) - 1)
                 ids = known[numbers[numbers > 0]]  # empty words lie between blanks; id 0 breaks n-grams
                 for begin in range(0, len(ids), SORTED_GRAMS // 2):
                     part = np.append(ids[begin : begin + SORTED_GRAMS // 2 + 2], [0, 0])
@@ -155,7 +159,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST_COUNT) -> tuple[DataFrame,
     listed = chunks.select("chunk", "lang", F.posexplode("words").alias("number", "word"))
     found = stored(
         listed.join(frequent.select("lang", "word", "id"), ["lang", "word"]).groupBy("chunk").agg(
-            F.collect_list(F.struct((F.col("number") + 2).alias("number"), "id")).alias("found")  # of one chunk
+            F.collect_list(F.shiftleft((F.col("number") + 2).cast("long"), ID_BITS) + F.col("id")).alias("found")  # of one chunk
         ),
         "found",
     )

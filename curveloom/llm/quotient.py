@@ -3,8 +3,8 @@
 A packed number of ``2 * half`` bits goes through a permutation that can be inverted (a Feistel network), so
 that its quotient, the upper bits, is spread evenly, and quotient with full remainder still name the number.
 A filter keeps its entries in order of quotient and remainder: one bit for each quotient that occurs, one bit
-for each entry that ends a quotient's run, the remainders in as few bytes as hold them, and a byte for each
-count (larger counts apart).  Filters of the same shard are merged as sorted runs.
+for each entry that ends a quotient's run, the remainders in as few bytes as hold them, one bit for each count
+above 1 and a byte for each of those (larger counts apart).  Filters of the same shard are merged as sorted runs.
 """
 
 from __future__ import annotations
@@ -104,7 +104,8 @@ def encode(high: np.ndarray, low: np.ndarray, counts: np.ndarray, half: int, sha
     return b"".join([
         _HEAD.pack(n, shard, half, shard_bits, len(large)), np.packbits(occupied).tobytes(), np.packbits(ends).tobytes(),
         _low_bytes(remainder, -(-rest // 8)), _low_bytes(low, -(-half // 8)),
-        np.where(counts > 255, 0, counts).astype(np.uint8).tobytes(), counts[large].astype("<i8").tobytes(),
+        np.packbits(counts > 1).tobytes(), np.where(counts > 255, 0, counts)[counts > 1].astype(np.uint8).tobytes(),
+        counts[large].astype("<i8").tobytes(),
     ])
 
 
@@ -125,8 +126,11 @@ def decode(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at += n * width
     low = _from_low_bytes(data, at, n, low_width)
     at += n * low_width
-    counts = np.frombuffer(data, np.uint8, n, at).astype(np.int64)
-    counts[counts == 0] = np.frombuffer(data, "<i8", large, at + n)
+    several = np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8, n + 7 >> 3, at), count=n))
+    at += n + 7 >> 3
+    counts = np.ones(n, np.int64)
+    counts[several] = np.frombuffer(data, np.uint8, len(several), at)
+    counts[counts == 0] = np.frombuffer(data, "<i8", large, at + len(several))
     # one shift at a time: without shards it would be by all 64 bits
     top = np.uint64(0) if shard_bits == 0 else np.uint64(shard) << np.uint64(half - shard_bits)
     return top | (quotient << np.uint64(rest)) | remainder, low, counts

@@ -87,8 +87,8 @@ def test_cut_into_parts_and_shards():
     numbers = np.concatenate([[0, 1], rng.integers(1, 12, 40)]).astype("<u4")
 
 
-    found = [{"number": i, "id": i - 1} for i in range(2, 12)]
-    kind = pa.list_(pa.struct([("number", pa.int64()), ("id", pa.int64())]))
+    found = [(i << collocations.ID_BITS) + i - 1 for i in range(2, 12)]
+    kind = pa.list_(pa.int64())
     batch = pa.RecordBatch.from_arrays(
         [pa.array([numbers.astype("<u2").tobytes()], pa.binary()), pa.array([12]), pa.array([found], kind)], ["ids", "size", "found"]
     )
