@@ -16,14 +16,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from curveloom.llm.tables import slices
+from curveloom.llm.tables import HELD, slices
 
 SEQUENCE = 2048
 SEPARATOR = 1
 GROUP_DOCS = 4096
 SEED = 20_270
 #: bytes that the caches of a worker may take, each (ids of words, ids of other parts)
-CACHED_BYTES = 32 << 20
+CACHED_BYTES = 96 << 20
 #: what an entry takes besides its part and ids
 ENTRY_BYTES = 180
 #: words up to this letter, and parts of these characters, are lower-cased and split here as the tokenizer's rules do it
@@ -46,6 +46,11 @@ class _Parts(dict):
     def __init__(self, encode: Callable) -> None:
         super().__init__()
         self.encode, self.held = encode, 0
+        HELD.append(self)
+
+    def clear(self) -> None:
+        super().clear()
+        self.held = 0
 
     def __missing__(self, part: str | bytes) -> bytes:
         ids = self.encode(part)
@@ -54,7 +59,6 @@ class _Parts(dict):
             return ids
         if self.held + size > CACHED_BYTES:
             self.clear()
-            self.held = 0
         self.held += size
         self[part] = ids
         return ids
@@ -129,7 +133,7 @@ def first_fit_decreasing(sizes: list[int], capacity: int) -> tuple[list[int], li
 def _pieces(vocabulary: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(vocabulary), np.array([SEPARATOR], "<u4").tobytes()
-        for batch in slices(batches):
+        for batch in slices(batches, keep=True):
             tokens, lengths, checks = [], [], []
             for text in batch.column("text"):
                 ids = encode(text.as_py()) + end

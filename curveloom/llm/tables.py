@@ -50,12 +50,19 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: caches that one operator keeps in its worker; the next map of another operator empties them
+HELD: list[dict] = []
 #: bytes of text that a map over texts turns into Python values at once (one text may be longer)
 SLICE_BYTES = 4 << 20
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in pieces of about ``SLICE_BYTES`` of ``column``; freed memory goes back at the end."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", keep: bool = False) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in pieces of about ``SLICE_BYTES`` of ``column``; freed memory goes back at the end.
+
+    Workers serve one operator after another; unless ``keep``, the caches of others are emptied first.
+    """
+    for cache in [] if keep else HELD:
+        cache.clear()
     for batch in batches:
         sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
         first, held = 0, 0
