@@ -13,10 +13,11 @@ from curveloom.operators.duplicates import apply_verdict, duplicate_summary, sib
 from curveloom.operators.evaluate import evaluate, evaluate_wide, segment_join
 from curveloom.operators.filters import verified_as
 from curveloom.operators.lookup import get_curve
-from curveloom.operators.reshape import pack_curve, split_codes
+from curveloom.operators.reshape import melt_points, pack_curve, split_codes
 from curveloom.functions.literal import literal_frame
 from curveloom.fixed_values import IDENTICAL, PAGE_LABEL_PATTERN
 from curveloom.functions.text import printed_label
+from curveloom.plans.library import verify_duplicates
 
 # --- evaluation ---------------------------------------------------------------------------------
 EVALUATED = with_ctes("points7", "exposures") + """
@@ -245,13 +246,37 @@ def duplicate_summary_check(s: Sample) -> DataFrame:
     return out.withColumn("share_pct", F.round(F.col("share_pct").cast("double"), 6))
 
 
-@check("verify_duplicates", SIBLINGS + """
-SELECT damage_type, verdict AS defect_verified, count(*) AS n FROM checked GROUP BY damage_type, verdict""")
+STOREYED = with_ctes("wide3") + """
+, st AS (SELECT 'li-' || damage_type || '-' || CAST(partkey AS VARCHAR) || '-' || CASE version WHEN 'F' THEN 't1' ELSE 't2' END AS curve_id,
+CASE p_type WHEN 'SMALL' THEN 'WMUH' WHEN 'LARGE' THEN 'MMUH' ELSE 'SERB' END AS family, CAST(p_size % 3 + 1 AS VARCHAR) AS stories,
+p_brand, version, damage_type, p1, p2, p3 FROM wide3 JOIN part ON p_partkey = partkey),
+base AS (SELECT *, coalesce(p1, -1) || '/' || coalesce(p2, -1) || '/' || coalesce(p3, -1) AS ys FROM st),
+one AS (SELECT family, p_brand, version, damage_type, list(DISTINCT ys) AS known FROM base WHERE stories = '1' GROUP BY ALL),
+verdict AS (SELECT m.curve_id, m.family || m.stories AS building_type, coalesce(list_contains(known, ys), false) AS is_duplicate, known IS NOT NULL AS had_counterpart
+FROM base m LEFT JOIN one o ON o.family = m.family AND o.p_brand = m.p_brand AND o.version = m.version AND o.damage_type = m.damage_type
+WHERE m.family IN ('WMUH', 'MMUH') AND m.stories <> '1')
+"""
+
+
+def _verified(s: Sample) -> tuple[DataFrame, DataFrame, DataFrame]:
+    wide = s.storeyed3()
+    return verify_duplicates(wide.drop("p1", "p2", "p3"), melt_points(wide, ["p1", "p2", "p3"]), GRID3)
+
+
+@check("verify_duplicates", STOREYED + """
+SELECT st.curve_id, family || stories AS building_type,
+CASE WHEN is_duplicate THEN 'identical_to_1_story' WHEN v.curve_id IS NOT NULL THEN 'differs_from_1_story' END AS defect_verified
+FROM st LEFT JOIN verdict v ON v.curve_id = st.curve_id""")
 def verify_duplicates_check(s: Sample) -> DataFrame:
-    """Points packed on the grid, compared with their sibling, written back and counted."""
-    packed = pack_curve(s.points3(), GRID3).join(s.curve_keys(), "curve_id")
-    verdict = sibling_compare(packed, ["version", "partkey"], "damage_type", "A", ["N", "R"])
-    return apply_verdict(s.curves(), verdict).groupBy("damage_type", "defect_verified").agg(F.count(F.lit(1)).alias("n"))
+    """The whole verification: families and storeys from the types, packed points, siblings, verdict."""
+    return _verified(s)[1].select("curve_id", "building_type", "defect_verified")
+
+
+@check("verify_summary", STOREYED + """
+SELECT building_type, count(*) AS n_curves, count(CASE WHEN is_duplicate THEN 1 END) AS n_duplicate, count(CASE WHEN NOT had_counterpart THEN 1 END) AS n_no_counterpart,
+round(count(CASE WHEN is_duplicate THEN 1 END) * CAST(100 AS DOUBLE) / count(*), 6) AS share_pct FROM verdict GROUP BY building_type""")
+def verify_summary_check(s: Sample) -> DataFrame:
+    return _verified(s)[2].withColumn("share_pct", F.round(F.col("share_pct").cast("double"), 6))
 
 
 @check("verified_filter", SIBLINGS + "SELECT curve_id, occupancy FROM checked WHERE verdict = 'identical_to_1_story'")

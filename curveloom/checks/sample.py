@@ -21,6 +21,8 @@ FLAGS = {zone: column for zone, (column, _) in ZONES.items()}
 COASTAL_NOTE = "coastal curves depend on the water depth in later releases"
 DEFECT_NOTE = "known defect of this type"
 DEFECT_TYPES = ("SMALL", "MEDIUM")
+# part type -> building family
+FAMILIES = {"SMALL": "WMUH", "LARGE": "MMUH"}
 # part type -> (case name, case description)
 CASES = {
     "ECONOMY": ("ContinentalUS", "Used in Continental US"),
@@ -112,6 +114,17 @@ class Sample:
             F.col("partkey").cast("string").alias("source_row_id"),
         )
 
+    def storeyed3(self) -> DataFrame:
+        """lib3 as curves of building families with one to three storeys (part size), line status as terrain."""
+        family = F.coalesce(*[F.when(F.col("p_type") == k, v) for k, v in FAMILIES.items()], F.lit("SERB"))
+        joined = self.wide3().join(self.table("part"), F.col("partkey") == F.col("p_partkey"))
+        terrain = F.when(F.col("version") == "F", "t1").otherwise("t2")
+        return joined.select(
+            make_curve_id(F.lit("li"), "damage_type", "partkey", terrain).alias("curve_id"), "damage_type",
+            F.concat(family, (F.col("p_size") % 3 + 1).cast("string")).alias("building_type"),
+            F.col("p_brand").alias("description"), F.lit(None).cast("string").alias("defect_verified"), *BINS3,
+        )
+
     def part_facts(self) -> DataFrame:
         """One row per part with the attributes every curve of it has."""
         return self.table("part").select(

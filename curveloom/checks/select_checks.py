@@ -9,11 +9,12 @@ from curveloom.checks.sample import (
     COASTAL_NOTE, DEFECT_NOTE, DEFECT_TYPES, FLAGS, Sample, with_ctes,
 )
 from curveloom.functions.literal import literal_frame
-from curveloom.operators import aggregate as ag, filters as fl
+from curveloom.operators import aggregate as ag, filters as fl, value_index as vi
 from curveloom.operators.lookup import curve_points_join, order_points
 from curveloom.operators.reshape import decompose_cases
 from curveloom.operators.rules import zone_applicability, zone_rows
 from curveloom.plans.search import search
+from curveloom.sources.writers import fresh_path
 
 
 def r9(df: DataFrame, *columns: str) -> DataFrame:
@@ -65,6 +66,49 @@ def territory_filter_check(s: Sample) -> DataFrame:
     return fl.territory_filter(s.curves(), s.attributes(), cases, "Hawaii").select("curve_id", "building_type")
 
 
+def value_index(s: Sample) -> tuple[DataFrame, DataFrame]:
+    """Index of the attributes, and the curve numbers, written to the shared folder."""
+    numbers = vi.curve_numbers(s.curve_keys(), fresh_path(s.spark, "numbers"))
+    return vi.write_value_index(numbers, s.attributes(), fresh_path(s.spark, "index")), numbers
+
+
+def every_filter(s: Sample) -> DataFrame:
+    """One filter for each brand and part type of the table, and for each brand in Hawaii."""
+    parts = s.table("part").select("p_brand", "p_type").distinct()
+    typed = F.concat_ws("/", "p_brand", "p_type").alias("filter_id")
+    hawaii = F.concat(F.col("p_brand"), F.lit("/Hawaii")).alias("filter_id")
+    row = lambda filter_id, n, key, value: (filter_id, F.lit(n).alias("condition"), F.lit(key).alias("key"), value.alias("value"))
+    cases = decompose_cases(s.case_rows()).where("territory = 'Hawaii'").agg(F.collect_set("case_name")).scalar()
+    covered = parts.select("p_brand").distinct().select("p_brand", F.explode(cases).alias("case_name"))
+    return (
+        parts.select(*row(typed, 0, "brand", F.col("p_brand")))
+        .unionByName(parts.select(*row(typed, 1, "type", F.col("p_type"))))
+        .unionByName(parts.select(*row(hawaii, 0, "brand", F.col("p_brand"))))
+        .unionByName(covered.select(*row(hawaii, 1, "geographic_case", F.col("case_name"))))
+    )
+
+
+FILTERED = with_ctes("attributes", "cases") + """
+, brands AS (SELECT curve_id, value AS brand FROM attributes WHERE key = 'brand'),
+hits AS (SELECT brand || '/' || a.value AS filter_id, b.curve_id FROM brands b JOIN attributes a ON a.curve_id = b.curve_id AND a.key = 'type'
+UNION SELECT brand || '/Hawaii', b.curve_id FROM brands b JOIN attributes a ON a.curve_id = b.curve_id AND a.key = 'geographic_case'
+JOIN cases t ON t.case_name = a.value AND t.territory = 'Hawaii')
+"""
+
+
+@check("indexed_counts", FILTERED + """
+SELECT f.filter_id, count(h.curve_id) AS n_curves FROM (SELECT p_brand || '/' || p_type AS filter_id FROM part UNION SELECT p_brand || '/Hawaii' FROM part) f
+LEFT JOIN hits h ON h.filter_id = f.filter_id GROUP BY f.filter_id""")
+def indexed_counts_check(s: Sample) -> DataFrame:
+    return vi.filter_counts(value_index(s)[0], every_filter(s))
+
+
+@check("indexed_members", FILTERED + "SELECT filter_id, curve_id FROM hits")
+def indexed_members_check(s: Sample) -> DataFrame:
+    index, numbers = value_index(s)
+    return vi.filter_members(index, numbers, every_filter(s))
+
+
 @check("zone_filter", with_ctes("curves", "zones") + """
 SELECT c.curve_id, c.occupancy FROM curves c JOIN (SELECT DISTINCT curve_id FROM zones WHERE flood_zone = 'CoastalA') z ON z.curve_id = c.curve_id""")
 def zone_filter_check(s: Sample) -> DataFrame:

@@ -115,5 +115,10 @@ def zone_applicability(parts: list[DataFrame], curves: DataFrame | None = None)
 
 
 def restrict_kinds(kinds: DataFrame, curves: DataFrame) -> DataFrame:
-    """Unit rows of the perils present."""
-    return kinds.join(curves.select("peril").distinct(), "peril", "left_semi")
+    """Unit rows of the perils present.
+
+    The peril is taken through an aggregate: a column that is constant in all curves would be folded
+    out of the join keys and leave a nested loop.
+    """
+    present = curves.groupBy("peril").agg(F.max("peril").alias("_present")).select("_present")
+    return kinds.join(present, F.col("peril") == F.col("_present"), "left_semi")

@@ -72,6 +72,14 @@ def test_column_contract(wide, spark):
     assert contracts.column_accounting(wide.selectExpr("*", "1 AS Extra"), FLOOD_COLUMN_ROLES, {"Extra": "row number"}).count() == 35
 
 
+def test_column_usage_counts_rows_and_nulls(spark):
+    df = literal_frame(spark, [("a", None, 1), ("b", None, None)], "`odd``name` string, m4 double, id int")
+    got = {tuple(r) for r in contracts.column_usage(df, {"odd`name": "key"}, {"id": "row number"}).collect()}
+    assert got == {("odd`name", "key", 2, 0), ("m4", "measure", 2, 2), ("id", "ignored: row number", 2, 1)}
+    empty = df.where("false")
+    assert {r["n_rows"] for r in contracts.column_usage(empty, {"odd`name": "key"}, {"id": "row number"}).collect()} == {0}
+
+
 def test_grid_contract():
     assert list(contracts.grid_contract(DEPTH_NAMES, FLOOD_DEPTHS).values()) == FLOOD_DEPTHS
     both = [f"ft{d:02d}m" for d in range(4, 0, -1)] + [f"ft{d:02d}" for d in range(25)]
