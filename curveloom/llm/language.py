@@ -75,14 +75,18 @@ def _mixture(chances: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndar
     starts = np.cumsum(size) - size
     share = (chances.any(axis=0) if not len(size) else np.maximum.reduceat(chances, starts, axis=0) > 0).astype(float)
     share /= share.sum(axis=1, keepdims=True)
+    # each text stops on its own, so its share does not depend on the texts beside it
+    going, left, n = np.arange(len(size)), chances, size
     for _ in range(ROUNDS):
-        weighted = chances * np.repeat(share, size, axis=0)
-        weighted /= weighted.sum(axis=1, keepdims=True)
-        after = np.add.reduceat(weighted, starts, axis=0) / size[:, None]
-        change = np.abs(after - share).max()
-        share = after
-        if change < CLOSE:
+        if not len(going):
             break
+        weighted = left * np.repeat(share[going], n, axis=0)
+        weighted /= weighted.sum(axis=1, keepdims=True)
+        after = np.add.reduceat(weighted, np.cumsum(n) - n, axis=0) / n[:, None]
+        moving = np.abs(after - share[going]).max(axis=1) >= CLOSE
+        share[going] = after
+        if not moving.all():
+            going, left, n = going[moving], left[np.repeat(moving, n)], n[moving]
     explained = (chances * np.repeat(share, size, axis=0)).sum(axis=1)
     return share, np.add.reduceat(np.log(explained), starts)
 

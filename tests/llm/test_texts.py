@@ -86,6 +86,17 @@ def test_mixtures_by_expectation_maximisation():
     assert abs(share[0, 0] - best) < 0.05 and first > 0.5 and fit[0] <= 0
 
 
+def test_mixtures_do_not_depend_on_their_neighbours():
+    rng = np.random.default_rng(2)
+    size = rng.integers(1, 60, 200)
+    chances = rng.random((size.sum(), 4)) ** 6 + 1e-9
+    share, fit = language._mixture(chances, size)
+    ends = np.cumsum(size)
+    for i, (n, end) in enumerate(zip(size, ends)):
+        alone, its = language._mixture(chances[end - n : end], size[i : i + 1])
+        assert alone[0].tolist() == share[i].tolist() and its[0] == fit[i]
+
+
 def test_language_of_odd_texts(odd, no_docs):
     rows = language.languages(odd).collect()
     assert len(rows) == len(odd_texts())
