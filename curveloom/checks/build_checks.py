@@ -91,17 +91,33 @@ def read_manifest(s: Sample) -> DataFrame:
     return readers.read_manifest(s.spark, path).select("source_file", "url", "sha256", "bytes", "version")
 
 
-def _nation_digests(s: Sample) -> DataFrame:
-    """Digests of one text file per nation, named by its key."""
-    path = writers.fresh_path(s.spark, "nations")
-    s.table("nation").select("n_nationkey", "n_name").coalesce(1).write.partitionBy("n_nationkey").text(path)
-    files = readers.file_digests(s.spark, path).where(F.col("source_file").startswith("n_nationkey="))
-    return files.withColumn("source_file", F.regexp_extract("source_file", "^(n_nationkey=[0-9]+)/", 1))
+#: customers of one ledger file, so that the number of files grows with the table
+BUNDLE = 16
+BUNDLES_SQL = f"""
+SELECT c_custkey // {BUNDLE} AS bundle, string_agg(c_custkey || ',' || c_name || chr(10), '' ORDER BY c_custkey) AS body
+FROM customer GROUP BY 1"""
 
 
-@check("file_digests", "SELECT 'n_nationkey=' || n_nationkey AS source_file, strlen(n_name) + 1 AS bytes, sha256(n_name || chr(10)) AS sha256 FROM nation")
+def _bundles(s: Sample) -> DataFrame:
+    """(bundle, value): the lines of each run of customers, without the last line's end."""
+    line = F.struct("c_custkey", F.concat_ws(",", "c_custkey", "c_name").alias("line"))
+    lines = F.sort_array(F.collect_list(line))  # of at most BUNDLE customers
+    bundle = F.floor(F.col("c_custkey") / BUNDLE).alias("bundle")
+    return s.table("customer").groupBy(bundle).agg(F.concat_ws("\n", F.transform(lines, lambda x: x["line"])).alias("value"))
+
+
+def _bundle_digests(s: Sample) -> DataFrame:
+    """Digests of one text file per bundle of customers."""
+    path = writers.fresh_path(s.spark, "bundles")
+    _bundles(s).write.partitionBy("bundle").text(path)
+    files = readers.file_digests(s.spark, path).where(F.col("source_file").startswith("bundle="))
+    return files.withColumn("source_file", F.regexp_extract("source_file", "^(bundle=[0-9]+)/", 1))
+
+
+@check("file_digests", f"""
+SELECT 'bundle=' || bundle AS source_file, strlen(body) AS bytes, sha256(body) AS sha256 FROM ({BUNDLES_SQL})""")
 def file_digests(s: Sample) -> DataFrame:
-    return _nation_digests(s)
+    return _bundle_digests(s)
 
 
 @check("file_row_counts", "SELECT c_mktsegment AS segment, count(*) AS n_rows FROM customer GROUP BY c_mktsegment")
@@ -158,18 +174,18 @@ def append_batches_check(s: Sample) -> DataFrame:
     return s.spark.read.parquet(target)
 
 
-@check("manifest_check", """
-SELECT 'n_nationkey=' || n_nationkey AS source_file, strlen(n_name) + 1 AS bytes,
-CASE n_nationkey % 5 WHEN 0 THEN 'not in manifest' WHEN 1 THEN 'differs' ELSE 'ok' END AS status FROM nation
-UNION ALL SELECT 'gone/' || r_regionkey, NULL, 'missing' FROM region""")
+@check("manifest_check", f"""
+SELECT 'bundle=' || bundle AS source_file, strlen(body) AS bytes,
+CASE bundle % 5 WHEN 0 THEN 'not in manifest' WHEN 1 THEN 'differs' ELSE 'ok' END AS status FROM ({BUNDLES_SQL})
+UNION ALL SELECT 'gone/' || s_suppkey, NULL, 'missing' FROM supplier""")
 def manifest_check_query(s: Sample) -> DataFrame:
-    """A manifest of the nations' files with some unlisted, some recorded otherwise, and regions that have no file."""
-    recorded = F.when(F.col("n_nationkey") % 5 == 1, F.lit("?")).otherwise(F.concat("n_name", F.lit("\n")))
-    listed = s.table("nation").where("n_nationkey % 5 != 0").select(
-        F.concat(F.lit("n_nationkey="), F.col("n_nationkey").cast("string")).alias("source_file"), F.sha2(recorded, 256).alias("sha256")
+    """A manifest of the bundles' files with some unlisted, some recorded otherwise, and suppliers that have no file."""
+    recorded = F.when(F.col("bundle") % 5 == 1, F.lit("?")).otherwise(F.concat("value", F.lit("\n")))
+    listed = _bundles(s).where("bundle % 5 != 0").select(
+        F.concat(F.lit("bundle="), F.col("bundle").cast("string")).alias("source_file"), F.sha2(recorded, 256).alias("sha256")
     )
-    gone = s.table("region").select(F.concat(F.lit("gone/"), F.col("r_regionkey").cast("string")).alias("source_file"), F.lit("").alias("sha256"))
-    return manifest_check(listed.union(gone), _nation_digests(s))
+    gone = s.table("supplier").select(F.concat(F.lit("gone/"), F.col("s_suppkey").cast("string")).alias("source_file"), F.lit("").alias("sha256"))
+    return manifest_check(listed.union(gone), _bundle_digests(s))
 
 
 @check("sources_for", """

@@ -19,7 +19,7 @@ def by_name(sources: DataFrame, name: str) -> DataFrame:
 
 def manifest_check(manifest: DataFrame, digests: DataFrame, expected: DataFrame | None = None,
                    row_counts: DataFrame | None = None) -> DataFrame:
-    """Status of every file: ok, differs, missing or not in manifest.
+    """Status of every file: ok, differs, missing, not in manifest, or not hashed (a digest that is NULL).
 
     ``expected`` (source_file, expected_bytes, expected_rows) adds size and row checks; a NULL
     expectation is not checked.
@@ -27,8 +27,9 @@ def manifest_check(manifest: DataFrame, digests: DataFrame, expected: DataFrame
     listed = manifest.select("source_file", F.col("sha256").alias("recorded"))
     found = digests.select("source_file", F.col("sha256").alias("actual"), "bytes")
     status = (
-        F.when(F.col("actual").isNull(), "missing")
+        F.when(F.col("bytes").isNull(), "missing")
         .when(F.col("recorded").isNull(), "not in manifest")
+        .when(F.col("actual").isNull(), "not hashed")
         .when(F.col("recorded") == F.col("actual"), "ok")
         .otherwise("differs")
     )

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
 from urllib.parse import urlparse
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from curveloom.schema import TABLES
@@ -48,16 +53,48 @@ def _below(path: Column, root: str) -> Column:
     return F.when(start > 0, inside).otherwise(F.element_at(F.split(path, "/"), -1))
 
 
-def file_digests(spark: SparkSession, path: str) -> DataFrame:
+#: files up to this size are handed to a task whole; larger ones are read in blocks
+WHOLE_BYTES = 64 << 20
+BLOCK_BYTES = 1 << 20
+_LOCATION = re.compile(r"([a-z0-9]+):(?://([^/]*))?(/.*)", re.DOTALL)
+
+
+def _block_digest(path: str) -> str | None:
+    """SHA-256 of one file, read in blocks; None if Arrow does not know its file system."""
+    scheme, host, inner = _LOCATION.fullmatch(path).groups()
+    try:
+        store, root = fs.FileSystem.from_uri(f"{'s3' if scheme == 's3a' else scheme}://{host or ''}/")
+    except (pa.ArrowException, OSError):
+        return None
+    digest = hashlib.sha256()
+    with store.open_input_stream(root.rstrip("/") + inner, compression=None) as stream:
+        while block := stream.read(BLOCK_BYTES):
+            digest.update(block)
+    return digest.hexdigest()
+
+
+def _block_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        digests = pa.array([_block_digest(p) for p in batch.column("path").to_pylist()], pa.string())
+        yield pa.RecordBatch.from_arrays([*batch.columns, digests], ["path", "bytes", "sha256"])
+
+
+def file_digests(spark: SparkSession, path: str, whole: int = WHOLE_BYTES) -> DataFrame:
     """(source_file, bytes, sha256) of every file below ``path``; source_file is relative to it.
 
-    Spark reads and hashes every file in the same way, whatever its size and file system; a file must fit
-    ``spark.sql.sources.binaryFile.maxLength`` (2 GiB), else the job stops.
+    Files of up to ``whole`` bytes are read by Spark from any file system it knows.  A larger file is
+    hashed in blocks by one task, whatever its size, through Arrow's file systems; where Arrow has none
+    for it, sha256 is NULL.  For such stores ``whole`` may be up to 2 GiB, Spark's own limit.  Spark's scans
+    pass over empty files, so these have no row.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select(
-        _below(F.col("path"), path).alias("source_file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")
+    size = F.col("length").alias("bytes")
+    # the size test reaches the scan: contents of larger files are never read there
+    small = files.where(F.col("length") <= whole).select("path", size, F.sha2("content", 256).alias("sha256"))
+    large = files.where(F.col("length") > whole).select("path", size).mapInArrow(
+        _block_digests, "path string, bytes long, sha256 string"
     )
+    return small.union(large).select(_below(F.col("path"), path).alias("source_file"), "bytes", "sha256")
 
 
 def file_row_counts(spark: SparkSession, path: str) -> DataFrame:

@@ -5,6 +5,7 @@ import json
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from curveloom.functions.literal import literal_frame
 from curveloom.schema import TABLES, conform
@@ -39,6 +40,18 @@ def test_digests_are_keyed_by_relative_path(spark, folder, root):
     assert [r["source_file"] for r in readers.file_digests(spark, str(folder / "same.csv")).collect()] == ["same.csv"]
 
 
+def test_large_files_are_hashed_in_blocks(spark, folder):
+    (folder / "odd #1 name%20.bin").write_bytes(bytes(range(256)) * 9_000)
+    (folder / "packed.gz").write_bytes(b"not really")
+    whole = readers.file_digests(spark, str(folder))
+    blocks = readers.file_digests(spark, f"file://{folder}", whole=3)
+    assert sorted(map(tuple, blocks.collect())) == sorted(map(tuple, whole.collect()))
+    assert {r["sha256"] for r in blocks.collect()} == {sha(p) for p in folder.iterdir()}
+    assert readers._block_digest("viewfs://store/file") is None
+    unread = blocks.withColumn("sha256", F.expr("IF(source_file = 'same.csv', NULL, sha256)"))
+    assert {r["source_file"] for r in manifest_check(whole, unread).where("status = 'not hashed'").collect()} == {"same.csv"}
+
+
 def test_line_counts_keep_equal_names_apart(spark, folder):
     (folder / "sub").mkdir()
     (folder / "sub" / "same.csv").write_text("1\n2\n3\n")
