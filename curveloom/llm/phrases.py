@@ -15,9 +15,11 @@ import numpy as np
 
 LENGTH = 100
 WINDOW = 32
-CHUNK_BYTES = 1 << 20
+#: arrays over a chunk stay in a core's cache
+CHUNK_BYTES = 1 << 17
 SEED = 20_267
 _PLACES = LENGTH - WINDOW + 1
+_UPPER = np.uint64(0xFFFFFFFF00000000)
 _RNG = np.random.default_rng(SEED)
 _BASES = [int(b) * 8 + 3 for b in _RNG.integers(1 << 50, 1 << 60, 3)]
 _LETTERS = _RNG.integers(0, 1 << 63, (3, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -31,26 +33,31 @@ def window_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of the window at each byte, by doubling; spread so that any of them may be the smallest."""
     h, size = _LETTERS[0][data], 1
     while size < WINDOW:
-        h = h[:-size] * _power(_BASES[0], size) + h[size:]
+        later = h[size:]
+        h = h[:-size] * _power(_BASES[0], size)
+        h += later
         size *= 2
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
+    h ^= h >> np.uint64(32)
+    return h
 
 
 def triggers(hashes: np.ndarray) -> np.ndarray:
-    """Distance of the trigger from the start of the string at each byte; the upper 32 bits are compared."""
-    low, off, size = (hashes >> np.uint64(32)).astype(np.uint32), np.zeros(len(hashes), np.uint8), 1
+    """Place of the trigger of the string at each byte.
+
+    The upper 32 bits of the hashes are compared; the place stands in the lower ones, so the leftmost of equals wins.
+    """
+    least, size = (hashes & _UPPER) | np.arange(len(hashes), dtype=np.uint64), 1
     while size < _PLACES:
         step = min(size, _PLACES - size)
-        later = low[step:] < low[:-step]
-        off = np.where(later, off[step:] + np.uint8(step), off[:-step])
-        low = np.where(later, low[step:], low[:-step])
+        least = np.minimum(least[step:], least[:-step])
         size += step
-    return off
+    least &= ~_UPPER
+    return least.view(np.int64)
 
 
-@lru_cache(2)
+@lru_cache(4)
 def _powers(which: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of a base and of its inverse modulo 2 ** 64."""
     out = []
@@ -64,7 +71,7 @@ class Digests:
     """128-bit hashes of any substrings of ``data``: two of 64 bits each."""
 
     def __init__(self, data: np.ndarray) -> None:
-        self.sums, size = [], 1 << max(16, (len(data)).bit_length())
+        self.sums, size = [], 1 << max(18, len(data).bit_length())
         for which in (1, 2):
             powers, inverse = _powers(which, size)
             total = np.zeros(len(data) + 1, np.uint64)
@@ -93,15 +100,17 @@ def runs(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     if len(data) < LENGTH:
         return none, none, none, none
     hashes = window_hashes(data)
-    trigger = np.arange(len(data) - LENGTH + 1) + triggers(hashes)
-    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[: len(trigger)]
-    inside = np.arange(len(trigger)) + LENGTH <= bounds[1:][text]
-    begins = inside.copy()
-    begins[1:] &= (trigger[1:] != trigger[:-1]) | (text[1:] != text[:-1])
+    trigger = triggers(hashes)
+    begins = np.ones(len(trigger), bool)
+    begins[1:] = trigger[1:] != trigger[:-1]
+    begins[bounds[:-1][bounds[:-1] < len(trigger)]] = True
     start = np.flatnonzero(begins)
+    owner = np.searchsorted(bounds, start, side="right") - 1
+    # strings lie inside one text, so a text's last run may begin too late
+    inside = start + LENGTH <= bounds[1:][owner]
+    start, owner = start[inside], owner[inside]
     if not len(start):
         return none, none, none, none
-    owner = text[start]
     # a run ends where the next begins, or with the last string of its text
     last = bounds[1:][owner] - LENGTH + 1
     n = np.minimum(np.append(start[1:], len(trigger)), last) - start

@@ -64,17 +64,26 @@ def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _lists(column: pa.ListArray, *fields: str) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Where the list of each row begins (and the end), and the fields of all lists' structs one after another."""
+    lists = column.fill_null([])
+    held = lists.flatten()
+    sizes = np.diff(lists.offsets.to_numpy())
+    return np.concatenate([[0], np.cumsum(sizes)]), [held.field(f).to_numpy() for f in fields]
+
+
 def _texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the listed phrases of each text."""
     for batch in batches:
-        docs, twins = batch.column("doc").to_pylist(), batch.column("twin").to_pylist()
-        for doc, twin, text, phrases in zip(docs, twins, batch.column("text").to_pylist(), batch.column("phrases").to_pylist()):
-            data = text.encode()
+        bounds, (start, n, key, block, blocks) = _lists(batch.column("phrases"), "start", "n", "key", "block", "blocks")
+        for i, text in enumerate(batch.column("text").to_pylist()):
+            data, held = text.encode(), slice(bounds[i], bounds[i + 1])
+            spans = zip(start[held].tolist(), (start[held] + n[held] + LENGTH - 1).tolist())
+            same = pa.array(np.full(held.stop - held.start, i))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([doc] * len(phrases), pa.int64()), pa.array([twin] * len(phrases), pa.int64()),
-                 pa.array([p["start"] for p in phrases], pa.int32()), pa.array([p["key"] for p in phrases], pa.int64()),
-                 pa.array([p["block"] for p in phrases], pa.int32()), pa.array([p["blocks"] for p in phrases], pa.int32()),
-                 pa.array([data[p["start"] : p["start"] + p["n"] + LENGTH - 1] for p in phrases], pa.binary())],
+                [batch.column("doc").take(same), batch.column("twin").take(same),
+                 *(pa.array(c[held]) for c in (start, key, block, blocks)),
+                 pa.array([data[a:b] for a, b in spans], pa.binary())],
                 ["doc", "twin", "start", "key", "block", "blocks", "phrase"],
             )
 
@@ -184,27 +193,25 @@ def repeats(docs: DataFrame) -> DataFrame:
     )
 
 
-def kept_parts(text: bytes, found: list[dict] | None) -> tuple[list[tuple[int, int]], int]:
-    """(start, end) of what stays, and how many runs of bytes go."""
-    if not found:
-        return ([(0, len(text))] if text else []), 0
-    change = np.zeros(len(text) + 1, np.int64)
-    start = np.array([f["start"] for f in found])
-    end = start + np.array([f["n"] for f in found]) + LENGTH - 1
-    np.add.at(change, start, 1)
-    np.add.at(change, end, -1)
-    gone = np.concatenate([[False], np.cumsum(change[:-1]) > 0, [False]])
-    edges = np.flatnonzero(gone[1:] != gone[:-1]).tolist()
-    bounds = [0, *edges, len(text)]
+def kept_parts(size: int, start: np.ndarray, n: np.ndarray) -> tuple[list[tuple[int, int]], int]:
+    """(start, end) of what stays of ``size`` bytes without the strings found, and how many runs of bytes go."""
+    order = np.argsort(start)
+    begin = start[order].astype(np.int64)
+    reached = np.maximum.accumulate(begin + n[order] + LENGTH - 1)
+    apart = np.flatnonzero(begin[1:] > reached[:-1])
+    gone = zip(begin[np.append(0, apart + 1)].tolist(), reached[np.append(apart, -1)].tolist()) if len(begin) else []
+    edges = [e for run in gone for e in run]
+    bounds = [0, *edges, size]
     return [(a, b) for a, b in zip(bounds[::2], bounds[1::2]) if a < b], len(edges) // 2
 
 
 def _deduplicated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        for doc, text, found in zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "found"))):
-            data = text.encode()
-            parts, spans = kept_parts(data, found)
+        bounds, (start, n) = _lists(batch.column("found"), "start", "n")
+        for i, (doc, text) in enumerate(zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist())):
+            data, held = text.encode(), slice(bounds[i], bounds[i + 1])
+            parts, spans = kept_parts(len(data), start[held], n[held])
             digest = hashlib.sha256()
             for a, b in parts:
                 digest.update(data[a:b])
