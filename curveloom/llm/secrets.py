@@ -1,8 +1,9 @@
 """Secrets in texts: patterns, and structures confirmed by decoding.
 
 Base kinds are found by pattern alone.  The other kinds are candidates in base64 or hex whose decoded
-bytes must parse: key encodings with nested lengths (DER), OpenSSH key files, PEM blocks around either,
-and signed tokens whose header names an algorithm.
+bytes must parse: private keys in DER (PKCS#1, PKCS#8, SEC1, DSA and encrypted PKCS#8, by nested lengths and
+structure), OpenSSH key files, PEM blocks around either, and signed tokens whose header names an algorithm.
+Certificates and public keys are no secrets.  A DER key may be glued to other text, or wrapped over lines.
 """
 
 from __future__ import annotations
@@ -31,7 +32,14 @@ ASSIGN_PARTS = ("passw", "secret", "token", "api")
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "pem", "token", "der", "ssh")
 
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*(?:PRIVATE KEY|CERTIFICATE|PUBLIC KEY))-----([A-Za-z0-9+/=\s\\nr]+?)-----END \1-----")
+PEM = re.compile(
+    r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:\r?\n[A-Za-z-]+: [^\r\n]*)*)([A-Za-z0-9+/=\s\\nr]+?)-----END \1-----"
+)
+#: the first eight characters of a DER sequence of 128 bytes to 64 KiB in base64, and its text with line ends and quote marks
+KEY_START = re.compile(r"MI[GHI-L][A-Za-z0-9+/]{5}")
+WRAPPED = re.compile(r"(?:[A-Za-z0-9+/]|\r?\n(?:> ?|[ \t]+)?(?=[A-Za-z0-9+/]))*")
+#: object identifiers of encryption by password begin so (PKCS#5, PKCS#12)
+BY_PASSWORD = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
 TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])")
 ENCODED = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 SSH_MAGIC = b"openssh-key-v1\x00"
@@ -68,25 +76,69 @@ def _length(data: bytes, at: int) -> tuple[int, int] | None:
     return value, at + 1 + n
 
 
+def _values(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
+    """(tag, first, end) of the DER values that fill ``data[at:end]``; None if they leave a gap."""
+    found = []
+    while at < end:
+        held = _length(data, at + 1)
+        if held is None or held[1] + held[0] > end or data[at] & 0x1F == 0x1F:
+            return None
+        found.append((data[at], held[1], held[1] + held[0]))
+        at = found[-1][2]
+    return found
+
+
+def _nested(data: bytes) -> bool:
+    """All lengths, at every level, nest without a gap."""
+    level = [(0, len(data))]
+    while level:
+        values = _values(data, *level.pop())
+        if values is None:
+            return False
+        level += [(first, end) for tag, first, end in values if tag & 0x20]
+    return True
+
+
 def is_der_key(data: bytes) -> bool:
-    """A sequence that fills the bytes, of parts whose lengths nest without a gap, with a number or key in it."""
-    if len(data) < SMALLEST_KEY or data[0] != 0x30:
+    """One sequence whose lengths nest without a gap, with the parts of a private key."""
+    if len(data) < SMALLEST_KEY or data[0] != 0x30 or not _nested(data):
         return False
-    outer = _length(data, 1)
-    if outer is None or outer[1] + outer[0] != len(data):
+    outer = _values(data, 0, len(data))
+    if len(outer) != 1:
         return False
-    kinds, level = [], [(outer[1], len(data))]
-    while level:
-        at, end = level.pop()
-        while at < end:
-            kind, held = data[at], _length(data, at + 1)
-            if held is None or held[1] + held[0] > end or kind & 0x1F == 0x1F:
-                return False
-            kinds.append(kind)
-            if kind & 0x20:  # constructed
-                level.append((held[1], held[1] + held[0]))
-            at = held[1] + held[0]
-    return len(kinds) >= 2 and bool({0x02, 0x03, 0x04} & set(kinds))
+    parts = _values(data, *outer[0][1:])
+    tags = [tag for tag, _, _ in parts]
+    contents = [data[first:end] for _, first, end in parts]
+
+    def algorithm(i: int) -> bytes:
+        """The object identifier that an algorithm's sequence begins with."""
+        inner = _values(data, *parts[i][1:])
+        return data[inner[0][1] : inner[0][2]] if inner and inner[0][0] == 0x06 else b""
+
+    if tags == [0x30, 0x04]:  # encrypted PKCS#8
+        return algorithm(0).startswith(BY_PASSWORD) and bool(contents[1])
+    if tags[:1] != [0x02] or contents[0] not in (b"\0", b"\1"):
+        return False
+    if tags[1:3] == [0x30, 0x04]:  # PKCS#8: version, algorithm, key
+        return bool(algorithm(1)) and bool(contents[2])
+    if tags[1:2] == [0x04]:  # SEC1: version, key, curve, public key
+        return contents[0] == b"\1" and len(contents[1]) >= 16 and set(tags[2:]) <= {0xA0, 0xA1}
+    # PKCS#1 has nine numbers (and further primes), DSA six
+    return tags == [0x02] * 6 or (tags[:9] == [0x02] * 9 and tags[9:] in ([], [0x30]))
+
+
+def _embedded_keys(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of DER keys in base64 that begin anywhere; their own length says where they end."""
+    for m in KEY_START.finditer(text):
+        size, at = _length(base64.b64decode(m[0]), 1) or (0, 0)
+        letters = ((size + at) * 4 + 2) // 3
+        run = WRAPPED.match(text, m.start(), m.start() + 2 * letters)[0]
+        places = [i for i, c in enumerate(run) if c not in "\r\n> \t"][:letters]
+        if size and len(places) == letters:
+            body = "".join(run[i] for i in places)
+            if is_der_key(base64.b64decode(body + "=" * (-letters % 4))):
+                end = m.start() + places[-1] + 1
+                yield m.start(), end + len(re.match("=" * (-letters % 4) + "|", text[end : end + 2])[0])
 
 
 def is_ssh_key(data: bytes) -> bool:
@@ -128,8 +180,10 @@ def confirmed_spans(text: str) -> list[Span]:
     found: list[Span] = []
     if "-----BEGIN " in text:
         for m in PEM.finditer(text):
-            body = re.sub(r"\\[nr]|\s", "", m[2])
-            if any(is_der_key(d) or is_ssh_key(d) for d in _bytes_of(body)):
+            datas = list(_bytes_of(re.sub(r"\\[nr]|\s", "", m[3])))
+            # with a DEK-Info line the body is encrypted, in whole blocks
+            sealed = "DEK-Info:" in m[2] and any(len(d) >= SMALLEST_KEY and len(d) % 8 == 0 for d in datas)
+            if sealed or any(is_der_key(d) or is_ssh_key(d) for d in datas):
                 found.append(("pem", *m.span()))
     if "." in text:
         found += [("token", *m.span()) for m in TOKEN.finditer(text) if is_signed_token(*m.groups())]
@@ -139,6 +193,8 @@ def confirmed_spans(text: str) -> list[Span]:
                 found.append(("der", *m.span()))
             elif is_ssh_key(data):
                 found.append(("ssh", *m.span()))
+    taken = list(found)
+    found += [("der", a, b) for a, b in _embedded_keys(text) if not any(start <= a and b <= end for _, start, end in taken)]
     return found
 
 

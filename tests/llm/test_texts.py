@@ -153,6 +153,37 @@ def der(kind: int, *parts: bytes) -> bytes:
 KEY = der(0x30, der(2, b"\0"), der(0x30, der(6, b"\x2a\x86\x48"), der(5)), der(4, der(0x30, der(2, b"\1" * 64), der(2, b"\2" * 200))))
 
 
+def test_structures_of_private_keys():
+    number, oid = der(2, b"\1" * 64), der(6, b"\x2a\x86\x48")
+    rsa = der(0x30, der(2, b"\0"), *[number] * 8)
+    sec1 = der(0x30, der(2, b"\1"), der(4, b"k" * 32), der(0xA0, oid))
+    sealed = der(0x30, der(0x30, der(6, bytes.fromhex("2a864886f70d01050d")), der(5)), der(4, b"x" * 300))
+    dsa = der(0x30, der(2, b"\0"), *[number] * 5)
+    assert all(map(secrets.is_der_key, (KEY, rsa, sec1, sealed, dsa)))
+    public = der(0x30, der(0x30, oid, der(5)), der(3, b"\0" + der(0x30, der(2, b"\1" * 300), der(2, b"\1\0\1"))))
+    certificate = der(0x30, der(0x30, number, der(0x30, oid), public), der(0x30, oid), der(3, b"\0" * 300))
+    sentence = der(0x30, der(4, b"a plain sentence that is no key at all"))
+    digest = der(0x30, der(0x30, oid, der(5)), der(4, b"d" * 32))
+    assert not any(map(secrets.is_der_key, (public, certificate, sentence, digest)))
+    for value, kind in ((public, "PUBLIC KEY"), (certificate, "CERTIFICATE")):
+        block = f"-----BEGIN {kind}-----\n{base64.encodebytes(value).decode()}-----END {kind}-----"
+        assert secrets.confirmed_spans(block) == []
+    for value in (rsa, KEY, sealed):
+        lines = base64.b64encode(value).decode()
+        for width, mark in ((64, ""), (76, "> "), (64, "  "), (10_000, "")):
+            wrapped = f"\n{mark}".join(lines[i : i + width] for i in range(0, len(lines), width))
+            for before, after in (("see\n" + mark, "\nthe end"), ("id-", ""), ("/x.", " z")):
+                text = before + wrapped + after
+                assert ("der", len(before), len(before) + len(wrapped)) in secrets.confirmed_spans(text), (width, mark, before)
+        block = f"-----BEGIN PRIVATE KEY-----\n{base64.encodebytes(value).decode()}-----END PRIVATE KEY-----"
+        assert secrets.confirmed_spans(block) == [("pem", 0, len(block))]
+    legacy = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n\n{base64.encodebytes(b'x' * 160).decode()}-----END RSA PRIVATE KEY-----"
+    assert secrets.confirmed_spans(f"a {legacy} b") == [("pem", 2, 2 + len(legacy))]
+    for long in ("MIIE" * 50_000, "MIIEowIBAAKC\n" * 20_000):
+        assert secrets.confirmed_spans(long) == []
+
+
+
 def test_structures_are_confirmed():
     assert secrets.is_der_key(KEY) and not secrets.is_der_key(KEY[:-1]) and not secrets.is_der_key(KEY[:1] + b"\x10" + KEY[2:])
     plain = base64.b64encode(KEY).decode()
