@@ -21,7 +21,7 @@ import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window, functions as F
 
-from curveloom.llm.components import components
+from curveloom.llm.components import components, contracted
 from curveloom.llm.tables import discard, stored
 
 WORDS = 5
@@ -258,14 +258,14 @@ def set_components(signs: DataFrame, docs: DataFrame, percent: int = PERCENT) ->
         F.col("set_id").alias("a"), F.col("pivot").alias("b")
     ).distinct()
     links = stored(_tested(stars, texts, percent).where("linked").select("a", "b"), "links")
-    roots = stored(components(links), "roots")
+    roots = stored(components(contracted(links)), "roots")
     blocks = _blocks(_unsettled(members, roots)).join(texts, "set_id")
     more = (
         blocks.select("bucket", "i", "j", "side", "set_id", "text")
         .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "side")
         .mapInPandas(partial(_linked_blocks, percent=percent), "a binary, b binary")
     )
-    return stored(components(links.union(stored(more, "links"))), "roots")
+    return stored(components(contracted(links.union(stored(more, "links")))), "roots")
 
 
 def _placed(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

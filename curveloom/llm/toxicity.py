@@ -9,7 +9,7 @@ is multiplied by the softmax weights once, and a text averages these numbers.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,6 +21,10 @@ from curveloom.llm.tables import slices
 
 ORDERS = range(3, 7)
 BITS = 18
+#: bits that are left beside a slot for a count
+COUNT_BITS = 32 - BITS
+MOST_COUNT = (1 << COUNT_BITS) - 1
+BLOCK_ENTRIES = 1 << 24
 DIMENSIONS = 8
 #: the sample that the model is fitted on: rows of each label, and the longest text taken
 SAMPLE_PER_LABEL = 3_000
@@ -56,31 +60,39 @@ class Model:
             return 1 / (1 + np.exp(-out))
 
 
-def bags(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sparse rows of the texts: start of each row, n-gram slots, shares of the text's n-grams."""
-    sizes, slots, shares = [], [], []
+def bags(texts: Iterable[str | None]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Entries of each text, its n-grams in all, and how many texts hold each slot.
+
+    An entry is an n-gram slot and, in the lower ``COUNT_BITS``, how often the text holds it; a larger count takes
+    several entries.  They lie in large blocks, which go back to the system as a whole.
+    """
+    entries, sizes, seen, free = [], [], np.zeros(1 << BITS, np.int32), np.empty(0, np.uint32)
     for text in texts:
         for _, _, data, _ in chunks([text]):
             found = np.concatenate([s[counts] for s, counts in grams(data, ORDERS, BITS)])
             values, held = np.unique(found, return_counts=True)
-            sizes.append(len(values))
-            slots.append(values.astype(np.int32))
-            shares.append((held / (held.sum() + SILENT)).astype(np.float32))
-    starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-    return starts, np.concatenate(slots), np.concatenate(shares)
-
-
-def train(texts: list[str | None], labels: list[int]) -> Model:
+            seen[values] += 1
+            full = (held - 1) // MOST_COUNT
+            counts = np.full(len(held) + full.sum(), MOST_COUNT)
+            counts[np.cumsum(full + 1) - 1] = held - full * MOST_COUNT
+            n = len(counts)
+            if len(free) < n:
+                free = np.empty(max(BLOCK_ENTRIES, n), np.uint32)
+            free[:n] = np.repeat(values, full + 1) << COUNT_BITS | counts
+            entries.append(free[:n])
+            free = free[n:]
+            sizes.append(len(found))
+    return entries, np.array(sizes, np.int64), seen
+
+
+def train(texts: Iterable[str | None], labels: list[int]) -> Model:
     """Minibatch AdaGrad over embeddings and softmax.  One label only, or none: a constant score."""
     target = np.array(labels, np.float64)
     if not len(target) or target.min() == target.max():
         rate = (target.sum() + 0.5) / (len(target) + 1) if len(target) else 0.0
         return Model(np.zeros(1 << BITS), float(np.log(rate / (1 - rate))) if rate else -np.inf)
-    starts, slots, shares = bags(texts)
-    common = np.bincount(slots, minlength=1 << BITS) >= LEAST_TEXTS
-    held = common[slots]
-    starts = np.concatenate([[0], np.cumsum(held)])[starts]
-    slots, shares = slots[held], shares[held]
+    entries, sizes, seen = bags(texts)
+    common = seen >= LEAST_TEXTS
     rng = np.random.default_rng(SEED)
     embeddings = rng.uniform(-1, 1, (1 << BITS, DIMENSIONS)).astype(np.float32) / DIMENSIONS
     embeddings[~common] = 0
@@ -91,10 +103,11 @@ def train(texts: list[str | None], labels: list[int]) -> Model:
         order = rng.permutation(len(target))
         for at in range(0, len(order), BATCH):
             rows = order[at : at + BATCH]
-            entry = np.concatenate([np.arange(starts[r], starts[r + 1]) for r in rows])
-            size = starts[rows + 1] - starts[rows]
-            row = np.repeat(np.arange(len(rows)), size)
-            share, slot = shares[entry] * np.float32(SCALE), slots[entry]
+            entry = np.concatenate([entries[r] for r in rows])
+            slot, count = entry >> COUNT_BITS, entry & MOST_COUNT
+            held = common[slot]
+            row = np.repeat(np.arange(len(rows)), [len(entries[r]) for r in rows])[held]
+            slot, share = slot[held], (count[held] / (sizes[rows] + SILENT)[row]).astype(np.float32) * np.float32(SCALE)
             vectors = np.stack([
                 np.bincount(row, share * embeddings[slot, k], len(rows)) for k in range(DIMENSIONS)
             ], axis=1)
@@ -140,7 +153,7 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
         .limit(2 * SAMPLE_PER_LABEL)
         .toArrow()
     )
-    return train(rows["text"].to_pylist(), rows["toxic"].to_pylist())
+    return train((text.as_py() for text in rows["text"]), rows["toxic"].to_pylist())
 
 
 def scorer(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -9,9 +9,10 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from curveloom.llm import minhash, substrings
-from curveloom.llm.components import components
+from curveloom.llm import components as stars, minhash, substrings
+from curveloom.llm.components import components, contracted
 from curveloom.llm.phrases import LENGTH, Digests, runs
+from curveloom.llm.tables import stored
 from tests.llm.conftest import edited, odd_texts, prose
 
 
@@ -106,6 +107,26 @@ def test_components_of_chains(spark):
     assert got == {i: 1 for i in range(1, 61)} | {100: 100, 101: 100, 102: 100}
 
 
+def test_contracted_edges_have_the_same_components(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 900, (700, 2))] + [(None, 1), (2, None), (3, 3)] * 2
+    few = spark.createDataFrame(edges, "a long, b long").repartition(3).cache()
+    named = few.selectExpr("cast(cast(a as string) as binary) a", "cast(cast(b as string) as binary) b")
+    for rows in (few, named, few.limit(0)):
+        plain = dict(components(rows).collect())
+        for most in (1 << 16, 50):
+            monkeypatch.setattr(stars, "HELD_EDGES", most)
+            fewer = contracted(rows)
+            assert dict(components(fewer).collect()) == plain and fewer.where("b >= a OR a IS NULL OR b IS NULL").count() == 0
+
+
+def test_few_links_take_no_rounds(spark, odd, monkeypatch):
+    written = []
+    monkeypatch.setattr(stars, "stored", lambda df, what: written.append(what) or stored(df, what))
+    assert minhash.near_duplicates(odd).where("doc_id != component_id").count()
+    assert written == ["edges", "edges"]  # those of both graphs, as they were found
+
+
 def brute_repeats(rows: list[tuple[int, str | None]]) -> dict[int, tuple]:
     seen, out = set(), {}
     for doc_id, text in sorted(rows):

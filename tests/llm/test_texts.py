@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import random
 import re
 import textwrap
+import tracemalloc
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -48,6 +50,32 @@ def test_misspellings_score_like_their_words():
     assert model.scores([None, ""]).tolist() == model.scores(["", "!!"]).tolist()
 
 
+def test_training_holds_four_bytes_an_entry(monkeypatch):
+    monkeypatch.setattr(toxicity, "STEPS", 1)
+    monkeypatch.setattr(toxicity, "BATCH", 16)
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(1000)) for _ in range(400)]
+    n = sum(len(x) for x in toxicity.bags(texts)[0])
+    tracemalloc.start()
+    toxicity.train(texts, [i % 2 for i in range(len(texts))])
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # one block, the embeddings and a batch: 94 MB; with copies of the entries it was 142
+    assert n > 4_000_000 and most < 120_000_000
+
+
+def test_counts_beyond_an_entry():
+    entries, sizes, seen = toxicity.bags(["a" * 70_000 + " bc", "bc", None])
+    counts = [(e & toxicity.MOST_COUNT).astype(int) for e in entries]
+    assert [c.sum() for c in counts] == sizes.tolist() and sizes[0] > 4 * 69_000 and counts[0].max() == toxicity.MOST_COUNT
+    assert seen.max() >= 2 and len(entries[2]) <= 4
+
+
+def test_fit_reads_both_labels(spark, odd):
+    labels = spark.createDataFrame([(i, int(i > 6)) for i in range(1, 30)], "doc_id long, toxic int")
+    assert toxicity.fitted(odd, labels).weights.any()
+
+
 def test_scores_without_labels(spark, odd, no_docs):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r["score"] for r in toxicity.toxicity(odd, none).collect()} == {0.0}
