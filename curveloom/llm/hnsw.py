@@ -7,7 +7,7 @@ array operations.  Level 0 holds all points; each further level a random part of
 from __future__ import annotations
 
 import io
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 
@@ -16,15 +16,35 @@ BEAM = 48
 INSERTED_AT_ONCE = 256
 EXPANDED_AT_ONCE = 3
 MOST_CELLS = 1 << 24
+#: numbers of vectors that are gathered at once, whatever their length
+GATHERED = 1 << 18
 
 
 def _similarities(vectors: np.ndarray, queries: np.ndarray, nodes: np.ndarray) -> np.ndarray:
     """Of each query with its own row of nodes; -2 where there is no node."""
-    found = np.einsum("bmd,bd->bm", vectors[nodes], queries)
-    return np.where(nodes < 0, np.float32(-2), found)
+    row, place = np.nonzero(nodes >= 0)
+    found = np.full(nodes.shape, -2, np.float32)
+    found[row, place] = _products(vectors, queries, nodes[row, place], row)
+    return found
+
+
+def _products(vectors: np.ndarray, queries: np.ndarray, nodes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Of each node with the query of that row."""
+    found, step = np.empty(len(nodes), np.float32), max(1, GATHERED // vectors.shape[1])
+    for at in range(0, len(nodes), step):
+        some = slice(at, at + step)
+        found[some] = np.einsum("kd,kd->k", vectors[nodes[some]], queries[rows[some]])
+    return found
 
 
 def _diverse(vectors: np.ndarray, nodes: np.ndarray, near: np.ndarray, most: int) -> np.ndarray:
+    """``_chosen`` for some rows at a time."""
+    step = max(1, GATHERED // (nodes.shape[1] * vectors.shape[1]))
+    parts = [_chosen(vectors, nodes[at : at + step], near[at : at + step], most) for at in range(0, len(nodes), step)]
+    return np.concatenate(parts)
+
+
+def _chosen(vectors: np.ndarray, nodes: np.ndarray, near: np.ndarray, most: int) -> np.ndarray:
     """Up to ``most`` neighbours per row, nearest first, each nearer to the row's point than to those before it.
 
     Places that stay free then go to the nearest of the others.  ``nodes`` comes by falling ``near``.
@@ -51,6 +71,9 @@ class Graph:
     levels: np.ndarray
     links: list[np.ndarray]
     entry: int
+    #: which points each row of a search has met: the cells that hold the number of the search
+    met: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.uint8), init=False, repr=False)
+    searches: int = field(default=0, init=False)
 
     @classmethod
     def build(cls, vectors: np.ndarray, seed: int) -> Graph:
@@ -60,7 +83,7 @@ class Graph:
         levels = np.minimum((-np.log(rng.uniform(1e-12, 1, n)) / np.log(LINKS)).astype(np.int64), 8)
         # the first point reaches the highest level, so that every search can begin there
         levels[0] = levels.max()
-        links = [np.full((n, LINKS * (2 if level == 0 else 1)), -1, np.int64) for level in range(levels[0] + 1)]
+        links = [np.full((n, LINKS * (2 if level == 0 else 1)), -1, np.int32) for level in range(levels[0] + 1)]
         graph = cls(vectors, levels, links, 0)
         done = 1
         while done < n:
@@ -112,9 +135,9 @@ class Graph:
     def _beam(self, queries: np.ndarray, start: np.ndarray, level: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """Nodes and similarities of the ``beam`` nearest found, nearest first (-1: none), from ``start`` on."""
         rows, links = len(queries), self.links[level]
-        seen = np.zeros((rows, len(self.vectors) + 1), bool)  # the last column stands for no node
-        np.put_along_axis(seen, start, True, axis=1)
-        seen[:, -1] = True
+        seen, mark = self._unmet(rows)  # the last column stands for no node
+        seen[np.arange(rows)[:, None], start] = mark
+        seen[:, -1] = mark
         near = _similarities(self.vectors, queries, start)
         order = np.argsort(-near, axis=1, kind="stable")[:, :beam]
         nodes, near = np.take_along_axis(start, order, axis=1), np.take_along_axis(near, order, axis=1)
@@ -123,32 +146,52 @@ class Graph:
         spent = nodes < 0
         active = np.arange(rows)
         while len(active):
-            waiting = np.where(spent[active], np.float32(-3), near[active])
-            pick = np.argsort(-waiting, axis=1, kind="stable")[:, :EXPANDED_AT_ONCE]
-            good = np.take_along_axis(waiting, pick, axis=1) > -2
-            going = good.any(axis=1)
-            active, pick, good = active[going], pick[going], good[going]
+            # the beam falls, so the first nodes that are not spent are the nearest
+            flags = spent[active]
+            pick = np.argsort(flags, axis=1, kind="stable")[:, :EXPANDED_AT_ONCE]
+            good = ~np.take_along_axis(flags, pick, axis=1)
+            going = good[:, 0]
+            active, pick, good, flags = active[going], pick[going], good[going], flags[going]
             if not len(active):
                 break
-            from_ = np.where(good, np.take_along_axis(nodes[active], pick, axis=1), -1)
-            flags = spent[active]
+            held, held_near = nodes[active], near[active]
             np.put_along_axis(flags, pick, True, axis=1)
-            spent[active] = flags
-            reached = np.where(from_[:, :, None] < 0, -1, links[from_]).reshape(len(active), -1)
+            reached = np.where(good[:, :, None], links[np.take_along_axis(held, pick, axis=1)], -1).reshape(len(active), -1)
             reached.sort(axis=1)
             reached[:, 1:][reached[:, 1:] == reached[:, :-1]] = -1
-            reached = np.where(seen[active[:, None], reached], -1, reached)
-            seen[active[:, None], reached] = True
-            found = _similarities(self.vectors, queries[active], reached)
-            all_nodes = np.concatenate([nodes[active], reached], axis=1)
-            all_near = np.concatenate([near[active], found], axis=1)
-            all_spent = np.concatenate([spent[active], reached < 0], axis=1)
+            row, place = np.nonzero(reached >= 0)
+            node = reached[row, place]
+            new = seen[active[row], node] != mark
+            row, node = row[new], node[new]
+            seen[active[row], node] = mark
+            found = _products(self.vectors, queries, node, active[row])
+            # only what is nearer than the last place of its beam comes in
+            better = found > held_near[row, -1]
+            row, node, found = row[better], node[better], found[better]
+            count = np.bincount(row, minlength=len(active))
+            place = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            more = (len(active), count.max())
+            more_nodes, more_near = np.full(more, -1, nodes.dtype), np.full(more, -2, np.float32)
+            more_nodes[row, place], more_near[row, place] = node, found
+            all_nodes = np.concatenate([held, more_nodes], axis=1)
+            all_near = np.concatenate([held_near, more_near], axis=1)
+            all_spent = np.concatenate([flags, more_nodes < 0], axis=1)
             order = np.argsort(-all_near, axis=1, kind="stable")[:, :beam]
             nodes[active] = np.take_along_axis(all_nodes, order, axis=1)
             near[active] = np.take_along_axis(all_near, order, axis=1)
             spent[active] = np.take_along_axis(all_spent, order, axis=1)
         return nodes, near
 
+    def _unmet(self, rows: int) -> tuple[np.ndarray, int]:
+        """Cells for so many rows, and a number that none of them holds."""
+        if len(self.met) < rows:
+            self.met, self.searches = np.zeros((rows, len(self.vectors) + 1), np.uint8), 0
+        if self.searches == 255:
+            self.met[:] = 0
+            self.searches = 0
+        self.searches += 1
+        return self.met[:rows], self.searches
+
     def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``beam`` nearest found of each query, and their similarities."""
         most = max(1, MOST_CELLS // (len(self.vectors) + 1))
@@ -169,5 +212,30 @@ class Graph:
     @classmethod
     def from_bytes(cls, data: bytes) -> Graph:
         held = np.load(io.BytesIO(data))
-        links = [held[f"l{i}"].astype(np.int64) for i in range(len(held.files) - 3)]
+        links = [held[f"l{i}"] for i in range(len(held.files) - 3)]
         return cls(held["vectors"], held["levels"], links, int(held["entry"]))
+
+    def lists(self) -> tuple[np.ndarray, np.ndarray]:
+        """The neighbours of each point, level by level, one point after another; where each point begins, and the end."""
+        first = np.concatenate([[0], np.cumsum((self.levels + 2) * LINKS)])
+        flat = np.empty(first[-1], np.int32)
+        for level, links in enumerate(self.links):
+            some, places = self._listed(first, level)
+            flat[places] = links[some]
+        return flat, first
+
+    @classmethod
+    def from_lists(cls, vectors: np.ndarray, levels: np.ndarray, flat: np.ndarray) -> Graph:
+        first = np.concatenate([[0], np.cumsum((levels.astype(np.int64) + 2) * LINKS)])
+        graph = cls(vectors, levels, [], 0)
+        for level in range(levels.max() + 1):
+            some, places = graph._listed(first, level)
+            links = np.full((len(vectors), places.shape[1]), -1, np.int32)
+            links[some] = flat[places]
+            graph.links.append(links)
+        return graph
+
+    def _listed(self, first: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """The points of a level, and the places of their neighbours in ``lists``."""
+        some, begin, width = np.flatnonzero(self.levels >= level), (level + 1) * LINKS if level else 0, LINKS if level else 2 * LINKS
+        return some, first[some][:, None] + begin + np.arange(width)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from curveloom.llm import vectors
+from curveloom.llm import hnsw, vectors
 from curveloom.llm.hnsw import Graph
 
 
@@ -68,3 +69,69 @@ def test_links_equal_brute_force(spark):
 
 def test_no_vectors(spark):
     assert vectors.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
+
+
+def test_graph_from_lists():
+    points = unit(clustered(4, 1_600, 16)).astype(np.float32)
+    graph = Graph.build(points, 1)
+    again = Graph.from_lists(points, graph.levels, graph.lists()[0])
+    assert len(again.links) == len(graph.links)
+    assert all((a == b).all() for a, b in zip(again.links, graph.links))
+
+
+def test_steps_of_long_vectors():
+    rng = np.random.default_rng(5)
+    points = unit(rng.normal(size=(300, 3_000))).astype(np.float32)
+    nodes = rng.integers(-1, 300, size=(100, 20))
+    want = np.where(nodes < 0, -2, np.einsum("bmd,bd->bm", points[nodes], points[:100]))
+    assert np.allclose(hnsw._similarities(points, points[:100], nodes), want, atol=1e-5)
+    near = -np.sort(-want, axis=1)
+    nodes = np.take_along_axis(nodes, np.argsort(-want, axis=1), axis=1)
+    assert (hnsw._diverse(points, nodes, near, 8) == hnsw._chosen(points, nodes, near, 8)).all()
+
+
+def test_rows_do_not_grow_with_the_table(spark, monkeypatch):
+    """No task gets a shard, its graph or a block of queries as one row."""
+    longest, held = {}, vectors.stored
+
+    def watched(df, what):
+        out = held(df, what)
+        sizes = [F.coalesce(F.length(c), F.lit(0)) for c, kind in out.dtypes if kind == "binary"]
+        longest[what] = max(longest.get(what, 0), out.agg(F.max(sum(sizes[1:], sizes[0]))).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(vectors, "stored", watched)
+    rows = clustered(6, 1_600, 8)
+    table = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "vec_id long, embedding array<float>")
+    assert vectors.near_vectors(table).count() == len(rows)
+    assert set(longest) == {"vectors", "distinct", "index", "links"}
+    assert max(longest.values()) < 1_000
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_many_copies_and_groups(spark, monkeypatch, kind):
+    """Queries over several copies of the index, shards in several groups, and lengths that not all of them have."""
+    monkeypatch.setattr(vectors, "BLOCK_QUERIES", 16)
+    monkeypatch.setattr(vectors, "HELD_BYTES", 8_000)
+    rows = clustered(7, 800, 16).astype(np.float64)
+    values = [(i, r.tolist()) for i, r in enumerate(rows)]
+    values += [(10_000 + i, r.tolist()) for i, r in enumerate(rows[:20])]  # copies
+    values += [(20_000 + i, r[:3].tolist()) for i, r in enumerate(rows[:4])]  # fewer than shards
+    table = spark.createDataFrame(values, f"vec_id long, embedding array<{kind}>").repartition(4)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(table).collect()}
+    for dims in (3, 16):
+        some = [(i, v) for i, v in values if len(v) == dims]
+        ids = [i for i, _ in some]
+        points = unit(np.array([v for _, v in some]).astype(np.float32 if kind == "float" else np.float64))
+        linked = points @ points.T >= 0.9
+        assert [got[i][0] for i in ids] == (linked.sum(axis=1) - 1).tolist()
+        at = {i: k for k, i in enumerate(ids)}
+        component = np.array([at[got[i][1]] for i in ids])
+        assert (component[:, None] == component[None, :])[linked].all()  # links join
+        label = np.arange(len(ids))
+        while True:
+            after = np.minimum(label, np.where(linked, label[None, :], len(ids)).min(axis=1))
+            if (after == label).all():
+                break
+            label = after
+        assert component.tolist() == label.tolist()
